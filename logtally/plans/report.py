@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import PySparkException
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,13 +126,19 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
 
 
 def write_report(lines: DataFrame, path: str | None) -> None:
-    """Write the report as text, over an earlier one. A blank path means no file; a failure is a warning."""
+    """Write the report as text, over an earlier one.
+
+    A blank path means no file. Where the report cannot be written, that is a warning; a failure
+    to compute it is an error like any other.
+    """
     if not path or not path.strip():
         return
     try:
         lines.orderBy(*ORDER).select("line").write.mode("overwrite").text(path)
-    except PySparkException as error:
-        log.warning("could not write the report to %s: %s", path, error)
+    except Py4JJavaError as error:
+        if not is_instance_of(lines.sparkSession.sparkContext._gateway, error.java_exception, "java.io.IOException"):
+            raise
+        log.warning("could not write the report to %s: %s", path, error.java_exception.getMessage())
 
 
 def print_report(lines: DataFrame) -> None:

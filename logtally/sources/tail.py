@@ -17,15 +17,21 @@ import json
 import logging
 import os
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 log = logging.getLogger(__name__)
 
+# Send the source to the Python workers by value: they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCHEMA = "raw string, source_file string, file_path string, byte_offset bigint"
 _ARROW = pa.schema(
     [("raw", pa.string()), ("source_file", pa.string()), ("file_path", pa.string()), ("byte_offset", pa.int64())]
@@ -110,7 +116,7 @@ def lines_in(file, part: ByteRange) -> Iterator[tuple[int, bytes]]:
 
 
 class TailReader(DataSourceStreamReader):
-    def __init__(self, options: dict[str, str]) -> None:
+    def __init__(self, options: Mapping[str, str]) -> None:
         self.pattern = options["path"].removeprefix("file://")
         self.starting = options.get("startingPosition", "end")
         self.range_bytes = int(options.get("rangeBytes", 64 << 20))
@@ -181,10 +187,10 @@ class TailSource(DataSource):
         return SCHEMA
 
     def streamReader(self, schema: StructType) -> TailReader:
-        return TailReader(dict(self.options))
+        return TailReader(self.options)
 
 
-def tail_logs(spark, path: str, start: str | dict[str, int] = "end", **options: str):
+def tail_logs(spark: SparkSession, path: str, start: str | dict[str, int] = "end", **options: str) -> DataFrame:
     """Stream the lines appended to a file, or to all files of a pattern.
 
     ``start`` is ``end`` (only what comes from now on), ``beginning``, or byte positions per path,
