@@ -22,15 +22,20 @@ UNKNOWN = "UNKNOWN"
 KNOWN_LEVELS = tuple(name for name in LEVELS if name != UNKNOWN)
 
 
-def normalize_level(col: Column) -> Column:
-    """Map a level token onto the closed set; anything else, null too, is UNKNOWN."""
-    token = java_trim(F.upper(col))
-    level = F.when(token.isin(*KNOWN_LEVELS), token)
-    for alias, name in ALIASES.items():
-        level = level.when(token == alias, F.lit(name))
+def token_level(token: Column) -> Column:
+    """Map a token without blanks around it onto the closed set; anything else is UNKNOWN."""
+    name = F.upper(token)
+    level = F.when(name.isin(*KNOWN_LEVELS), name)
+    for alias, meaning in ALIASES.items():
+        level = level.when(name == alias, F.lit(meaning))
     return level.otherwise(F.lit(UNKNOWN))
 
 
+def normalize_level(col: Column) -> Column:
+    """Map a level text onto the closed set; anything else, null too, is UNKNOWN."""
+    return token_level(java_trim(col))
+
+
 def fallback_level(raw: Column) -> Column:
     """Level of a line that does not match the pattern: the first known name found in it.
 

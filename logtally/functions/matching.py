@@ -36,14 +36,14 @@ def match_fields(raw: Column, pattern: str = DEFAULT_PATTERN) -> Column:
     """Captured fields of the trimmed line as an array, or a one-element array if it does not match.
 
     The whole line must match, and a line of white space never does. All fields come out of a
-    single replace-and-split on a control character; a line that holds this character itself is
-    matched group by group instead.
+    single replace-and-split on a control character, with blanks left around them. A line that
+    holds control characters itself is matched group by group.
     """
     fields = range(1, field_count(pattern) + 1)
-    whole = r"\A(?!\p{javaWhitespace}*\z)(?:" + pattern + r")\z"
+    whole = rf"\A(?!\p{{javaWhitespace}}*\z)(?:{pattern})\z"
+    joined = F.regexp_replace(F.trim(raw), F.lit(whole), F.lit(_MARK.join(f"${i}" for i in fields)))
     line = java_trim(raw)
-    joined = F.regexp_replace(line, F.lit(whole), F.lit(_MARK.join(f"${i}" for i in fields)))
     one_by_one = F.when(
-        line.rlike(whole), F.array(*[F.regexp_extract(line, whole, i) for i in fields])
+        line.rlike(whole), F.array(*[java_trim(F.regexp_extract(line, whole, i)) for i in fields])
     ).otherwise(F.array(line))
-    return F.when(F.contains(raw, F.lit(_MARK)), one_by_one).otherwise(F.split(joined, _MARK, -1))
+    return F.when(raw.rlike(r"[\x00-\x1f]"), one_by_one).otherwise(F.split(joined, _MARK, -1))

@@ -10,14 +10,8 @@ TRIM_CHARS = "".join(map(chr, range(0x21)))
 
 
 def java_trim(col: Column) -> Column:
-    """Strip control characters and blanks (tabs too) from both ends.
-
-    Trimming blanks alone is several times cheaper, so the full set is stripped only where a
-    control character is left at an end.
-    """
-    text = F.trim(col)
-    control_at_end = (text < " ") | (F.substring(text, -1, 1) < " ")
-    return F.when(control_at_end, F.btrim(col, F.lit(TRIM_CHARS))).otherwise(text)
+    """Strip control characters and blanks (tabs too) from both ends."""
+    return F.btrim(col, F.lit(TRIM_CHARS))
 
 
 def contains_ignore_case(col: Column, needle: str) -> Column:
