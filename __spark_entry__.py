@@ -25,7 +25,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/events.parquet")
+    """The events, dealt out to all cores if the scan has fewer tasks than there are cores."""
+    events = tune(spark).read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,8 +60,28 @@ def summarize(
     return summary.withColumn("hour", hour_label(F.col("_hour"))).drop("_hour")
 
 
-def _metric(name: str, key: Column, count: Column) -> Column:
-    return F.struct(F.lit(name).alias("metric"), key.alias("key"), count.cast("bigint").alias("count"))
+# Metrics with one key per group of a summary.
+_GROUP_METRICS = """array(
+  struct('total' AS metric, '' AS key, lines AS count),
+  struct('processed' AS metric, '' AS key, lines AS count),
+  struct('malformed' AS metric, '' AS key, malformed AS count),
+  struct('level' AS metric, level AS key, lines AS count),
+  struct('file' AS metric, source_file AS key, lines AS count),
+  struct('hour' AS metric, hour AS key, lines AS count),
+  struct('pattern' AS metric, exception AS key, lines AS count))"""
+
+
+def _counter_metrics(metric: str, names: Sequence[str], counters: str) -> list[Column]:
+    """The counters of a summary that belong to a list of names, as an array of metrics."""
+    if not names:
+        return []
+    counts = F.array(*[f"{counters}_{i}" for i in range(len(names))])
+    zipped = F.zip_with(
+        F.array(*map(F.lit, names)),
+        counts,
+        lambda key, count: F.struct(F.lit(metric).alias("metric"), key.alias("key"), count.alias("count")),
+    )
+    return [zipped]
 
 
 def _zeros(spark: SparkSession) -> DataFrame:
@@ -84,19 +104,10 @@ def metrics_of(
     keywords: Sequence[str] = DEFAULT_KEYWORDS,
 ) -> DataFrame:
     """Take a summary apart into ``metric, key, count`` rows."""
-    lines = F.col("lines")
-    parts = [
-        _metric("total", F.lit(""), lines),
-        _metric("processed", F.lit(""), lines),
-        _metric("malformed", F.lit(""), F.col("malformed")),
-        _metric("level", F.col("level"), lines),
-        _metric("file", F.col("source_file"), lines),
-        _metric("hour", F.col("hour"), lines),
-        _metric("pattern", F.col("exception"), lines),
-        *(_metric("pattern", F.lit(name), F.col(f"rule_{i}")) for i, (name, _) in enumerate(rules)),
-        *(_metric("keyword", F.lit(kw), F.col(f"keyword_{i}")) for i, kw in enumerate(keywords)),
-    ]
-    rows = summary.select(F.inline(F.array(*parts))).filter(F.col("key").isNotNull() & (F.col("count") > 0))
+    counters = _counter_metrics("pattern", [name for name, _ in rules], "rule")
+    counters += _counter_metrics("keyword", keywords, "keyword")
+    rows = summary.select(F.inline(F.concat(F.expr(_GROUP_METRICS), *counters)))
+    rows = rows.filter(F.col("key").isNotNull() & (F.col("count") > 0))
     return add_up(rows)
 
 

@@ -52,36 +52,32 @@ def _text(template: str, *cols: Column | str) -> Column:
 def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> DataFrame:
     """Lines of the report with the columns that order them (``ORDER``).
 
-    Both inputs are read several times, so hand over materialized ones. No section is collected or
-    numbered as a whole: files and hours sort by columns, whatever their number.
+    Both inputs are read several times, so hand over materialized ones: one row of facts about the
+    metrics is fetched here to choose the sections. No section is collected or numbered as a whole;
+    files and hours sort by columns, whatever their number.
     """
     spark = metrics.sparkSession
+    counted = metrics.filter(F.col("count") > 0)
+    count, key, zero = F.col("count"), F.col("key"), F.lit(0)
 
     def of(metric: str) -> DataFrame:
-        return metrics.filter((F.col("metric") == metric) & (F.col("count") > 0)).select("key", "count")
-
-    def size(metric: str) -> Column:
-        return of(metric).agg(F.count("*")).scalar()
+        return counted.filter(F.col("metric") == metric).select("key", "count")
 
-    count, key, zero = F.col("count"), F.col("key"), F.lit(0)
-    total = metrics.filter(F.col("metric") == "processed").agg(F.max("count")).scalar()
-    busiest = of("hour").agg(F.max("count")).scalar()
+    facts = counted.agg(
+        F.expr("coalesce(max(count) FILTER (WHERE metric = 'processed'), 0) AS total"),
+        F.expr("max(count) FILTER (WHERE metric = 'hour') AS busiest"),
+        *[F.expr(f"count(*) FILTER (WHERE metric = '{m}') AS {m}s") for m in ("pattern", "keyword", "hour", "file")],
+    ).first()
+    # Keywords and hours show only if there are any, files only if there are several.
+    hidden = {KEYWORD: facts.keywords == 0, HOUR: facts.hours == 0, FILE: facts.files < 2}
 
     frame = [(0, 0, 0, "", ""), (0, 0, 1, "", DOUBLE_RULE), (0, 0, 2, "", TITLE), (0, 0, 3, "", DOUBLE_RULE)]
     frame += [(0, BLANK, 0, "", ""), (END, 0, 0, "", DOUBLE_RULE)]
     for section, heading in enumerate(HEADINGS, start=OVERVIEW):
-        frame += [(section, 0, 0, "", heading), (section, 1, 0, "", RULE), (section, BLANK, 0, "", "")]
-    # Keywords and hours show only if there are any, files only if there are several.
-    section = F.col("section")
-    shown = (
-        ((section != KEYWORD) | (size("keyword") > 0))
-        & ((section != HOUR) | (size("hour") > 0))
-        & ((section != FILE) | (size("file") > 1))
-    )
-    frame_rows = spark.createDataFrame(frame, _SCHEMA).filter(shown)
-    no_errors = spark.createDataFrame([(PATTERN, LINES, 0, "", "  (no errors detected)")], _SCHEMA).filter(
-        size("pattern") == 0
-    )
+        if not hidden.get(section):
+            frame += [(section, 0, 0, "", heading), (section, 1, 0, "", RULE), (section, BLANK, 0, "", "")]
+    if facts.patterns == 0:
+        frame.append((PATTERN, LINES, 0, "", "  (no errors detected)"))
 
     def stamp(name: str) -> Column:
         return F.substring_index(F.col(name).cast("string"), ".", 1)
@@ -96,13 +92,10 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
     overview_rows = overview.select(F.posexplode(F.array(*overview_lines)).alias("rank", "line"))
     overview_rows = overview_rows.filter(F.col("line").isNotNull())
 
-    pct = share(count, total)
-    hour_pct = count * F.lit(100.0) / busiest
+    pct = share(count, F.lit(facts.total))
     level_rank = F.array_position(F.array(*map(F.lit, REPORT_ORDER)), key)
     patterns = top_error_patterns(of("pattern").withColumnRenamed("key", "pattern"), top)
     sections = [
-        frame_rows,
-        no_errors,
         _lines(overview_rows, OVERVIEW, F.col("rank"), F.lit(""), F.col("line")),
         _lines(
             of("level"), LEVEL, level_rank, key,
@@ -113,14 +106,14 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
             _text("  %2d. %-40s  %,d occurrences", "rank", "pattern", "count"),
         ),
         _lines(of("keyword"), KEYWORD, -count, key, _text("  %-25s : %,d hits", key, count)),
-        _lines(of("hour"), HOUR, zero, key, _text("  %s  %,6d  %s", key, count, bar(hour_pct, HOUR_BAR))),
-        _lines(
-            of("file").filter(size("file") > 1), FILE, -count, key,
-            _text("  %-40s  %,d lines", key, count),
-        ),
     ]
-    rows = sections[0]
-    for part in sections[1:]:
+    if not hidden[HOUR]:
+        hour_bar = bar(count * F.lit(100.0) / F.lit(facts.busiest), HOUR_BAR)
+        sections.append(_lines(of("hour"), HOUR, zero, key, _text("  %s  %,6d  %s", key, count, hour_bar)))
+    if not hidden[FILE]:
+        sections.append(_lines(of("file"), FILE, -count, key, _text("  %-40s  %,d lines", key, count)))
+    rows = spark.createDataFrame(frame, _SCHEMA)
+    for part in sections:
         rows = rows.unionByName(part)
     return rows
 
