@@ -36,12 +36,8 @@ def normalize_level(col: Column) -> Column:
     return token_level(java_trim(col))
 
 
-def fallback_level(raw: Column) -> Column:
-    """Level of a line that does not match the pattern: the first known name found in it.
-
-    The names are tried in ``LEVELS`` order, so ``ERROR ... stacktrace`` is TRACE.
-    """
-    upper = F.upper(raw)
+def named_level(upper: Column) -> Column:
+    """The first known name found in an upper-case line, tried in ``LEVELS`` order."""
     return reduce(
         lambda otherwise, name: F.when(F.contains(upper, F.lit(name)), F.lit(name)).otherwise(otherwise),
         reversed(KNOWN_LEVELS),
@@ -49,5 +45,10 @@ def fallback_level(raw: Column) -> Column:
     )
 
 
+def fallback_level(raw: Column) -> Column:
+    """Level of a line that does not match the pattern: ``ERROR ... stacktrace`` is TRACE."""
+    return named_level(F.upper(raw))
+
+
 def is_error_level(level: Column) -> Column:
     return level.isin(*ERROR_LEVELS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ BASELINE_RULES: tuple[Rule, ...] = ERROR_RULES[:2]
 # The first word that ends in Exception or Error, case-sensitive. The look-around
 # is \b with ASCII word characters on every Java version.
 EXCEPTION_NAME = r"(?<!\w)(\w*(?:Exception|Error))(?!\w)"
+EXCEPTION_WORDS = ("Exception", "Error")
 # Keywords searched for by default.
 DEFAULT_KEYWORDS = ("Exception", "Error", "timeout", "fail", "OOM")
 
@@ -34,7 +36,8 @@ def rule_matches(message: Column, regex: str) -> Column:
 
 def exception_name(message: Column) -> Column:
     """First exception or error name in the message, null if there is none."""
-    return F.nullif(F.regexp_extract(message, EXCEPTION_NAME, 1), F.lit(""))
+    has_word = reduce(lambda a, b: a | b, [F.contains(message, F.lit(word)) for word in EXCEPTION_WORDS])
+    return F.when(has_word, F.nullif(F.regexp_extract(message, EXCEPTION_NAME, 1), F.lit("")))
 
 
 def error_patterns_of(message: Column, rules: Sequence[Rule] = ERROR_RULES) -> Column:
@@ -46,7 +49,7 @@ def error_patterns_of(message: Column, rules: Sequence[Rule] = ERROR_RULES) -> C
     return F.array_compact(F.array(*hits, exception_name(message)))
 
 
-def keywords_of(raw: Column, keywords: Sequence[str] = DEFAULT_KEYWORDS) -> Column:
-    """Array of the listed keywords found in the raw line, once per list item."""
-    hits = [F.when(contains_ignore_case(raw, kw), F.lit(kw)) for kw in keywords]
+def keywords_of(lower: Column, keywords: Sequence[str] = DEFAULT_KEYWORDS) -> Column:
+    """Array of the listed keywords found in the lower-case raw line, once per list item."""
+    hits = [F.when(contains_ignore_case(lower, kw), F.lit(kw)) for kw in keywords]
     return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")

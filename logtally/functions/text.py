@@ -14,6 +14,6 @@ def java_trim(col: Column) -> Column:
     return F.btrim(col, F.lit(TRIM_CHARS))
 
 
-def contains_ignore_case(col: Column, needle: str) -> Column:
-    """Case-insensitive substring test; ``needle`` is plain text, not a pattern."""
-    return F.contains(F.lower(col), F.lower(F.lit(needle)))
+def contains_ignore_case(lower: Column, needle: str) -> Column:
+    """Substring test of a text in lower case; ``needle`` is plain text of any case."""
+    return F.contains(lower, F.lower(F.lit(needle)))

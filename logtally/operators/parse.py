@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtally.functions.levels import UNKNOWN, fallback_level, token_level
+from logtally.functions.levels import UNKNOWN, named_level, token_level
 from logtally.functions.matching import DEFAULT_PATTERN, field_count, match_fields
 from logtally.functions.timestamps import DEFAULT_FORMATS, hour_bucket, iso_local, read_timestamp
+from logtally.operators.once import evaluate_once
 
 ABSENT = "unknown"
-ENTRY_COLUMNS = ("ts", "level", "thread", "logger", "message", "malformed", "hour")
 
 
 def parse_logs(
@@ -30,24 +30,23 @@ def parse_logs(
     count = field_count(pattern)
     raw, fields = F.col("raw"), F.col("_fields")
     lines = lines.withColumn("raw", F.coalesce(raw, F.lit("")))
-    # Exploding a one-element array keeps the optimizer from pushing a filter on a parsed
-    # column below this point, where it would evaluate the pattern a second time per line.
-    matched = lines.select("*", F.explode(F.array(match_fields(raw, pattern))).alias("_fields"))
+    matched = evaluate_once(lines, "_fields", match_fields(raw, pattern))
     # The fields become columns of their own, null where the pattern does not match, so that what
     # follows refers to them instead of repeating how they are made.
     names = ("_ts", "_level", "thread", "logger", "message")[:count]
     is_match = F.size(fields) == count
     texts = matched.withColumns(
         {name: F.when(is_match, F.trim(F.get(fields, F.lit(i)))) for i, name in enumerate(names)}
+        | {"_upper": F.when(~is_match, F.upper(raw))}
     )
     absent = {"thread": F.lit(ABSENT), "logger": F.lit(ABSENT), "message": raw}
     defaults = {
         name: F.coalesce(F.col(name), value) if name in names else value for name, value in absent.items()
     }
-    level = F.when(F.col("_level").isNull(), fallback_level(raw)).otherwise(token_level(F.col("_level")))
+    level = F.when(F.col("_level").isNull(), named_level(F.col("_upper"))).otherwise(token_level(F.col("_level")))
     entries = texts.withColumns(
         {"ts": read_timestamp(F.col("_ts"), timestamp_formats), "level": level, **defaults}
-    ).drop("_fields", "_ts", "_level")
+    ).drop("_fields", "_ts", "_level", "_upper")
     return entries.withColumns(
         {
             "malformed": (F.col("level") == UNKNOWN) & F.col("ts").isNull(),

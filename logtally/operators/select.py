@@ -17,6 +17,7 @@ from logtally.functions.patterns import (
     keywords_of,
 )
 from logtally.functions.text import contains_ignore_case
+from logtally.operators.once import evaluate_once
 
 
 def error_entries(entries: DataFrame) -> DataFrame:
@@ -26,13 +27,15 @@ def error_entries(entries: DataFrame) -> DataFrame:
 
 def keyword_lines(lines: DataFrame, keywords: Sequence[str] = DEFAULT_KEYWORDS) -> DataFrame:
     """Lines that hold at least one keyword, whatever its case."""
-    tests = [contains_ignore_case(F.col("raw"), kw) for kw in keywords]
-    return lines.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    tests = [contains_ignore_case(F.col("_lower"), kw) for kw in keywords]
+    lines = evaluate_once(lines, "_lower", F.lower("raw"))
+    return lines.filter(reduce(lambda a, b: a | b, tests, F.lit(False))).drop("_lower")
 
 
 def keyword_search(lines: DataFrame, keywords: Sequence[str] = DEFAULT_KEYWORDS) -> DataFrame:
     """One row per line and list item found in it; an item listed twice counts twice."""
-    return lines.select("*", F.explode(keywords_of(F.col("raw"), keywords)).alias("keyword"))
+    lines = lines.withColumn("_lower", F.lower("raw"))
+    return lines.select("*", F.explode(keywords_of(F.col("_lower"), keywords)).alias("keyword")).drop("_lower")
 
 
 def error_pattern_rows(entries: DataFrame, rules: Sequence[Rule] = ERROR_RULES) -> DataFrame:

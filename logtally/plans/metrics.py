@@ -40,10 +40,12 @@ def summarize(
     The groups are few against the lines, so the partial aggregate in front of the shuffle leaves
     little to move even if one file or hour holds most of the input.
     """
-    message, raw, ts = F.col("message"), F.col("raw"), F.col("ts")
+    message, lower, ts = F.col("message"), F.col("_lower"), F.col("ts")
+    entries = entries.withColumn("_lower", F.lower("raw"))
     is_error = is_error_level(F.col("level"))
-    counters = [F.count_if(is_error & rule_matches(message, regex)).alias(f"rule_{i}") for i, (_, regex) in enumerate(rules)]
-    counters += [F.count_if(contains_ignore_case(raw, kw)).alias(f"keyword_{i}") for i, kw in enumerate(keywords)]
+    counters = [
+        F.count_if(is_error & rule_matches(message, regex)).alias(f"rule_{i}") for i, (_, regex) in enumerate(rules)
+    ] + [F.count_if(contains_ignore_case(lower, kw)).alias(f"keyword_{i}") for i, kw in enumerate(keywords)]
     groups = entries.groupBy(
         "level",
         "source_file",
@@ -155,6 +157,6 @@ def metric_rows(
         one("file", F.col("source_file")),
         F.when(F.col("hour").isNotNull(), one("hour", F.col("hour"))).otherwise(nothing),
         F.when(is_error_level(F.col("level")), patterns).otherwise(nothing),
-        each("keyword", keywords_of(F.col("raw"), keywords)),
+        each("keyword", keywords_of(F.col("_lower"), keywords)),
     )
-    return entries.select(F.inline(rows))
+    return entries.withColumn("_lower", F.lower("raw")).select(F.inline(rows))
