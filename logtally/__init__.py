@@ -24,6 +24,7 @@ from logtally.operators.select import (
 )
 from logtally.plans.analysis import Analysis, Options, analyze, analyze_lines
 from logtally.plans.metrics import add_up, all_metrics, metrics_of, overview_of, summarize
+from logtally.plans.monitor import Monitor, monitor
 from logtally.plans.report import print_report, report_lines, write_report
 from logtally.sources.events import log_lines_from_events
 from logtally.sources.files import scan_logs, scan_numbered_logs, stream_logs, write_logs

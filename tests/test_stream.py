@@ -223,3 +223,25 @@ def test_time_range(spark, tmp_path):
     lt.start_updates(stream, str(tmp_path / "state"), lt.update_table(updates), poll_ms=None).awaitTermination()
     row = spark.read.parquet(updates).select(F.date_format("earliest", "HH"), F.date_format("latest", "HH")).first()
     assert row == ("08", "09")
+
+
+def test_monitor_carries_a_batch_on(spark, tmp_path):
+    path = tmp_path / "app.log"
+    path.write_text(f"{ERROR}\n{INFO}\n")
+    batch = lt.analyze(spark, [str(path)]).metrics
+    folder = str(tmp_path / "monitor")
+
+    def counted(*raw):
+        monitor = lt.monitor(spark, str(path), folder, batch_metrics=batch, poll_ms=100)
+        try:
+            monitor.process_available()
+            append(path, "".join(line + "\n" for line in raw).encode())
+            monitor.process_available()
+            return as_dict(monitor.metrics())
+        finally:
+            monitor.stop()
+
+    counts = counted(ERROR, "x")
+    assert counts["total", ""] == 4 and counts["level", "ERROR"] == 2 and counts["malformed", ""] == 1
+    assert counted("FATAL y")["total", ""] == 5
+    assert [r.raw for r in spark.read.parquet(f"{folder}/alerts").orderBy("raw").collect()] == [ERROR, "FATAL y"]
