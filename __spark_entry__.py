@@ -55,7 +55,7 @@ def _files(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) ->
 
 
 def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lt.scan_logs(spark, [_files(spark, sf_dir)])
+    return lt.scan_logs(spark, [_files(spark, sf_dir)]).select("source_file", "raw")
 
 
 def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +143,7 @@ def stream_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tail_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a tail over the files from their beginning, in many byte ranges."""
-    folder = _files(spark, sf_dir).removeprefix("file://")
+    folder = _files(spark, sf_dir)
     stream = lt.tail_logs(spark, f"{folder}/*/part-*", start="beginning", rangeBytes=str(256 << 10))
     name = F.regexp_extract("file_path", "source_file=([^/]+)", 1)
     return _run(spark, lt.running_metrics(lt.parse_logs(stream.withColumn("source_file", name)), keywords=KEYWORDS))

@@ -27,6 +27,19 @@ HEADINGS = (
     "▶ HOURLY ACTIVITY",
     "▶ PER-FILE STATISTICS",
 )
+# How the lines of the report are formatted.
+TOTAL_FORMAT = "  Total Lines Read   : %,d"
+PROCESSED_FORMAT = "  Parsed Entries     : %,d"
+MALFORMED_FORMAT = "  Malformed Lines    : %,d"
+EARLIEST_FORMAT = "  Earliest Timestamp : %s"
+LATEST_FORMAT = "  Latest Timestamp   : %s"
+LEVEL_FORMAT = "  %-8s : %,7d  (%5.1f%%)  %s"
+PATTERN_FORMAT = "  %2d. %-40s  %,d occurrences"
+NO_ERRORS = "  (no errors detected)"
+KEYWORD_FORMAT = "  %-25s : %,d hits"
+HOUR_FORMAT = "  %s  %,6d  %s"
+FILE_FORMAT = "  %-40s  %,d lines"
+
 OVERVIEW, LEVEL, PATTERN, KEYWORD, HOUR, FILE, END = range(1, 8)
 
 # Section, place in the section (heading, rule, lines, blank), then rank and key among its lines.
@@ -45,10 +58,6 @@ def _lines(rows: DataFrame, section: int, rank: Column, key: Column, line: Colum
     )
 
 
-def _text(template: str, *cols: Column | str) -> Column:
-    return F.format_string(template, *cols)
-
-
 def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> DataFrame:
     """Lines of the report with the columns that order them (``ORDER``).
 
@@ -77,17 +86,17 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
         if not hidden.get(section):
             frame += [(section, 0, 0, "", heading), (section, 1, 0, "", RULE), (section, BLANK, 0, "", "")]
     if facts.patterns == 0:
-        frame.append((PATTERN, LINES, 0, "", "  (no errors detected)"))
+        frame.append((PATTERN, LINES, 0, "", NO_ERRORS))
 
     def stamp(name: str) -> Column:
         return F.substring_index(F.col(name).cast("string"), ".", 1)
 
     overview_lines = [
-        _text("  Total Lines Read   : %,d", "total"),
-        _text("  Parsed Entries     : %,d", "processed"),
-        _text("  Malformed Lines    : %,d", "malformed"),
-        F.when(F.col("earliest").isNotNull(), _text("  Earliest Timestamp : %s", stamp("earliest"))),
-        F.when(F.col("latest").isNotNull(), _text("  Latest Timestamp   : %s", stamp("latest"))),
+        F.format_string(TOTAL_FORMAT, "total"),
+        F.format_string(PROCESSED_FORMAT, "processed"),
+        F.format_string(MALFORMED_FORMAT, "malformed"),
+        F.when(F.col("earliest").isNotNull(), F.format_string(EARLIEST_FORMAT, stamp("earliest"))),
+        F.when(F.col("latest").isNotNull(), F.format_string(LATEST_FORMAT, stamp("latest"))),
     ]
     overview_rows = overview.select(F.posexplode(F.array(*overview_lines)).alias("rank", "line"))
     overview_rows = overview_rows.filter(F.col("line").isNotNull())
@@ -99,19 +108,19 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
         _lines(overview_rows, OVERVIEW, F.col("rank"), F.lit(""), F.col("line")),
         _lines(
             of("level"), LEVEL, level_rank, key,
-            _text("  %-8s : %,7d  (%5.1f%%)  %s", key, count, pct, bar(pct, LEVEL_BAR)),
+            F.format_string(LEVEL_FORMAT, key, count, pct, bar(pct, LEVEL_BAR)),
         ),
         _lines(
             patterns, PATTERN, F.col("rank"), F.col("pattern"),
-            _text("  %2d. %-40s  %,d occurrences", "rank", "pattern", "count"),
+            F.format_string(PATTERN_FORMAT, "rank", "pattern", "count"),
         ),
-        _lines(of("keyword"), KEYWORD, -count, key, _text("  %-25s : %,d hits", key, count)),
+        _lines(of("keyword"), KEYWORD, -count, key, F.format_string(KEYWORD_FORMAT, key, count)),
     ]
     if not hidden[HOUR]:
         hour_bar = bar(count * F.lit(100.0) / F.lit(facts.busiest), HOUR_BAR)
-        sections.append(_lines(of("hour"), HOUR, zero, key, _text("  %s  %,6d  %s", key, count, hour_bar)))
+        sections.append(_lines(of("hour"), HOUR, zero, key, F.format_string(HOUR_FORMAT, key, count, hour_bar)))
     if not hidden[FILE]:
-        sections.append(_lines(of("file"), FILE, -count, key, _text("  %-40s  %,d lines", key, count)))
+        sections.append(_lines(of("file"), FILE, -count, key, F.format_string(FILE_FORMAT, key, count)))
     rows = spark.createDataFrame(frame, _SCHEMA)
     for part in sections:
         rows = rows.unionByName(part)

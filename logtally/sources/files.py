@@ -39,15 +39,17 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def _named(lines: DataFrame) -> DataFrame:
-    """Name the line ``raw`` and add the base name of its file, unless a folder
-    ``source_file=...`` already gives one."""
-    if "source_file" not in lines.columns:
-        lines = lines.withColumn("source_file", F.col("_metadata.file_name"))
-    return lines.withColumnRenamed("value", "raw").select("raw", "source_file")
+    """Name the line ``raw`` and add its ``file_path`` and, as ``source_file``, the base name of it.
+
+    A folder ``source_file=...`` that already gives a name goes first.
+    """
+    name = F.col("source_file" if "source_file" in lines.columns else "_metadata.file_name")
+    path = F.col("_metadata.file_path")
+    return lines.select(F.col("value").alias("raw"), name.alias("source_file"), path.alias("file_path"))
 
 
 def scan_logs(spark: SparkSession, paths: Sequence[str], skip_corrupt: bool = False) -> DataFrame:
-    """``raw`` and ``source_file`` of every line in the given files, folders or patterns.
+    """``raw``, ``source_file`` and ``file_path`` of every line in the given files, folders or patterns.
 
     Lines end with ``\\n``, ``\\r`` or ``\\r\\n``. Files with the same base name count as one, and
     a path given twice counts twice. Files that vanish before they are read are skipped; with

@@ -53,6 +53,14 @@ class ByteRange(InputPartition):
     end: int
 
 
+def local_path(path: str) -> str:
+    """A path without its ``file:`` scheme; other schemes are refused."""
+    scheme, rest = re.fullmatch(r"(?:([A-Za-z][\w+.-]*):(?://)?(?=/))?(.*)", path, re.DOTALL).groups()
+    if scheme not in (None, "file"):
+        raise ValueError(f"the tail source reads mounted files, not {path}")
+    return rest
+
+
 def complete_until(path: str) -> int:
     """Position after the last finished line. A final ``\\r`` may be half of a ``\\r\\n``."""
     with open(path, "rb") as file:
@@ -117,7 +125,7 @@ def lines_in(file, part: ByteRange) -> Iterator[tuple[int, bytes]]:
 
 class TailReader(DataSourceStreamReader):
     def __init__(self, options: Mapping[str, str]) -> None:
-        self.pattern = options["path"].removeprefix("file://")
+        self.pattern = local_path(options["path"])
         self.starting = options.get("startingPosition", "end")
         self.range_bytes = int(options.get("rangeBytes", 64 << 20))
         self.fail_on_data_loss = options.get("failOnDataLoss", "false").lower() == "true"

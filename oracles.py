@@ -5,6 +5,7 @@ from __future__ import annotations
 from logtally.functions.matching import DEFAULT_PATTERN
 from logtally.sources.events import LINES_SQL
 
+# The keywords of the sample configuration, the levels in report order, the error rules.
 KEYWORDS = ("Exception", "Error", "timeout", "fail", "OOM", "connection refused", "deadlock")
 LEVELS = ("FATAL", "ERROR", "WARN", "INFO", "DEBUG", "TRACE", "UNKNOWN")
 RULES = (

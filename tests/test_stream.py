@@ -10,7 +10,7 @@ from conftest import KEYWORDS
 from pyspark.sql import functions as F
 
 import logtally as lt
-from logtally.sources.tail import ByteRange, TailReader, complete_until, lines_in
+from logtally.sources.tail import ByteRange, TailReader, complete_until, lines_in, local_path
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -245,3 +245,9 @@ def test_monitor_carries_a_batch_on(spark, tmp_path):
     assert counts["total", ""] == 4 and counts["level", "ERROR"] == 2 and counts["malformed", ""] == 1
     assert counted("FATAL y")["total", ""] == 5
     assert [r.raw for r in spark.read.parquet(f"{folder}/alerts").orderBy("raw").collect()] == [ERROR, "FATAL y"]
+
+
+def test_tail_paths():
+    assert [local_path(p) for p in ("/a/*.log", "file:/a/b", "file:///a/b")] == ["/a/*.log", "/a/b", "/a/b"]
+    with pytest.raises(ValueError, match="mounted"):
+        local_path("hdfs://host/a")
