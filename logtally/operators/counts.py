@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtally.functions.levels import REPORT_ORDER
+from logtally.functions.literal import literal_rows
 from logtally.functions.patterns import BASELINE_RULES, DEFAULT_KEYWORDS, ERROR_RULES, Rule
 from logtally.functions.render import HOUR_BAR, LEVEL_BAR, bar
 from logtally.functions.timestamps import hour_label, hour_number
@@ -27,7 +28,7 @@ def overview(entries: DataFrame) -> DataFrame:
 
 def level_counts(entries: DataFrame) -> DataFrame:
     """Lines per level, all seven levels present."""
-    levels = entries.sparkSession.createDataFrame(list(enumerate(REPORT_ORDER)), "ordinal int, level string")
+    levels = literal_rows(entries.sparkSession, "ordinal, level", list(enumerate(REPORT_ORDER)))
     # At most seven rows on either side.
     counts = F.broadcast(entries.groupBy("level").count())
     return levels.join(counts, "level", "left").select(

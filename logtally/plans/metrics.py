@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.functions.levels import LEVELS, is_error_level
+from logtally.functions.literal import literal_rows
 from logtally.functions.patterns import (
     DEFAULT_KEYWORDS,
     ERROR_RULES,
@@ -89,7 +90,7 @@ def _counter_metrics(metric: str, names: Sequence[str], counters: str) -> list[C
 def _zeros(spark: SparkSession) -> DataFrame:
     """The metrics that are there even if nothing was counted."""
     rows = [(name, "", 0) for name in TOTALS] + [("level", level, 0) for level in LEVELS]
-    return spark.createDataFrame(rows, "metric string, key string, count bigint")
+    return literal_rows(spark, "metric, key, count", rows)
 
 
 def add_up(*metrics: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtally.functions.levels import REPORT_ORDER
+from logtally.functions.literal import literal_rows
 from logtally.functions.render import HOUR_BAR, LEVEL_BAR, bar
 from logtally.operators.counts import share, top_error_patterns
 
@@ -45,7 +46,6 @@ OVERVIEW, LEVEL, PATTERN, KEYWORD, HOUR, FILE, END = range(1, 8)
 # Section, place in the section (heading, rule, lines, blank), then rank and key among its lines.
 ORDER = ("section", "place", "rank", "key")
 LINES, BLANK = 2, 3
-_SCHEMA = "section int, place int, rank bigint, key string, line string"
 
 
 def _lines(rows: DataFrame, section: int, rank: Column, key: Column, line: Column) -> DataFrame:
@@ -65,7 +65,6 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
     metrics is fetched here to choose the sections. No section is collected or numbered as a whole;
     files and hours sort by columns, whatever their number.
     """
-    spark = metrics.sparkSession
     counted = metrics.filter(F.col("count") > 0)
     count, key, zero = F.col("count"), F.col("key"), F.lit(0)
 
@@ -121,7 +120,7 @@ def report_lines(metrics: DataFrame, overview: DataFrame, top: int = 10) -> Data
         sections.append(_lines(of("hour"), HOUR, zero, key, F.format_string(HOUR_FORMAT, key, count, hour_bar)))
     if not hidden[FILE]:
         sections.append(_lines(of("file"), FILE, -count, key, F.format_string(FILE_FORMAT, key, count)))
-    rows = spark.createDataFrame(frame, _SCHEMA)
+    rows = literal_rows(metrics.sparkSession, ", ".join((*ORDER, "line")), frame)
     for part in sections:
         rows = rows.unionByName(part)
     return rows
