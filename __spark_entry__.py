@@ -73,9 +73,9 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line twice, as if its file had been given twice; each remains once."""
+    """Every line twice, as if its file had been given twice; each remains once and is parsed once."""
     lines = _lines(spark, sf_dir)
-    return lt.dedupe_entries(lt.parse_logs(lines.unionByName(lines))).select(*ENTRY_COLUMNS)
+    return lt.parse_logs(lt.dedupe_entries(lines.unionByName(lines))).select(*ENTRY_COLUMNS)
 
 
 def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

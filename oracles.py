@@ -267,7 +267,7 @@ ORACLES = {
     "baseline_metrics": METRICS.replace(_RULE_HITS, _RULE_HITS.split(" UNION ALL SELECT 'Timeout")[0])
     + " SELECT metric, key, count FROM metrics WHERE metric <> 'malformed'",
     "top_error_patterns": PATTERNS
-    + " SELECT pattern, count, row_number() OVER (ORDER BY count DESC, pattern) AS rank FROM patterns"
+    + " SELECT pattern, count, CAST(row_number() OVER (ORDER BY count DESC, pattern) AS INT) AS rank FROM patterns"
     " ORDER BY count DESC, pattern LIMIT 10",
     "keyword_hits": ENTRIES
     + KEYWORD_ROWS
