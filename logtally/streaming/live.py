@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -17,6 +18,9 @@ from logtally.operators.select import error_entries
 from logtally.plans.metrics import metric_rows
 
 POLL_MS = 500
+# Micro-batches after which an update table is merged.
+MERGE_EVERY = 100
+_MERGED = 10**12
 
 
 def running_metrics(
@@ -73,22 +77,64 @@ def start_updates(
     return _writer(running, "update", checkpoint, poll_ms).foreachBatch(on_update).start()
 
 
-def update_table(folder: str) -> Callable[[DataFrame, int], None]:
+def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _subfolders(spark: SparkSession, folder: str, before: int) -> list[str]:
+    """The subfolders of an update table with a number smaller than that."""
+    system, pattern = _file_system(spark, f"{folder}/batch=*")
+    paths = [status.getPath().toString() for status in system.globStatus(pattern) or []]
+    return [path for path in paths if int(path.rsplit("=", 1)[1]) < before]
+
+
+def _newest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row of the last micro-batch for every key."""
+    values = [c for c in updates.columns if c not in (*keys, "batch")]
+    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
+    return newest.select(*keys, "_newest.*")
+
+
+def _merge(spark: SparkSession, folder: str, keys: Sequence[str], before: int) -> None:
+    """Replace the subfolders of earlier micro-batches by one with the newest row of every key.
+
+    It takes a number below all micro-batches, and above those of earlier merges. The others are
+    removed only once it is complete, so a merge that was cut short is made up for by the next try.
+    """
+    merged = f"{folder}/batch={before - _MERGED}"
+    name = merged.rsplit("/", 1)[1]
+    earlier = [path for path in _subfolders(spark, folder, before) if not path.endswith(f"/{name}")]
+    if not earlier:
+        return
+    system, done = _file_system(spark, f"{merged}/_SUCCESS")
+    if not system.exists(done):
+        updates = spark.read.option("basePath", folder).parquet(*earlier)
+        _newest(updates, keys).write.mode("overwrite").parquet(merged)
+    for path in earlier:
+        system.delete(_file_system(spark, path)[1], True)
+
+
+def update_table(
+    folder: str, keys: Sequence[str] = ("metric", "key"), merge_every: int = MERGE_EVERY
+) -> Callable[[DataFrame, int], None]:
     """An ``on_update`` that keeps each micro-batch's rows in a subfolder of its own.
 
-    A repeated micro-batch replaces its subfolder.
+    A repeated micro-batch replaces its subfolder. Every so many micro-batches the earlier ones are
+    merged, so the table does not grow with time.
     """
 
     def write(updates: DataFrame, number: int) -> None:
         updates.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        if number % merge_every == 0:
+            _merge(updates.sparkSession, folder, keys, number)
 
     return write
 
 
-def latest(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest value of every key in an update table."""
-    updates = spark.read.parquet(folder)
-    return updates.groupBy("metric", "key").agg(F.max_by("count", "batch").alias("count"))
+def latest(spark: SparkSession, folder: str, keys: Sequence[str] = ("metric", "key")) -> DataFrame:
+    """The newest row of every key in an update table."""
+    return _newest(spark.read.option("ignoreMissingFiles", True).parquet(folder), keys)
 
 
 def start_alerts(

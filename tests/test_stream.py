@@ -251,3 +251,27 @@ def test_tail_paths():
     assert [local_path(p) for p in ("/a/*.log", "file:/a/b", "file:///a/b")] == ["/a/*.log", "/a/b", "/a/b"]
     with pytest.raises(ValueError, match="mounted"):
         local_path("hdfs://host/a")
+
+
+def test_update_table_is_merged_now_and_then(spark, tmp_path):
+    folder = tmp_path / "updates"
+    write = lt.update_table(str(folder), merge_every=3)
+
+    def batch(number, **counts):
+        rows = [("level", k, n) for k, n in counts.items()]
+        write(spark.createDataFrame(rows, "metric string, key string, count bigint"), number)
+
+    for number in range(8):
+        batch(number, INFO=number + 1, **({"WARN": 7} if number == 1 else {}))
+        batch(number, INFO=number + 1, **({"WARN": 7} if number == 1 else {}))  # repeated after a failure
+    assert as_dict(lt.latest(spark, str(folder))) == {("level", "INFO"): 8, ("level", "WARN"): 7}
+    numbers = sorted(int(p.name.removeprefix("batch=")) for p in folder.iterdir())
+    assert numbers == [6 - 10**12, 6, 7]
+    # A merge that broke off while it was written is done again.
+    write = lt.update_table(str(folder), merge_every=8)
+    broken = folder / f"batch={8 - 10**12}"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"half")
+    batch(8, INFO=9)
+    assert as_dict(lt.latest(spark, str(folder))) == {("level", "INFO"): 9, ("level", "WARN"): 7}
+    assert len(list(folder.iterdir())) == 2
