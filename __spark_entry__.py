@@ -7,6 +7,7 @@ about files and streams write these lines to text files below the shared folder
 from __future__ import annotations
 
 import functools
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,20 @@ from logtally.functions.timestamps import parse_timestamp
 from logtally.session import ensure_checkpoint_dir, shared_folder, tune
 from oracles import GENERATED_FILES, KEYWORDS, ORACLES, SEED, STAMPS, TOKENS
 
+
+
+def _optional(name: str):
+    """A module that an installation may lack; an error inside it is still an error."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name and (name == error.name or name.startswith(f"{error.name}.")):
+            return None
+        raise
+
+
+corpus = _optional("logtally.llm.queries")
+pipeline = _optional("corpus_pipeline") if corpus else None
 ENTRY_COLUMNS = ("source_file", "line_number", "ts", "level", "thread", "logger", "message", "raw", "malformed", "hour")
 ID = ("source_file", "line_number")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,7 +167,7 @@ def tail_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Name to ``(spark, sf_dir) -> DataFrame``."""
     hits = functools.partial(lt.keyword_hits, keywords=KEYWORDS)
-    return {
+    own = {
         "scan_logs": scan_files,
         "line_numbers": line_numbers,
         "parse_logs": _on_entries(lambda e: e.select(*ENTRY_COLUMNS)),
@@ -186,11 +201,21 @@ def queries() -> dict[str, Query]:
         "tail_metrics": tail_metrics,
         "generate_logs": generate,
     }
+    if corpus:
+        own |= corpus.queries()
+    if pipeline:
+        own["pipeline"] = pipeline.run
+    return own
 
 
 def oracle_sql() -> dict[str, str]:
     """Name to the DuckDB statement with the same result."""
-    return dict(ORACLES)
+    own = dict(ORACLES)
+    if corpus:
+        own |= corpus.ORACLES
+    if pipeline and pipeline.ORACLE_SQL:
+        own["pipeline"] = pipeline.ORACLE_SQL
+    return own
 
 
 def entry(spark: SparkSession) -> DataFrame:
