@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,3 +53,12 @@ def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iter
         total += length
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which null keys are equal; the right side's keys are left out."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(renamed, functools.reduce(Column.__and__, same), how)
+    # A semi-join has the left side's columns only; dropping what is not there does nothing.
+    return joined.drop(*(f"_right_{k}" for k in keys))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import sentencepiece_bpe, simhash
+from logtally.llm import language_id, line_dedup, mixing, sentencepiece_bpe, simhash, toxicity
+from logtally.llm.common import held_out
+from logtally.llm.oracles import ORACLES  # noqa: F401
 from logtally.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +27,37 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir).select("doc_id", "text", "lang", held_out("doc_id").alias("held_out"))
+    model = language_id.train(docs.filter(~F.col("held_out")))
+    return language_id.identify(docs.drop("lang"), model).drop("text")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir).select("doc_id", "text", held_out("doc_id").alias("held_out"))
+    model = toxicity.train(docs.filter(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return toxicity.classify(docs, model).drop("text")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = line_dedup.line_dedup(table(spark, sf_dir).select("doc_id", "text", "source"))
+    return clean.select(
+        "doc_id",
+        F.size(F.split("text", "\n", -1)).cast("long").alias("n_kept"),
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed"),
+        F.sha2("text", 256).alias("clean_sha256"),
+    )
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     encoded = sentencepiece_bpe.encode(table(spark, sf_dir).select("doc_id", "text"), path).drop("text")
@@ -41,7 +70,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op10_sentencepiece)}
-
-
-ORACLES: dict[str, str] = {}
+    every = (
+        op1_language_id,
+        op3_mixing,
+        op4_simhash_near_dedup,
+        op5_toxicity,
+        op6_line_dedup,
+        op10_sentencepiece,
+    )
+    return {f.__name__: f for f in every}
