@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import language_id, line_dedup, mixing, sentencepiece_bpe, simhash, toxicity
+from logtally.llm import (
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    secret_scan,
+    sentencepiece_bpe,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from logtally.llm.common import held_out
 from logtally.llm.oracles import ORACLES  # noqa: F401
 from logtally.session import ensure_checkpoint_dir
@@ -33,6 +43,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.drop("lang"), model).drop("text")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir)).drop("row")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -58,6 +72,23 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(table(spark, sf_dir), repository=F.concat_ws("/", "source", "lang"))
+    of = lambda what: F.size(F.filter("base", what)).cast("long")
+    return found.select(
+        "doc_id",
+        *(of(lambda s, k=k: s["kind"] == k).alias(f"n_{kind.name}") for k, kind in enumerate(secret_scan.KINDS)),
+        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+        of(lambda s: s["standing"] == "live").alias("n_live"),
+        of(lambda s: s["standing"] == "example").alias("n_example"),
+    )
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_filter(table(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     encoded = sentencepiece_bpe.encode(table(spark, sf_dir).select("doc_id", "text"), path).drop("text")
@@ -72,10 +103,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     every = (
         op1_language_id,
+        op2_substring_dedup,
         op3_mixing,
         op4_simhash_near_dedup,
         op5_toxicity,
         op6_line_dedup,
+        op7_secret_scan,
+        op9_quality_rules,
         op10_sentencepiece,
     )
     return {f.__name__: f for f in every}
