@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.llm import (
+    embedding_dedup,
     language_id,
     line_dedup,
     mixing,
@@ -85,6 +86,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_filter(table(spark, sf_dir).select("doc_id", "text")).drop("text")
 
@@ -109,6 +114,7 @@ def queries() -> dict[str, Query]:
         op5_toxicity,
         op6_line_dedup,
         op7_secret_scan,
+        op8_embedding_near_dedup,
         op9_quality_rules,
         op10_sentencepiece,
     )
