@@ -1,22 +1,22 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
-The symbols of many words lie in one flat numpy array. Each round finds the best pair of every word
-(a segmented minimum over pair ranks), merges all its occurrences from the left, and compacts the
-arrays; words without a mergeable pair leave. Words do not influence each other, as no piece of the
-vocabulary holds a space mark behind another character, so a text is the sequence of its words.
-
-A merge can make a pair that ranks before the one just merged, or with it (``the`` next to a space
-mark makes the earlier ``▁the``). Where that is possible for a piece, only its leftmost occurrence in a
-word is merged in a round, so the order of merges stays that of the library. Words that still have
-pairs after ``ROUNDS`` rounds (only words of more symbols than that: unbroken scripts, long runs of
-spaces) go on with a queue of pairs, as their rounds would be many and each would pass over them whole.
+The symbols of many words lie in flat numpy arrays, words of equally many symbols side by side. A round
+takes the words that have ``n`` symbols now, from the longest on: it finds the best pair of each (a segmented
+minimum over pair ranks), merges the leftmost such pair of all of them at once, compacts the arrays, and
+looks up the two pairs that changed in each. The words then have ``n - 1`` symbols and join those that
+had so many from the start; words without a mergeable pair leave. That is the order of merges of the
+library, which takes the best pair first and the leftmost of equal ones.
+
+Words do not influence each other, as no piece of the vocabulary holds a space mark behind another
+character, so a text is the sequence of its words, and each word is encoded once. Words of over
+``LONG`` symbols (unbroken scripts, long runs of spaces) go through a queue of pairs instead, as a round
+would pass over all of their symbols for each merge.
 """
 
 from __future__ import annotations
 
 import codecs
 import heapq
-import itertools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -29,54 +29,61 @@ from logtally.llm.common import slices
 
 SPACE = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
-#: Symbols worked on at a time; the arrays of a step stay in the processor's cache.
-STEP_SYMBOLS = 1 << 16
-ROUNDS = 64
-#: Words whose ids a task remembers at most; beyond that it starts anew. Longer words are not kept.
-CACHE_WORDS, CACHE_CHARS = 300_000, 64
+#: Symbols of a word that goes through rounds at most, and words that take part in them together.
+LONG, STEP_WORDS = 64, 1 << 16
+#: Words whose ids a worker remembers at most; beyond that it starts anew. Longer words are not kept.
+CACHE_WORDS, CACHE_CHARS = 400_000, 48
+_SLICE, _DECODED_ROWS = 2_000_000, 512
 _SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
 class PairTable:
-    """(left, right) -> merged symbol, as three hash tables; a pair is in the first that had room."""
+    """(left, right) -> merged symbol, as hash tables; a pair is in the first that had room.
+
+    An entry holds the pair, a flag that some pair of this slot is in the next table, and the symbol.
+    """
 
     BITS = 19
     FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
     def __init__(self, pairs: dict[tuple[int, int], int], symbols: int) -> None:
-        self.symbols = symbols
-        size = 1 << self.BITS
-        keys = np.array([a * symbols + b for a, b in pairs], np.int64)
-        values = np.array(list(pairs.values()), np.int32)
-        self.tables = []
-        for factor in self.FACTORS:
+        if symbols >= 1 << 20:
+            raise ValueError("the vocabulary is too large for the tables")
+        keys = np.array([a << 20 | b for a, b in pairs], np.int64)
+        values = np.array(list(pairs.values()), np.int64)
+        self.tables: list[tuple[np.uint64, np.ndarray]] = []
+        for factor in map(np.uint64, self.FACTORS):
+            table = np.full(1 << self.BITS, -2, np.int64) << 22
             slots = self._slots(keys, factor)
             _, first = np.unique(slots, return_index=True)
-            table_keys, table_values = np.full(size, -1, np.int64), np.full(size, _NONE, np.int32)
-            table_keys[slots[first]], table_values[slots[first]] = keys[first], values[first]
-            self.tables.append((factor, table_keys, table_values))
+            table[slots[first]] = keys[first] << 22 | values[first]
             left = np.ones(len(keys), bool)
             left[first] = False
+            table[slots[left]] |= 1 << 21
             keys, values = keys[left], values[left]
+            self.tables.append((factor, table))
             if not len(keys):
-                break
-        if len(keys):
-            raise ValueError("the vocabulary has too many pairs for the tables")
+                return
+        raise ValueError("the vocabulary has too many pairs for the tables")
 
-    def _slots(self, keys: np.ndarray, factor: int) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(factor)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+    def _slots(self, keys: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return ((keys.view(np.uint64) * factor) >> np.uint64(64 - self.BITS)).view(np.int64)
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The merged symbol of each pair, ``_NONE`` where there is none (negative symbols never merge)."""
-        keys = left.astype(np.int64) * self.symbols + right
-        keys[(left < 0) | (right < 0)] = -2
-        out = np.full(len(keys), _NONE, np.int32)
-        for factor, table_keys, table_values in self.tables:
-            slots = self._slots(keys, factor)
-            hit = table_keys[slots] == keys
-            out[hit] = table_values[slots[hit]]
+        return self._find(left.astype(np.int64) << 20 | right, 0)
+
+    def _find(self, keys: np.ndarray, k: int) -> np.ndarray:
+        factor, table = self.tables[k]
+        entry = table[self._slots(keys, factor)]
+        hit = (entry >> 22) == keys
+        out = np.where(hit, entry & ((1 << 21) - 1), _NONE).astype(np.int32)
+        if k + 1 < len(self.tables):
+            more = np.flatnonzero(~hit & ((entry >> 21 & 1) == 1))
+            if len(more):
+                out[more] = self._find(keys[more], k + 1)
         return out
 
 
@@ -106,12 +113,13 @@ class PieceModel:
         self.fallback = bool(spec.trainer_spec.byte_fallback) and len(self.byte_ids) == 256
         self.end = spec.trainer_spec.eos_id
         # What an id stands for when it is decoded.
-        self.surface = [p.piece.replace(SPACE, " ").encode() if p.type == kind.NORMAL else b"" for p in spec.pieces]
+        surface = [p.piece.replace(SPACE, " ").encode() if p.type == kind.NORMAL else b"" for p in spec.pieces]
         for value, i in self.byte_ids.items():
-            self.surface[i] = bytes([value])
-        self.surface[self.unknown] = spec.trainer_spec.unk_surface.encode()
-        self.controls = frozenset(i for i, p in enumerate(spec.pieces) if p.type == kind.CONTROL)
-        self.written = [p.type == kind.NORMAL for p in spec.pieces]
+            surface[i] = bytes([value])
+        surface[self.unknown] = spec.trainer_spec.unk_surface.encode()
+        self.surface = np.array(surface, object)
+        self.is_control = np.array([t == kind.CONTROL for t in types])
+        self.written = np.array([t == kind.NORMAL for t in types])
         # Symbols are piece ids, then the characters that occur in pieces without being one.
         symbol = dict(normal)
         for char in sorted(set("".join(normal))):
@@ -127,16 +135,18 @@ class PieceModel:
         self.rank = np.full(len(self.char_of), _NONE, np.int32)
         for i, value in score.items():
             self.rank[i] = ranks[value]
-        pairs, unsafe = {}, np.zeros(len(self.char_of), bool)
+        # The piece of each rank, or -1 where several share it.
+        self.of_rank = np.full(len(ranks) + 1, -1, np.int32)
+        shared = np.bincount([ranks[v] for v in score.values()], minlength=len(ranks)) > 1
+        for i, value in score.items():
+            if not shared[ranks[value]]:
+                self.of_rank[ranks[value]] = i
+        pairs = {}
         for piece, i in normal.items():
             for cut in range(1, len(piece)):
                 a, b = symbol.get(piece[:cut]), symbol.get(piece[cut:])
-                if a is None or b is None:
-                    continue
-                pairs[a, b] = i
-                for part in (a, b):
-                    unsafe[part] |= self.rank[i] <= self.rank[part]
-        self.unsafe = unsafe
+                if a is not None and b is not None:
+                    pairs[a, b] = i
         self.pairs = pairs
         self.table = PairTable(pairs, len(self.char_of))
         # Characters up to the last in the vocabulary; the rest are unknown.
@@ -147,84 +157,83 @@ class PieceModel:
 
     def segments(self, text: str) -> list[str]:
         """The words of a text, each with the space marks before it."""
-        if not text:
-            return []
-        if self.prefix and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            return [SPACE + word for word in text.split(" ")]
-        return _SEGMENT.findall(self.prefix + text.replace(" ", SPACE))
-
-    def encode_words(self, words: Sequence[str]) -> list[tuple[int, ...]]:
-        """The ids of each word, each on its own (a word may also be a whole normalised text)."""
-        out: list[tuple[int, ...]] = []
-        start = total = 0
-        for k, word in enumerate(words):
-            if k > start and total + len(word) > STEP_SYMBOLS:
-                out += self._step(words[start:k])
-                start, total = k, 0
-            total += len(word)
-        return out + (self._step(words[start:]) if start < len(words) else [])
+        return _SEGMENT.findall(self.prefix + text.replace(" ", SPACE)) if text else []
 
-    def _step(self, words: Sequence[str]) -> list[tuple[int, ...]]:
+    def encode_words(self, words: Sequence[str]) -> list[bytes]:
+        """The ids of each word by itself, as 32-bit numbers (a word may be a whole normalised text)."""
+        out: list[bytes] = []
+        for start in range(0, len(words), STEP_WORDS):
+            out += self._step(words[start : start + STEP_WORDS])
+        return out
+
+    def _symbols(self, words: Sequence[str]) -> np.ndarray:
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         known = self.by_char[np.minimum(chars, len(self.by_char) - 1)]
-        symbol = np.where(known >= 0, known, -1 - chars).astype(np.int32)
-        done_symbol, done_word = [], []
-
-        def pair_at(where: np.ndarray) -> np.ndarray:
-            """Merged symbol of each place and the next; none at the last of a word."""
-            there = where[where < len(symbol) - 1]
-            got = np.full(len(where), _NONE, np.int32)
-            got[: len(there)] = self.table.merged(symbol[there], symbol[there + 1])
-            got[: len(there)][word[there] != word[there + 1]] = _NONE
-            return got
-
-        pair = pair_at(np.arange(len(symbol)))
-        for turn in itertools.count():
-            if not len(symbol):
-                break
-            if turn == ROUNDS:
-                for k in np.unique(word).tolist():
-                    rest = self._queued(symbol[word == k].tolist())
-                    done_symbol.append(np.array(rest, np.int32))
-                    done_word.append(np.full(len(rest), k))
-                break
-            rank = np.where(pair == _NONE, _NONE, self.rank[np.where(pair == _NONE, 0, pair)])
-            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            sizes = np.diff(np.r_[starts, len(word)])
-            best = np.minimum.reduceat(rank, starts)
+        return np.where(known >= 0, known, -1 - chars).astype(np.int32)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        merged = self.table.merged(left, right)
+        none = merged == _NONE
+        merged[none] = 0
+        ranks = self.rank[merged]
+        ranks[none] = _NONE
+        return ranks
+
+    def _step(self, words: Sequence[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for k, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(k)
+        for length in [n for n in by_length if n > LONG]:
+            for k in by_length.pop(length):
+                out[k] = self._ids(np.array(self._queued(self._symbols([words[k]]).tolist()), np.int32)).tobytes()
+        symbol, rank, owner = np.zeros((0, 0), np.int32), np.zeros((0, 0), np.int32), np.zeros(0, np.int64)
+        for n in range(max(by_length, default=0), 0, -1):
+            if fresh := by_length.get(n):
+                new = self._symbols([words[k] for k in fresh]).reshape(-1, n)
+                new_rank = self._ranks(new[:, :-1].ravel(), new[:, 1:].ravel()).reshape(len(new), n - 1)
+                symbol = np.concatenate([symbol.reshape(len(owner), n), new])
+                rank = np.concatenate([rank.reshape(len(owner), n - 1), new_rank])
+                owner = np.concatenate([owner, fresh])
+            if not len(owner):
+                symbol, rank = np.zeros((0, n - 1), np.int32), np.zeros((0, max(n - 2, 0)), np.int32)
+                continue
+            row = np.arange(len(owner))
+            at = rank.argmin(axis=1) if n > 1 else np.zeros(len(owner), np.int64)  # the leftmost of equal ones
+            best = rank[row, at] if n > 1 else np.full(len(owner), _NONE)
             finished = best == _NONE
             if finished.any():
-                gone = np.repeat(finished, sizes)
-                done_symbol.append(symbol[gone])
-                done_word.append(word[gone])
-                stay = ~gone
-                symbol, word, pair, rank = symbol[stay], word[stay], pair[stay], rank[stay]
-                best, sizes = best[~finished], sizes[~finished]
-                if not len(symbol):
-                    break
-            at = np.flatnonzero(rank == np.repeat(best, sizes))
-            # Of overlapping occurrences every second one, from the left.
-            breaks = np.r_[True, np.diff(at) != 1]
-            in_run = np.arange(len(at)) - np.flatnonzero(breaks)[np.cumsum(breaks) - 1]
-            first = np.r_[True, word[at[1:]] != word[at[:-1]]]
-            at = at[(in_run % 2 == 0) & (first | ~self.unsafe[pair[at]])]
-            symbol[at] = pair[at]
-            stay = np.ones(len(symbol), bool)
-            stay[at + 1] = False
-            moved = at - np.arange(len(at))
-            symbol, word, pair = symbol[stay], word[stay], pair[stay]
-            changed = np.unique(np.r_[moved, moved - 1])
-            changed = changed[changed >= 0]
-            pair[changed] = pair_at(changed)
-        flat, of = np.concatenate(done_symbol), np.concatenate(done_word)
-        order = np.argsort(of, kind="stable")
-        flat, counts = flat[order], np.bincount(of, minlength=len(words))
-        ids = flat.tolist()
-        if (flat < 0).any() or (flat >= self.pieces).any():
-            return self._with_fallback(ids, counts)
-        ends = np.cumsum(counts).tolist()
-        return [tuple(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                self._emit(symbol[finished], owner[finished], out)
+                stay = ~finished
+                symbol, rank, owner, at, best = symbol[stay], rank[stay], owner[stay], at[stay], best[stay]
+                row = row[: len(owner)]
+            if not len(owner):
+                symbol, rank = np.zeros((0, n - 1), np.int32), np.zeros((0, max(n - 2, 0)), np.int32)
+                continue
+            merged = self.of_rank[best]
+            several = np.flatnonzero(merged < 0)
+            if len(several):
+                r, c = row[several], at[several]
+                merged[several] = self.table.merged(symbol[r, c], symbol[r, c + 1])
+            symbol[row, at] = merged
+            keep = np.ones(symbol.shape, bool)
+            keep[row, at + 1] = False
+            symbol = symbol[keep].reshape(-1, n - 1)
+            keep = np.ones(rank.shape, bool)
+            keep[row, at] = False
+            rank = rank[keep].reshape(len(owner), n - 2)
+            for r, c in ((row[at > 0], at[at > 0] - 1), (row[at < n - 2], at[at < n - 2])):
+                rank[r, c] = self._ranks(symbol[r, c], symbol[r, c + 1])
+        return out
+
+    def _emit(self, symbol: np.ndarray, owner: np.ndarray, out: list[bytes]) -> None:
+        plain = ((symbol >= 0) & (symbol < self.pieces)).all(axis=1)
+        for k in np.flatnonzero(~plain).tolist():
+            out[owner[k]] = self._ids(symbol[k]).tobytes()
+        symbol, owner = symbol[plain], owner[plain]
+        blob, size = symbol.tobytes(), 4 * symbol.shape[1]
+        for i, k in enumerate(owner.tolist()):
+            out[k] = blob[i * size : (i + 1) * size]
 
     def _queued(self, symbols: list[int]) -> list[int]:
         """Merge the rest of one word pair by pair, best and then leftmost first."""
@@ -252,37 +261,30 @@ class PieceModel:
             offer(a)
         return [s for s, out in zip(symbols, gone, strict=True) if not out]
 
-    def _with_fallback(self, symbols: list[int], counts: np.ndarray) -> list[tuple[int, ...]]:
-        out, at = [], 0
-        for count in counts.tolist():
-            ids: list[int] = []
-            for s in symbols[at : at + count]:
-                if 0 <= s < self.pieces:
-                    ids.append(s)
-                elif self.fallback:
-                    char = -1 - s if s < 0 else int(self.char_of[s])
-                    ids += [self.byte_ids[b] for b in chr(char).encode()]
-                else:
-                    ids.append(self.unknown)
-            out.append(tuple(ids))
-            at += count
-        return out
-
-    def encoder(self) -> Encoder:
-        return Encoder(self)
+    def _ids(self, symbols: np.ndarray) -> np.ndarray:
+        """Symbols as ids; characters without a piece become their bytes, or the unknown id."""
+        ids: list[int] = []
+        for s in symbols.tolist():
+            if 0 <= s < self.pieces:
+                ids.append(s)
+            elif self.fallback:
+                ids += [self.byte_ids[b] for b in chr(-1 - s if s < 0 else int(self.char_of[s])).encode()]
+            else:
+                ids.append(self.unknown)
+        return np.array(ids, np.int32)
 
     # -- decoding ---------------------------------------------------------------------------------
 
-    def decode(self, ids: Sequence[int]) -> str:
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         """The text of ids: space marks become spaces, the one put in front goes, bytes are joined."""
+        ids = np.asarray(ids, np.int32)
+        control = self.is_control[ids]
         # A control symbol parts the bytes before it from those behind.
-        parts = itertools.groupby(ids, self.controls.__contains__)
-        runs = [ids] if self.controls.isdisjoint(ids) else [list(run) for control, run in parts if not control]
-        text = "".join(b"".join(map(self.surface.__getitem__, r)).decode("utf-8", "each_byte") for r in runs)
+        runs = np.split(ids, np.flatnonzero(control)) if control.any() else [ids]
+        text = "".join(b"".join(self.surface[run].tolist()).decode("utf-8", "each_byte") for run in runs)
         if self.prefix and text[:1] == " ":
-            for i in ids:
-                if self.surface[i]:  # the first that is not a control symbol
-                    return text[1:] if self.written[i] else text
+            first = ids[~control][0]
+            return text[1:] if self.written[first] else text
         return text
 
 
@@ -291,25 +293,53 @@ class Encoder:
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, texts: Sequence[str | None]) -> list[list[int]]:
-        segments = [self.model.segments(text or "") for text in texts]
-        new = set(itertools.chain.from_iterable(segments)).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache = {}
-            new = set(itertools.chain.from_iterable(segments))
-        words = sorted(new, key=len)
-        known = self.cache
-        known.update(zip(words, self.model.encode_words(words), strict=True))
-        out = [list(itertools.chain.from_iterable(map(known.__getitem__, s))) for s in segments]
-        for word in reversed(words):  # the longest come last
-            if len(word) <= CACHE_CHARS:
-                break
-            del known[word]
+        self.plain: dict[str, bytes] = {}  # words between single spaces, without their mark
+        self.other: dict[str, bytes] = {}  # words with the marks before them
+
+    def _learn(self, cache: dict[str, bytes], found: set[str], mark: str) -> list[str]:
+        new = found.difference(cache)
+        if len(cache) + len(new) > CACHE_WORDS:
+            cache.clear()
+            new = found
+        words = list(new)
+        cache.update(zip(words, self.model.encode_words([mark + w for w in words]), strict=True))
+        return [w for w in words if len(w) > CACHE_CHARS]
+
+    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text, as 32-bit numbers."""
+        parts: list[tuple[dict[str, bytes], list[str]]] = []
+        plain: set[str] = set()
+        other: set[str] = set()
+        for text in texts:
+            text = text or ""
+            # Beside single spaces, a mark may join with the next.
+            if text and self.model.prefix and SPACE not in text and "  " not in text and text[0] != " " != text[-1]:
+                words = text.split(" ")
+                plain.update(words)
+                parts.append((self.plain, words))
+            else:
+                words = self.model.segments(text)
+                other.update(words)
+                parts.append((self.other, words))
+        long = [(self.plain, self._learn(self.plain, plain, SPACE)), (self.other, self._learn(self.other, other, ""))]
+        out = [b"".join(map(cache.__getitem__, words)) for cache, words in parts]
+        for cache, words in long:
+            for word in words:
+                del cache[word]
         return out
 
 
+_encoders: dict[bytes, Encoder] = {}
+
+
+def encoder_of(model: bytes) -> Encoder:
+    """The encoder of a model; a worker keeps the last one and what it has met over its tasks."""
+    if model not in _encoders:
+        _encoders.clear()
+        _encoders[model] = Encoder(PieceModel(model))
+    return _encoders[model]
+
+
 def _broadcast(df: DataFrame, model_path: str):
     with open(model_path, "rb") as file:
         return df.sparkSession.sparkContext.broadcast(file.read())
@@ -328,14 +358,13 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
     names = [f.name for f in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceModel(model.value)
-        encoder, tail = pieces.encoder(), [pieces.end] if end else []
+        encoder = encoder_of(model.value)
+        tail = np.array([encoder.model.end] if end else [], np.int32).tobytes()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, _SLICE):
                 encoded = [found + tail for found in encoder(part.column(text).to_pylist())]
-                offsets = np.cumsum([0, *map(len, encoded)], dtype=np.int32)
-                flat = np.fromiter(itertools.chain.from_iterable(encoded), np.int32, int(offsets[-1]))
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                offsets = np.cumsum([0, *(len(found) // 4 for found in encoded)], dtype=np.int32)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, ids])
 
     return df.mapInArrow(run, schema)
@@ -349,13 +378,14 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decode
     names = [f.name for f in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceModel(model.value)
+        pieces = encoder_of(model.value).model
         for batch in batches:
-            lists = batch.column(ids)
-            decoded = pa.array(
-                [pieces.decode(lists[i].values.to_pylist()) if lists[i].is_valid else "" for i in range(len(lists))],
-                pa.string(),
-            )
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), decoded], [*names, text])
+            for at in range(0, batch.num_rows, _DECODED_ROWS):
+                part = batch.slice(at, _DECODED_ROWS)
+                lists = part.column(ids)
+                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                valid = lists.is_valid().to_pylist()
+                texts = [pieces.decode(flat[a:b]) if ok else "" for a, b, ok in zip(ends, ends[1:], valid, strict=False)]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], [*names, text])
 
     return df.mapInArrow(run, schema)
