@@ -86,17 +86,17 @@ def line_dedup(
     text are treated alike. Documents are kept even if no line remains.
     """
     gone = removed_lines(df, id_col, text, site, min_sites, min_words)
-    gone = gone.select(F.col("id").alias(id_col), F.col("digest").alias("_digest"), F.col("removed").alias("_removed"))
-    keyed = df.drop(removed).withColumn("_digest", F.xxhash64(site, text))
-    joined = join_on(keyed, gone, [id_col, "_digest"], "left")
+    gone = gone.select(F.col("id").alias(id_col), F.col("digest").alias("_line_digest"), F.col("removed").alias("_line_removed"))
+    keyed = df.drop(removed).withColumn("_line_digest", F.xxhash64(site, text))
+    joined = join_on(keyed, gone, [id_col, "_line_digest"], "left")
     # The lines are bound once, then read by position.
     kept = F.transform(
         F.array(_lines(F.col(text))),
         lambda lines: F.array_join(
-            F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed")), lambda i: F.get(lines, i)), "\n"
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_line_removed")), lambda i: F.get(lines, i)), "\n"
         ),
     )
-    clean = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.get(kept, F.lit(0)))
+    clean = F.when(F.col("_line_removed").isNull(), F.col(text)).otherwise(F.get(kept, F.lit(0)))
     none = F.array().cast("array<int>")
-    out = joined.withColumn(text, clean).withColumn(removed, F.coalesce("_removed", none))
+    out = joined.withColumn(text, clean).withColumn(removed, F.coalesce("_line_removed", none))
     return out.select(*[c for c in df.columns if c != removed], removed)

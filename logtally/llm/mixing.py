@@ -16,11 +16,12 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtally.llm.common import WORD, join_on, stored
+from logtally.llm.common import WORD, join_on, slices, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Weights of the sources in code point order, repeating; the share of all words that the mix has.
@@ -196,21 +197,32 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
     round ends), and ``chars``, if there, is counted anew. Documents of which nothing is taken are left out.
     Of rows that agree in id, source and text the first stands for all.
     """
-    plan = mixture(df, id_col, text, source).filter("taken > 0")
-    plan = plan.groupBy("doc_id", "source", "digest", F.col("size").alias("_size")).agg(F.sum("taken").alias("_taken"))
-    plan = plan.select(F.col("doc_id").alias(id_col), F.col("source").alias(source), F.col("digest").alias("_digest"), "_size", "_taken")
-    keyed = df.withColumn("_digest", F.xxhash64(text)).dropDuplicates([id_col, source, "_digest"])
-    found = join_on(keyed, plan, [id_col, source, "_digest"]).drop("_digest")
-    whole = found.filter("_taken >= _size").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.floor(F.col("_taken") / F.col("_size")).cast("int"))))
-    part = found.filter("_taken % _size > 0")
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            counts = frame["_taken"] % frame["_size"]
-            frame[text] = [_first_words(t, n) for t, n in zip(frame[text], counts, strict=True)]
-            if chars and chars in frame:
-                frame[chars] = frame[text].str.len()
-            yield frame
-
-    part = part.mapInPandas(cut, part.schema)
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+    plan = mixture(df, id_col, text, source).groupBy("doc_id", "source", "digest", F.col("size").alias("_mix_size"))
+    plan = plan.agg(F.sum("taken").alias("_mix_taken"), F.count("*").alias("_mix_rows")).filter("_mix_taken > 0")
+    plan = stored(plan.withColumnsRenamed({"doc_id": id_col, "source": source, "digest": "_mix_digest"}), "mix-plan")
+    key = [id_col, source, "_mix_digest"]
+    keyed = df.withColumn("_mix_digest", F.xxhash64(text))
+    once = join_on(keyed, plan.filter("_mix_rows = 1"), key)
+    more = join_on(keyed, plan.filter("_mix_rows > 1"), key).dropDuplicates(key)
+    names, schema = df.columns, df.schema
+
+    def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                sizes, taken = part.column("_mix_size").to_numpy(), part.column("_mix_taken").to_numpy()
+                rows = part.select(names)
+                for turn in range(int((taken // sizes).max())):
+                    yield rows.filter(pa.array(taken // sizes > turn))
+                at = np.flatnonzero(taken % sizes)
+                if len(at):
+                    yield _cut(rows.take(pa.array(at)), (taken % sizes)[at].tolist(), text, chars)
+
+    return once.unionByName(more).mapInArrow(repeat, schema)
+
+
+def _cut(rows: pa.RecordBatch, counts: list[int], text: str, chars: str | None) -> pa.RecordBatch:
+    texts = [_first_words(t, n) for t, n in zip(rows.column(text).to_pylist(), counts, strict=True)]
+    new = {text: pa.array(texts, rows.schema.field(text).type)}
+    if chars in rows.schema.names:
+        new[chars] = pa.array([len(t) for t in texts], rows.schema.field(chars).type)
+    return pa.RecordBatch.from_arrays([new.get(n, rows.column(n)) for n in rows.schema.names], rows.schema.names)

@@ -82,7 +82,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         again.cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("bigint").alias("n_repeat_words"),
     )
-    return evaluate_once(found, "measures", measures).select(*[c for c in found.columns], "measures.*")
+    return evaluate_once(found, "_measures", measures).select(*found.columns, "_measures.*")
 
 
 def base_failed() -> Column:
