@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from logtally.llm import queries, sentencepiece_bpe
+from logtally.llm.sentencepiece_bpe import Encoder, PieceModel
+
+PATH = queries.tokenizer_path()
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def model():
+    with open(PATH, "rb") as file:
+        return PieceModel(file.read())
+
+
+def texts(library) -> list[str]:
+    rng = random.Random(1)
+    signs = "  \n\t▁aethsing.ABéü日本語한😀́\x00<>/0x:,'-_ the ing tion"
+    parts = ["the", "in", "er", "a", "tion", " ", "ing", "t", "h", "e", "  "]
+    fixed = ["", " ", "  ", "a ", " a", "\n", "<s>", "</s>", "<0x0A>", "<unk>", "▁", "▁▁a", "a" * 500, " " * 300, "日本語" * 100, "x y" * 3000]
+    mixed = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)]
+    joined = ["".join(rng.choices(parts, k=rng.randint(0, 90))) for _ in range(3000)]
+    pieces = ["".join(library.id_to_piece(rng.randint(259, 31999)) for _ in range(12)).replace("▁", " ") for _ in range(2000)]
+    return fixed + mixed + joined + pieces
+
+
+def test_ids_are_those_of_the_library(library, model):
+    given = texts(library)
+    found = [np.frombuffer(raw, np.int32).tolist() for raw in Encoder(model)(given)]
+    assert found == library.encode(given)
+
+
+def test_the_memory_of_words_changes_nothing(library, model, monkeypatch):
+    monkeypatch.setattr(sentencepiece_bpe, "CACHE_WORDS", 50)
+    monkeypatch.setattr(sentencepiece_bpe, "STEP_WORDS", 7)
+    encoder, given = Encoder(model), texts(library)[:1500]
+    for at in range(0, len(given), 100):
+        part = given[at : at + 100]
+        assert [np.frombuffer(raw, np.int32).tolist() for raw in encoder(part)] == library.encode(part)
+    assert len(encoder.plain) <= 50 or all(len(w) <= sentencepiece_bpe.CACHE_CHARS for w in encoder.plain)
+
+
+def test_a_long_word_goes_through_the_queue(library, model):
+    word = "".join(random.Random(2).choices("abcdefghij", k=20_000))
+    assert np.frombuffer(Encoder(model)([word])[0], np.int32).tolist() == library.encode(word)
+
+
+def test_decoding_any_ids(library, model):
+    rng = random.Random(3)
+    for _ in range(3000):
+        ids = [rng.randint(0, 31999) if rng.random() < 0.5 else rng.randint(0, 262) for _ in range(rng.randint(0, 9))]
+        assert model.decode(ids) == library.decode(ids), ids
+
+
+def test_tables(spark, library):
+    rows = [(1, None, "x"), (2, "", "y"), (2, "two  spaces\n", None), (None, "again again", "z"), (None, "again again", "z"), (3, "long " * 50_000, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
+    out = sentencepiece_bpe.decode(sentencepiece_bpe.encode(df, PATH), PATH).collect()
+    assert len(out) == len(rows)
+    for row in out:
+        expected = library.encode(row["text"] or "", add_eos=True)
+        assert list(row["ids"]) == expected
+        assert row["decoded"] == library.decode(expected)
+    empty = sentencepiece_bpe.decode(sentencepiece_bpe.encode(df.limit(0), PATH, end=False), PATH)
+    assert empty.count() == 0
+
+
+def test_the_query(spark, library):
+    folder = "/root/testdata/sf0.001"
+    texts_of = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    out = queries.op10_sentencepiece(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(texts_of)
+    for row in out:
+        ids = library.encode(texts_of[row["doc_id"]] or "", add_eos=True)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
