@@ -30,10 +30,10 @@ SHINGLE_WORDS, SEED, MAX_DISTANCE = 3, 42, 3
 #: Fingerprints that the top of the tree is fitted on at most (8 bytes each).
 TREE_SAMPLE = 8192
 #: Distinct fingerprints that a shard should hold, overlap included.
-SHARD_ROWS = 16_384
+SHARD_ROWS = 65_536
 #: Fingerprints of a leaf that are compared in full.
 LEAF = 192
-_VANTAGES = 12
+LEAF_VANTAGES, TOP_VANTAGES = 12, 64
 _CHUNK = 1 << 15
 
 
@@ -79,20 +79,47 @@ def distances(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
+def _sides(sample: np.ndarray, v: np.uint64, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The share of a sample on either side of ``v``, for each radius 0 to 64 of the vantage point."""
+    within = np.cumsum(np.bincount(distances(sample, v), minlength=65)) / len(sample)
+    return within, 1 - np.r_[np.zeros(radius), within[:-radius]]
+
+
 def _split(sample: np.ndarray, radius: int, rng: np.random.Generator) -> tuple[np.uint64, int, float, float] | None:
     """The vantage point and radius with the smallest larger side, and the shares of both sides."""
     best = None
-    for v in rng.choice(sample, min(_VANTAGES, len(sample)), replace=False):
-        within = np.cumsum(np.bincount(distances(sample, v), minlength=65))  # [t]: how many are within t
-        left, right = within, len(sample) - np.r_[np.zeros(radius, within.dtype), within[:-radius]]
+    for v in rng.choice(sample, min(LEAF_VANTAGES, len(sample)), replace=False):
+        left, right = _sides(sample, v, radius)
         t = int(np.argmin(np.maximum(left, right)))
         if best is None or max(left[t], right[t]) < best[0]:
-            best = max(left[t], right[t]), v, t, left[t] / len(sample), right[t] / len(sample)
-    if best is None or best[0] > 0.9 * len(sample):  # an overlap that large no longer pays
+            best = max(left[t], right[t]), v, t, left[t], right[t]
+    if best is None or best[0] > 0.9:  # an overlap that large no longer pays
         return None
     return best[1:]
 
 
+def _top_split(sample: np.ndarray, radius: int, rng: np.random.Generator) -> tuple[np.uint64, int, float, float] | None:
+    """The split under which a whole tree of such splits would grow least.
+
+    With sides of shares l and r the work on n fingerprints grows as n to the power a, where l^a + r^a = 1.
+    """
+    best = None
+    for v in rng.choice(sample, min(TOP_VANTAGES, len(sample)), replace=False):
+        left, right = _sides(sample, v, radius)
+        usable = np.maximum(left, right) <= 0.9
+        if not usable.any():
+            continue
+        low, high = np.ones(65), np.full(65, 16.0)
+        for _ in range(20):
+            middle = (low + high) / 2
+            above = left**middle + right**middle > 1
+            low, high = np.where(above, middle, low), np.where(above, high, middle)
+        t = int(np.argmin(np.where(usable, high, np.inf)))
+        if best is None or high[t] < best[0]:
+            best = high[t], v, t, left[t], right[t]
+    return None if best is None else best[1:]
+
+
 class TopTree:
     """The part of the tree that deals fingerprints out to shards."""
 
@@ -101,7 +128,7 @@ class TopTree:
         rng = np.random.default_rng(7)
 
         def grow(part: np.ndarray, expected: float):
-            split = _split(part, radius, rng) if expected > shard_rows and len(part) >= 32 else None
+            split = _top_split(part, radius, rng) if expected > shard_rows and len(part) >= 32 else None
             if split is None:
                 self.shards += 1
                 return self.shards - 1
