@@ -22,11 +22,13 @@ from pyspark.sql import types as T
 
 from logtally.llm.common import slices
 
-#: Labelled rows of each class that the training takes at most (twice that is a hard limit).
+#: Labelled rows of each class that the training takes, by expectation; four times that in all is a hard limit.
 ROWS_PER_CLASS = 1500
+#: Rows that a feature occurs in at least; a few copies of one text do not make its words telling.
+LEAST_ROWS = 4
 BUCKETS = 1 << 20
 #: Lengths of the word beginnings that are features beside the whole word.
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (4, 5, 6)
 #: Swaps taken from one labelled row at most: those of its first terms, in the order of the list below.
 SWAPS_PER_ROW = 64
 _CACHE_WORDS = 300_000
@@ -128,7 +130,7 @@ def fit(
 ) -> ToxicityModel:
     """Proximal gradient descent with momentum; ``pairs`` are the features that a swap adds and removes.
 
-    Features of under three rows are not used. Without both classes the score is the share of
+    Features of under ``LEAST_ROWS`` rows are not used. Without both classes the score is the share of
     toxic rows everywhere (0 without rows).
     """
     y = np.asarray(labels, np.float64)
@@ -136,7 +138,7 @@ def fit(
         return ToxicityModel({}, 30.0 if len(y) and y[0] else -30.0)
     at, bucket = _csr([sorted(set(r)) for r in rows])
     used, column, counts = np.unique(bucket, return_inverse=True, return_counts=True)
-    enough = counts >= max(3, len(y) // 1000)
+    enough = counts >= LEAST_ROWS
     new = np.cumsum(enough) - 1
     at, column = at[enough[column]], new[column[enough[column]]]
     used = used[enough]
@@ -173,7 +175,7 @@ def fit(
         for _ in range(turns):
             gw, gb = gradient(wz, bz)
             raw = wz - step * gw
-            w_new = np.sign(raw) * np.maximum(np.abs(raw) - step * l1, 0) * active
+            w_new = np.maximum(raw - step * l1, 0) * active  # evidence only adds up: no word excuses another
             b_new = bz - step * gb
             t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
             wz, bz = w_new + (t - 1) / t_new * (w_new - w), b_new + (t - 1) / t_new * (b_new - bias)
@@ -191,7 +193,7 @@ def training_sample(
 ) -> DataFrame:
     """``(label, kind, features)``: the sampled rows (kind 0) and the swaps of their sentences (kind 1).
 
-    About ``per_class`` labels of each class are chosen by a hash of the id, at most twice that in
+    About ``per_class`` labels of each class are chosen by a hash of the id, at most four times that in
     all; only those are joined to their texts. An id with several labels counts as toxic if one says so.
     A swap has the features that it adds and, as ``-1 - feature``, those that it removes.
     """
@@ -201,7 +203,7 @@ def training_sample(
     for value, count in counts.items():
         rate = F.when(F.col(label) == value, per_class / count).otherwise(rate)
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity sample")), F.lit(1 << 30)) / (1 << 30)
-    chosen = labels.filter(draw < rate).limit(2 * per_class).select(id_col, F.col(label).cast("int").alias("label"))
+    chosen = labels.filter(draw < rate).limit(4 * per_class).select(id_col, F.col(label).cast("int").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +215,7 @@ def training_sample(
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["label", "kind", "features"])
 
-    # The sample's bound is a parameter: 2 * per_class rows of 12 bytes.
+    # The sample's bound is a parameter: 4 * per_class rows of 12 bytes.
     found = docs.select(id_col, text).join(F.broadcast(chosen), id_col)
     return found.select(text, "label").mapInArrow(run, "label int, kind int, features array<int>")
 
