@@ -29,9 +29,9 @@ from logtally.session import ensure_checkpoint_dir
 
 THRESHOLD = 0.98
 #: Directions, sorted lists among them, and half the window in units of the linking distance.
-DIRECTIONS, LISTS, WIDTH = 16, 2, 2.5
+DIRECTIONS, LISTS, WIDTH = 16, 3, 2.5
 #: Share of pairs at the threshold that the collision count must pass in the calibration, and its pairs.
-RECALL, TRIALS = 0.999, 20_000
+RECALL, TRIALS = 0.9999, 100_000
 #: Distinct vectors of a block; a task holds two blocks.
 BLOCK = 8192
 _STEP = 256
