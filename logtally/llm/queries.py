@@ -75,14 +75,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_scan(table(spark, sf_dir), repository=F.concat_ws("/", "source", "lang"))
-    of = lambda what: F.size(F.filter("base", what)).cast("long")
+    of = lambda field, value: F.size(F.filter("base", lambda s: s[field] == value)).cast("long")
     return found.select(
         "doc_id",
-        *(of(lambda s, k=k: s["kind"] == k).alias(f"n_{kind.name}") for k, kind in enumerate(secret_scan.KINDS)),
+        *(of("kind", k).alias(f"n_{kind.name}") for k, kind in enumerate(secret_scan.KINDS)),
         F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
         secret_scan.written(F.col("spans")).alias("spans"),
-        of(lambda s: s["standing"] == "live").alias("n_live"),
-        of(lambda s: s["standing"] == "example").alias("n_example"),
+        of("standing", "live").alias("n_live"),
+        of("standing", "example").alias("n_example"),
     )
 
 
