@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import collections
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from logtally.llm import quality, queries
+from logtally.llm.quality import Rule, cascade, measured, ordered, profile, quality_filter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def slow(text: str | None) -> tuple:
+    text = text or ""
+    found = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(found[k : k + 3]) for k in range(len(found) - 2)]
+    times, under = collections.Counter(windows), set()
+    for k, window in enumerate(windows):
+        if times[window] > 1:
+            under |= {k, k + 1, k + 2}
+    return len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(under)
+
+
+def slow_kept(text: str | None) -> bool:
+    n, chars, symbols, again, repeated = slow(text)
+    found, text = WORD.findall(text or ""), text or ""
+    if n < 50 or 100 * repeated > 50 * n:
+        return False
+    letters = sum(any(c.isalpha() for c in w) for w in found)
+    return not (
+        chars < 2 * n
+        or chars > 15 * n
+        or 4 * symbols > n
+        or 2 * again > len(text.split("\n"))
+        or 10 * letters < 6 * n
+        or 10 * len(set(found)) < n
+        or max(map(len, found)) > 1000
+    )
+
+
+def texts() -> list[str | None]:
+    rng = random.Random(1)
+    out: list[str | None] = [None, "", " \n\t", "one", "a b", "a b c", "a b c a b c", "a a a a", "a a a a a", "x\n\nx\n x\ny"]
+    out += [" ".join(rng.choices("abcd", k=rng.randint(0, 30))) for _ in range(150)]
+    out += ["\n".join(" ".join(rng.choices(["é", "日本", "\x0b", "#", "<b>", "w", "12"], k=rng.randint(0, 9))) for _ in range(9)) for _ in range(100)]
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+    out += [prose(n) for n in (49, 50, 60, 300)] + [prose(80) + " #" * k for k in (10, 40)]
+    out += [prose(60) + " " + "z" * 1001, prose(60) + " 1" * 60, "\n".join([prose(20)] * 5 + [prose(300)]), prose(5) * 30]
+    return out + [prose(20_000), "same " * 30_000]
+
+
+def test_measures_and_verdicts(spark):
+    given = texts()
+    rows = [(k, t, 1, "clash", "x") for k, t in enumerate(given)] + [(None, given[-3], 1, "", ""), (3, given[3], 1, "", "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, kept int, words string, _other string")
+    out = quality_filter(df).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert tuple(r[c] for c in BASE) == slow(r["text"]), r["text"][:80]
+        assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
+        assert r["kept"] == slow_kept(r["text"]), r["text"][:80]
+    assert 0 < sum(r["kept"] for r in out) < sum(not r["base_failed"] for r in out)
+    assert quality_filter(df.limit(0)).count() == 0
+
+
+def test_cheap_and_telling_rules_go_first(spark):
+    a, b, c = (Rule(name, F.lit(False)) for name in "abc")
+    assert [r.name for r in ordered([(a, 0.1, 1.0), (b, 0.5, 0.5), (c, 0.2, 0.1)])] == ["c", "b", "a"]
+    assert [r.name for r in ordered([(b, 0.0, 1.0), (a, 0.0, 2.0)])] == ["a", "b"]
+    df = measured(spark.range(1000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd "), 3).alias("text")))
+    rules = [Rule("never", F.lit(False)), Rule("half", F.col("doc_id") % 2 == 0)]
+    found = profile(df, rules)
+    assert [share for _, share, _ in found] == [0.0, 0.5] and all(cost > 0 for *_, cost in found)
+    assert ordered(found)[0].name == "half"
+
+
+def test_the_cascade_stops_at_the_first_rejection(spark):
+    failing = Rule("fails", F.raise_error(F.lit("looked at")).cast("boolean"))
+    df = spark.range(10).select(cascade([Rule("all", F.col("id") >= 0), failing]).alias("kept"))
+    assert {r["kept"] for r in df.collect()} == {False}
+    rules = [Rule("even", F.col("id") % 2 == 0), Rule("unknown", F.lit(None).cast("boolean")), Rule("high", F.col("id") > 6)]
+    results = [spark.range(10).select(cascade(order).alias("kept")).collect() for order in (rules, rules[::-1])]
+    assert results[0] == results[1] and [r["kept"] for r in results[0]].count(True) == 3
+
+
+def test_the_query(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    out = queries.op9_quality_rules(spark, folder).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        assert tuple(r[c] for c in BASE) == slow(docs[r["doc_id"]])
+        assert r["kept"] == slow_kept(docs[r["doc_id"]])
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, "some words here")], "doc_id bigint, text string")
+    plan = quality_filter(df)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow")), quality.__name__
