@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import functools
 import importlib
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +20,20 @@ import logtally as lt
 from logtally.functions.levels import fallback_level, normalize_level
 from logtally.functions.patterns import BASELINE_RULES
 from logtally.functions.timestamps import parse_timestamp
-from logtally.session import ensure_checkpoint_dir, shared_folder, tune
-from oracles import GENERATED_FILES, KEYWORDS, ORACLES, SEED, STAMPS, TOKENS
-
+from logtally.session import shared_folder, tune
+from logtally.streaming.tables import METRIC_SCHEMA
+from oracles import (
+    FILE_NAMES,
+    GENERATED_FILES,
+    KEYWORDS,
+    ORACLES,
+    SEED,
+    SHORT_PATTERN,
+    STAMPS,
+    TIME_FORMATS,
+    TOKENS,
+    WRITTEN_TIMES,
+)
 
 
 def _optional(name: str):
@@ -111,57 +125,166 @@ def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lt.write_records(records, SEED)
 
 
-def _run(spark: SparkSession, running: DataFrame) -> DataFrame:
-    """Run a metrics stream over what is there and return its last state."""
+def _run(spark: SparkSession, running: DataFrame, schema: str = METRIC_SCHEMA, merge_every: int = 100) -> DataFrame:
+    """Run a stream over what is there and return its last state."""
     folder = shared_folder(spark, "updates")
-    query = lt.start_updates(running, shared_folder(spark, "state"), lt.update_table(folder), poll_ms=None)
-    query.awaitTermination()
-    return lt.add_up(lt.latest(spark, folder))
+    update = lt.update_table(folder, merge_every=merge_every)
+    lt.start_updates(running, shared_folder(spark, "state"), update, poll_ms=None).awaitTermination()
+    return lt.latest(spark, folder, schema)
 
 
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a stream that takes the files a few at a time."""
     stream = lt.stream_logs(spark, _files(spark, sf_dir), max_files_per_trigger=8)
-    return _run(spark, lt.running_metrics(lt.parse_logs(stream), keywords=KEYWORDS))
+    return lt.add_up(_run(spark, lt.running_metrics(lt.parse_logs(stream), keywords=KEYWORDS)))
+
+
+def stream_merged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table that is merged every other micro-batch, read as it was made before the merges."""
+    stream = lt.stream_logs(spark, _files(spark, sf_dir), max_files_per_trigger=2)
+    return lt.add_up(_run(spark, lt.running_metrics(lt.parse_logs(stream), keywords=KEYWORDS), merge_every=2))
 
 
 def stream_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = lt.stream_logs(spark, _files(spark, sf_dir), max_files_per_trigger=8)
-    folder = shared_folder(spark, "updates")
-    query = lt.start_updates(
-        lt.running_time_range(lt.parse_logs(stream)), shared_folder(spark, "state"), lt.update_table(folder), poll_ms=None
-    )
-    query.awaitTermination()
-    updates = spark.read.parquet(folder)
-    return updates.agg(F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
+    """The time range from a table that is merged several times."""
+    stream = lt.stream_logs(spark, _files(spark, sf_dir), max_files_per_trigger=2)
+    return _run(spark, lt.running_time_range(lt.parse_logs(stream)), lt.TIME_RANGE_SCHEMA, merge_every=2)
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = lt.stream_logs(spark, _files(spark, sf_dir))
     folder = shared_folder(spark, "alerts")
     lt.start_alerts(lt.parse_logs(stream), shared_folder(spark, "state"), folder, poll_ms=None).awaitTermination()
-    return spark.read.parquet(folder)
+    return lt.read_alerts(spark, folder)
 
 
-def stream_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file is counted by a batch, the others by a stream that carries its counts on."""
+def _followed(spark: SparkSession, sf_dir: str) -> lt.Monitor:
+    """One file is analysed as a batch; a stream of the others carries its results on, in two runs."""
     lines = _lines(spark, sf_dir)
-    in_batch = F.col("source_file") == "app_1.log"
-    ensure_checkpoint_dir(spark)
-    batch = lt.all_metrics(lt.parse_logs(lines.filter(in_batch)), keywords=KEYWORDS).checkpoint()
-    stream = lt.stream_logs(spark, _files(spark, sf_dir, lines.filter(~in_batch)))
-    running = lt.running_metrics(lt.parse_logs(stream), keywords=KEYWORDS)
-    updated = _run(spark, lt.continue_from(running, batch))
-    only_batch = batch.join(updated.filter("count > 0"), ["metric", "key"], "left_anti")
-    return lt.add_up(only_batch, updated)
+    in_batch, options = F.col("source_file") == "app_1.log", lt.Options(keywords=KEYWORDS)
+    batch = lt.analyze_lines(lines.filter(in_batch), options)
+    files, folder = _files(spark, sf_dir, lines.filter(~in_batch)), shared_folder(spark, "monitor")
+    for most in (2, None):
+        stream = lt.stream_logs(spark, files, max_files_per_trigger=most)
+        live = lt.follow(stream, folder, options, batch, poll_ms=None, merge_every=2)
+        live.query.awaitTermination()
+    return live
+
+
+def stream_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _followed(spark, sf_dir).metrics()
+
+
+def stream_after_batch_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _followed(spark, sf_dir).overview()
+
+
+def _tail_files(spark: SparkSession, sf_dir: str) -> str:
+    return f"{_files(spark, sf_dir)}/*/part-*"
+
+
+def _with_name(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("source_file", F.regexp_extract("file_path", "source_file=([^/]+)", 1))
 
 
 def tail_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a tail over the files from their beginning, in many byte ranges."""
-    folder = _files(spark, sf_dir)
-    stream = lt.tail_logs(spark, f"{folder}/*/part-*", start="beginning", rangeBytes=str(256 << 10))
-    name = F.regexp_extract("file_path", "source_file=([^/]+)", 1)
-    return _run(spark, lt.running_metrics(lt.parse_logs(stream.withColumn("source_file", name)), keywords=KEYWORDS))
+    stream = lt.tail_logs(spark, _tail_files(spark, sf_dir), start="beginning", rangeBytes=str(256 << 10))
+    return lt.add_up(_run(spark, lt.running_metrics(lt.parse_logs(_with_name(stream)), keywords=KEYWORDS)))
+
+
+def monitor_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of the first half of each file, and a monitor that goes on where the batch ended."""
+    pattern, options = _tail_files(spark, sf_dir), lt.Options(keywords=KEYWORDS)
+    halves = {}
+    for path, end in lt.finished_positions(pattern).items():
+        with open(path, "rb") as file:
+            file.seek(end // 2)
+            file.readline()
+            halves[path] = file.tell()
+    batch = lt.analyze_lines(_with_name(lt.read_until(spark, halves)), options)
+    rest = _with_name(lt.tail_logs(spark, pattern, halves))
+    live = lt.follow(rest, shared_folder(spark, "monitor"), options, batch, poll_ms=None)
+    live.query.awaitTermination()
+    return live.metrics()
+
+
+def tail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines, appended bit by bit to a file that is renamed, hidden and cut short, with a restart in between."""
+    parts = sorted(lt.finished_positions(_tail_files(spark, sf_dir)))
+    folder = tempfile.mkdtemp(prefix="tail-")
+    path, away, state = f"{folder}/app.log", f"{folder}/away", shared_folder(spark, "state")
+    table = lt.BatchTable(shared_folder(spark, "tailed"), "raw string, source_file string")
+    os.mkdir(away)
+
+    def append(step: int, to: str = path) -> None:
+        """Add a tenth of the written parts to a file, as they are."""
+        with open(to, "ab") as file:
+            for part in parts[len(parts) * step // 10 : len(parts) * (step + 1) // 10]:
+                with open(part, "rb") as lines:
+                    shutil.copyfileobj(lines, file)
+
+    def start():
+        stream = lt.tail_logs(spark, path, start="beginning", rangeBytes=str(256 << 10)).select("raw", "source_file")
+        writer = stream.writeStream.option("checkpointLocation", state).foreachBatch(table.write)
+        return writer.trigger(processingTime="50 milliseconds").start()
+
+    try:
+        append(0)
+        query = start()
+        query.processAllAvailable()
+        append(1)
+        os.rename(path, f"{path}.1")  # rotated, with a rest that may not have been read
+        append(2, f"{path}.1")
+        append(3)
+        query.processAllAvailable()
+        os.rename(path, f"{away}/app.log")  # not there for a while
+        query.processAllAvailable()
+        os.rename(f"{away}/app.log", path)
+        append(4)
+        query.processAllAvailable()
+        query.stop()
+        append(5)
+        query = start()
+        query.processAllAvailable()
+        os.truncate(path, 0)
+        append(6)
+        query.processAllAvailable()
+        os.truncate(path, 0)  # cut short, and longer than before soon after
+        for step in (7, 8, 9):
+            append(step)
+        query.processAllAvailable()
+        query.stop()
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+    return table.read(spark)
+
+
+def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per file where names look like numbers, dates or patterns; one of the paths does not exist."""
+    lines = _lines(spark, sf_dir)
+    names = F.array(*map(F.lit, FILE_NAMES))
+    renamed = lines.withColumn("source_file", F.get(names, (F.col("line_number") % len(FILE_NAMES)).cast("int")))
+    folder = _files(spark, sf_dir, renamed)
+    return lt.file_counts(lt.scan_logs(spark, [folder, f"{folder}/missing.log"]))
+
+
+def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the report as they stand in the file it is written to."""
+    output = shared_folder(spark, "report")
+    lt.analyze_lines(_lines(spark, sf_dir), lt.Options(keywords=KEYWORDS, output=output))
+    return spark.read.text(output).select(F.col("value").alias("line")).filter("line != ''")
+
+
+def short_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries by a pattern of three groups: no logger and no message of their own."""
+    return lt.parse_logs(_lines(spark, sf_dir), SHORT_PATTERN).select("source_file", "line_number", "ts", "level", "thread", "logger", "message")
+
+
+def any_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times in formats with optional sections, fields of variable width and month names."""
+    written = spark.sql(WRITTEN_TIMES, events=_events(spark, sf_dir))
+    return written.withColumn("ts", parse_timestamp(F.col("text"), TIME_FORMATS))
 
 
 def queries() -> dict[str, Query]:
@@ -195,10 +318,18 @@ def queries() -> dict[str, Query]:
         "all_metrics": _on_entries(lambda e: lt.all_metrics(e, keywords=KEYWORDS)),
         "report_lines": report,
         "stream_metrics": stream_metrics,
+        "stream_merged_metrics": stream_merged_metrics,
         "stream_time_range": stream_time_range,
         "stream_alerts": stream_alerts,
         "stream_after_batch": stream_after_batch,
+        "stream_after_batch_overview": stream_after_batch_overview,
         "tail_metrics": tail_metrics,
+        "tail_events": tail_events,
+        "monitor_metrics": monitor_metrics,
+        "named_files": named_files,
+        "written_report": written_report,
+        "short_pattern": short_pattern,
+        "any_format": any_format,
         "generate_logs": generate,
     }
     if corpus:

@@ -22,23 +22,25 @@ from logtally.operators.select import (
     keyword_lines,
     keyword_search,
 )
-from logtally.plans.analysis import Analysis, Options, analyze, analyze_lines
+from logtally.plans.analysis import Analysis, Options, analyze, analyze_lines, analyze_until_now
 from logtally.plans.metrics import add_up, all_metrics, metrics_of, overview_of, summarize
-from logtally.plans.monitor import Monitor, monitor
+from logtally.plans.monitor import Monitor, follow, monitor
 from logtally.plans.report import print_report, report_lines, write_report
 from logtally.sources.events import log_lines_from_events
-from logtally.sources.files import scan_logs, scan_numbered_logs, stream_logs, write_logs
+from logtally.sources.files import scan_logs, scan_numbered_logs, stream_logs, vanished, write_logs
 from logtally.sources.synthetic import generate_logs, write_records
-from logtally.sources.tail import tail_logs
+from logtally.sources.tail import finished_positions, read_until, tail_logs
 from logtally.streaming.live import (
+    TIME_RANGE_SCHEMA,
     alerts,
-    continue_from,
     latest,
+    read_alerts,
     running_metrics,
     running_time_range,
     start_alerts,
     start_updates,
     update_table,
 )
+from logtally.streaming.tables import BatchTable
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,16 +1,20 @@
 """Zone-less timestamps from text, the way a lenient-by-default calendar parser reads them.
 
 A date format such as ``yyyy-MM-dd HH:mm:ss.SSS`` has fixed-width fields, so each one is
-turned into a shape (a regex over the whole text) and the position of every field. Beyond the
-plain calendar two things are accepted: a day past the end of its month is moved back to the
+turned into a shape (a regex over the whole text) and the position of every field. Fields of variable
+width and names (``d``, ``MMM``, ``a``) become groups of a regex. Optional sections in brackets give one
+format with and one without them. Either way the fields are put into ISO order and read from there.
+
+Beyond the plain calendar two things are accepted: a day past the end of its month is moved back to the
 last day (2024-02-30 is 2024-02-29), and 24:00:00 is midnight of the next day. Digit counts
-are exact: ``SSS`` does not read ``.5``. Nothing here depends on the session time zone.
+are exact: ``SSS`` does not read ``.5``. Nothing here depends on the session time zone. A format
+with a letter or sign that cannot be read raises ``ValueError``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -27,6 +31,8 @@ DEFAULT_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss",
 )
 
+# Stands between the groups of a text; no group can hold it.
+_MARK = "\x01"
 _TOKEN = re.compile(r"'(?:[^']|'')*'|([A-Za-z])\1*|.", re.DOTALL)
 _FIELDS = {"yyyy": "year", "MM": "month", "dd": "day", "HH": "hour", "mm": "minute", "ss": "second"}
 _ISO_ORDER = ("year", "month", "day", "hour", "minute", "second", "fraction")
@@ -43,6 +49,61 @@ class FixedFormat:
     is_iso: bool
 
 
+# Names in a date, in calendar order.
+_MONTHS = ("January February March April May June July August September October November December").split()
+_DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
+_ZONES = {"X": r"(?:Z|[+-]\d{2}(?:\d{2})?)", "XX": r"(?:Z|[+-]\d{4})", "XXX": r"(?:Z|[+-]\d{2}:\d{2})", "Z": r"[+-]\d{4}"}
+_ZONES |= {"x": r"[+-]\d{2}(?:\d{2})?", "xx": r"[+-]\d{4}", "xxx": r"[+-]\d{2}:\d{2}"}
+
+
+def _any_of(names: Sequence[str]) -> str:
+    return "(" + "|".join(names) + ")"
+
+
+#: What the letters of a format other than fixed-width ones stand for: field and group.
+_VARIABLE = {
+    **{letter: ("year", r"((?!0+(?!\d))\d{1,4})") for letter in "yu"},
+    "uuuu": ("year", r"((?!0000)\d{4})"),
+    "yy": ("short_year", r"(\d{2})"),
+    **{"M" * n: ("month", r"(\d{1,2})") if n == 1 else ("month_name", _any_of([m[: 3 if n == 3 else None] for m in _MONTHS])) for n in (1, 3, 4)},
+    "d": ("day", r"(\d{1,2})"),
+    **{"E" * n: ("weekday", _any_of([d[: None if n == 4 else 3] for d in _DAYS])) for n in (1, 2, 3, 4)},
+    "H": ("hour", r"(\d{1,2})"),
+    "h": ("half_hour", r"(0?[1-9]|1[0-2])"),
+    "hh": ("half_hour", r"(0[1-9]|1[0-2])"),
+    "a": ("half", "(AM|PM)"),
+    "m": ("minute", r"(\d{1,2})"),
+    "s": ("second", r"(\d{1,2})"),
+    **{letter: ("zone", f"({regex})") for letter, regex in _ZONES.items()},
+}
+
+
+def alternatives(fmt: str) -> list[str]:
+    """The formats without optional sections that a format stands for, those with more of them first."""
+    depth, start = 0, None
+    for token in _TOKEN.finditer(fmt):
+        if token.group(0) == "[":
+            start = token.start() if depth == 0 else start
+            depth += 1
+        elif token.group(0) == "]":
+            depth -= 1
+            if depth < 0:
+                break
+            if depth == 0:
+                before, inside, after = fmt[:start], fmt[start + 1 : token.start()], fmt[token.end() :]
+                return [a for part in (inside, "") for a in alternatives(before + part + after)]
+    if depth:
+        raise ValueError(f"brackets do not match in the format {fmt!r}")
+    return [fmt]
+
+
+def _literal(text: str) -> str:
+    quoted = len(text) > 1 and text.startswith("'")
+    if not quoted and text in "{}#'":
+        raise ValueError(f"the sign {text} cannot stand in a format")
+    return (text[1:-1].replace("''", "'") or "'") if quoted else text
+
+
 def fixed_format(fmt: str) -> FixedFormat | None:
     """Read a format; None if it has a field of variable width or a name (``d``, ``MMM``, ``a``)."""
     shape, fields, position = "", {}, 1
@@ -56,13 +117,78 @@ def fixed_format(fmt: str) -> FixedFormat | None:
             shape += r"(?!0000)\d{4}" if name == "year" else rf"\d{{{len(text)}}}"
             position += len(text)
         else:
-            quoted = len(text) > 1 and text.startswith("'")
-            literal = (text[1:-1].replace("''", "'") or "'") if quoted else text
+            literal = _literal(text)
             shape += re.escape(literal)
             position += len(literal)
     return FixedFormat(shape, fields, _ISO.fullmatch(fmt) is not None)
 
 
+def grouped_format(fmt: str) -> tuple[str, dict[str, int]]:
+    """A regex of a format with fields of any width, and the group of each field."""
+    shape, groups = "", {}
+    for token in _TOKEN.finditer(fmt):
+        text = token.group(0)
+        if not token.group(1):
+            shape += re.escape(_literal(text))
+            continue
+        if text in _FIELDS:
+            name, group = _FIELDS[text], r"((?!0000)\d{4})" if text == "yyyy" else rf"(\d{{{len(text)}}})"
+        elif set(text) == {"S"} and len(text) <= 9:
+            name, group = "fraction", rf"(\d{{{len(text)}}})"
+        elif text in _VARIABLE:
+            name, group = _VARIABLE[text]
+        else:
+            raise ValueError(f"cannot read {text} in the format {fmt!r}")
+        if name in groups:
+            raise ValueError(f"{text} stands twice in the format {fmt!r}")
+        shape += group
+        groups[name] = len(groups) + 1
+    return shape, groups
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, and written into the plan once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _read_grouped(text: Column, fmt: str) -> Column:
+    """Read text of a format with fields of any width; null if it is not of that format."""
+    shape, groups = grouped_format(fmt)
+    have = set(groups) | ({"month"} & {name.removesuffix("_name") for name in groups})
+    have |= {"year"} if "short_year" in groups else set()
+    have |= {"hour"} if {"half_hour", "half"} <= groups.keys() else set()
+    if not {"year", "month", "day", "hour"} <= have:
+        return F.lit(None).cast("timestamp_ntz")
+    whole = rf"\A(?:{shape})\z"
+    # All groups in one evaluation; a group that took no part is empty.
+    fields = F.split(F.regexp_replace(text, whole, _MARK.join(f"${g}" for g in groups.values())), _MARK, -1)
+
+    def place(names: Sequence[str], value: Column) -> Column:
+        return F.array_position(F.array(*map(F.lit, names)), F.substring(value, 1, 3))
+
+    def iso(parts: Column) -> Column:
+        field = {name: F.get(parts, F.lit(group - 1)) for name, group in groups.items()}
+        if "month_name" in field:
+            field["month"] = place([m[:3] for m in _MONTHS], field["month_name"]).cast("string")
+        if "short_year" in field:
+            field["year"] = F.concat(F.lit("20"), field["short_year"])
+        if {"half_hour", "half"} <= field.keys():
+            later = F.when(field["half"] == "PM", 12).otherwise(0)
+            field["hour"] = (field["half_hour"].try_cast("int") % 12 + later).cast("string")
+        out: list[Column] = []
+        for name, before in zip(_ISO_ORDER[:-1], ("", "-", "-", " ", ":", ":"), strict=True):
+            value = F.lpad(field[name], 4 if name == "year" else 2, "0") if name in field else F.lit("00")
+            out += [F.lit(before), value]
+        fraction = F.substring(field["fraction"], 1, 6) if "fraction" in field else F.lit("0")
+        made = _bind(F.concat(*out, F.lit("."), fraction), lambda x: F.coalesce(x.try_cast("timestamp_ntz"), _lenient(x)))
+        if "weekday" not in field:
+            return made
+        said = place([d[:3] for d in _DAYS], field["weekday"]) - 1
+        return _bind(made, lambda ts: F.when(F.weekday(ts) == said, ts))
+
+    return _bind(F.when(text.rlike(whole), fields), lambda parts: F.when(parts.isNotNull(), iso(parts)))
+
+
 def _iso_text(text: Column, fmt: FixedFormat) -> Column:
     """Rearrange text of the shape of ``fmt`` into ``yyyy-MM-dd HH:mm:ss.S``."""
     if fmt.is_iso:
@@ -98,11 +224,10 @@ def read_timestamp(text: Column, formats: Sequence[str] = DEFAULT_FORMATS) -> Co
     """First format that reads the whole text wins; null if none does.
 
     Text of a fixed-width format is rearranged into ISO order and cast; only what the cast turns
-    down is looked at again. Formats with variable-width fields go to ``try_to_timestamp``, which
-    is stricter (no clamped days) and reads in the session zone.
+    down is looked at again.
     """
     tries: list[Column] = []
-    layouts = [(fmt, fixed_format(fmt)) for fmt in formats]
+    layouts = [(fmt, fixed_format(fmt)) for given in formats for fmt in alternatives(given)]
     # Neighbouring ISO formats share one test of the shape and one reading.
     for is_iso, run in groupby(layouts, key=lambda pair: pair[1] is not None and pair[1].is_iso):
         if is_iso:
@@ -110,7 +235,7 @@ def read_timestamp(text: Column, formats: Sequence[str] = DEFAULT_FORMATS) -> Co
             continue
         for fmt, layout in run:
             if layout is None:
-                tries.append(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
+                tries.append(_read_grouped(text, fmt))
             else:
                 tries.append(_read(text, layout.shape, _iso_text(text, layout)))
     return F.coalesce(*tries) if tries else F.lit(None).cast("timestamp_ntz")

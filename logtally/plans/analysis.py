@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +14,8 @@ from logtally.operators.parse import parse_logs
 from logtally.plans.metrics import metrics_of, overview_of, summarize
 from logtally.plans.report import report_lines, write_report
 from logtally.session import ensure_checkpoint_dir, tune
-from logtally.sources.files import scan_logs
+from logtally.sources.files import scan_logs, vanished
+from logtally.sources.tail import finished_positions, read_until
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,8 @@ class Options:
     rules: Sequence[Rule] = ERROR_RULES
     top: int = 10
     output: str | None = None
+    #: Go on past files that cannot be read on, or vanish before they are read, instead of failing.
+    skip_corrupt: bool = False
 
 
 @dataclass(frozen=True)
@@ -36,6 +39,10 @@ class Analysis:
     metrics: DataFrame
     overview: DataFrame
     report: DataFrame = field(repr=False)
+    #: Listed files that were gone when they were to be read, where those are skipped.
+    vanished: list[str] = field(default_factory=list)
+    #: Where the analysis ended in each file, as a start for a monitor.
+    positions: dict[str, int] | None = None
 
 
 def analyze_lines(lines: DataFrame, options: Options = Options()) -> Analysis:
@@ -55,5 +62,21 @@ def analyze_lines(lines: DataFrame, options: Options = Options()) -> Analysis:
 
 
 def analyze(spark: SparkSession, paths: Sequence[str], options: Options = Options()) -> Analysis:
-    """Analyse log files; missing ones are skipped with a warning."""
-    return analyze_lines(scan_logs(spark, paths), options)
+    """Analyse log files; missing ones are skipped with a warning.
+
+    A file that vanishes or breaks off while it is read fails the run, or, with ``skip_corrupt``, is
+    left out from there; those that vanished are then listed in the result.
+    """
+    lines = scan_logs(spark, paths, options.skip_corrupt)
+    listed = lines.inputFiles() if options.skip_corrupt else []
+    result = analyze_lines(lines, options)
+    return replace(result, vanished=vanished(spark, listed))
+
+
+def analyze_until_now(spark: SparkSession, path: str, options: Options = Options()) -> Analysis:
+    """Analyse the finished lines of a mounted file, or the files of a pattern, as they are now.
+
+    The result says where it ended in each file, so that a monitor can go on right there.
+    """
+    ends = finished_positions(path)
+    return replace(analyze_lines(read_until(spark, ends), options), positions=ends)

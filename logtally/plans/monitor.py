@@ -1,47 +1,116 @@
-"""Follow growing log files: running counts and alerts, in one call."""
+"""Follow a stream of log lines: running counts, time range and alerts, in one query."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logtally.operators.parse import parse_logs
-from logtally.plans.analysis import Options
+from logtally.plans.analysis import Analysis, Options
+from logtally.plans.metrics import TOTALS, add_up, metrics_of, overview_of, summarize
 from logtally.sources.tail import tail_logs
-from logtally.streaming.live import (
-    POLL_MS,
-    continue_from,
-    latest,
-    running_metrics,
-    start_alerts,
-    start_updates,
-    update_table,
-)
+from logtally.streaming.live import POLL_MS, alert_table, alerts
+from logtally.streaming.tables import MERGE_EVERY, BatchTable
+
+# The time range stands in a row of its own among the counts.
+_RANGE = "time_range"
+_COUNT_SCHEMA = "metric string, key string, count bigint, earliest timestamp_ntz, latest timestamp_ntz"
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    sums = (F.sum("count").alias("count"), F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
+    return rows.groupBy("metric", "key").agg(*sums)
+
+
+def _rows(metrics: DataFrame, overview: DataFrame) -> DataFrame:
+    """Metrics and the time range of an overview, as rows of a count table."""
+    none = F.lit(None).cast("timestamp_ntz")
+    counted = metrics.select("metric", "key", "count", none.alias("earliest"), none.alias("latest"))
+    return counted.unionByName(
+        overview.select(F.lit(_RANGE).alias("metric"), F.lit("").alias("key"), F.lit(0).cast("bigint").alias("count"), "earliest", "latest")
+    )
 
 
 @dataclass(frozen=True)
 class Monitor:
-    """The two running queries and where they write."""
+    """The running query and where it writes."""
 
     spark: SparkSession
-    updates: StreamingQuery
-    alerts: StreamingQuery
+    query: StreamingQuery
     folder: str
 
+    def _counts(self) -> DataFrame:
+        """The batch's rows, if one is carried on, and those of the stream."""
+        rows = _count_table(self.folder).read(self.spark)
+        return rows.unionByName(_before(self.folder).read(self.spark))
+
     def metrics(self) -> DataFrame:
-        """The newest value of every metric that has changed since the start."""
-        return latest(self.spark, f"{self.folder}/updates")
+        """Every metric so far, the batch's included; all levels and totals from the start."""
+        return add_up(self._counts().filter(F.col("metric") != _RANGE))
+
+    def overview(self) -> DataFrame:
+        """One row: total, processed and malformed lines, earliest and latest time."""
+        of = lambda name: F.coalesce(F.sum(F.when(F.col("metric") == name, F.col("count"))), F.lit(0)).alias(name)
+        return self._counts().agg(*map(of, TOTALS), F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
+
+    def alerts(self) -> DataFrame:
+        """The raw line of every ERROR or FATAL entry of the stream."""
+        return alert_table(f"{self.folder}/alerts").read(self.spark)
 
     def process_available(self) -> None:
         """Wait until all lines that are there now are counted."""
-        for query in (self.updates, self.alerts):
-            query.processAllAvailable()
+        self.query.processAllAvailable()
 
     def stop(self) -> None:
-        for query in (self.updates, self.alerts):
-            query.stop()
+        self.query.stop()
+
+
+def _count_table(folder: str, merge_every: int = MERGE_EVERY) -> BatchTable:
+    return BatchTable(f"{folder}/counts", _COUNT_SCHEMA, _added, merge_every)
+
+
+def _before(folder: str) -> BatchTable:
+    return BatchTable(f"{folder}/before", _COUNT_SCHEMA, _added)
+
+
+def follow(
+    lines: DataFrame,
+    folder: str,
+    options: Options = Options(),
+    batch: Analysis | None = None,
+    poll_ms: int | None = POLL_MS,
+    merge_every: int = MERGE_EVERY,
+) -> Monitor:
+    """Count a stream of lines and write out alerts, from one reading and parsing of each line.
+
+    Each micro-batch adds its own counts to a table, so no state grows with the stream. Everything goes
+    below ``folder``, which executors must reach; called again with the same folder it goes on where it
+    was stopped. The results of a batch are stored there at the first start and carried on; later starts
+    leave them as they are. ``poll_ms=None`` takes what is there and ends.
+    """
+    spark = lines.sparkSession
+    before = _before(folder)
+    if batch is not None and before.read(spark).isEmpty():
+        before.write(_rows(batch.metrics, batch.overview), 0)
+    counts, alerted = _count_table(folder, merge_every), alert_table(f"{folder}/alerts", merge_every)
+
+    def add(entries: DataFrame, number: int) -> None:
+        entries.persist()
+        try:
+            summary = summarize(entries, options.rules, options.keywords).persist()
+            counts.write(_rows(metrics_of(summary, options.rules, options.keywords), overview_of(summary)), number)
+            alerted.write(alerts(entries), number)
+            summary.unpersist()
+        finally:
+            entries.unpersist()
+
+    entries = parse_logs(lines, options.pattern, options.timestamp_formats)
+    writer = entries.writeStream.option("checkpointLocation", f"{folder}/state").foreachBatch(add)
+    every = {"availableNow": True} if poll_ms is None else {"processingTime": f"{poll_ms} milliseconds"}
+    return Monitor(spark, writer.trigger(**every).start(), folder)
 
 
 def monitor(
@@ -49,21 +118,17 @@ def monitor(
     path: str,
     folder: str,
     options: Options = Options(),
-    start: str | dict[str, int] = "end",
-    batch_metrics: DataFrame | None = None,
-    poll_ms: int = POLL_MS,
+    start: str | dict[str, int] | None = None,
+    batch: Analysis | None = None,
+    poll_ms: int | None = POLL_MS,
+    merge_every: int = MERGE_EVERY,
 ) -> Monitor:
-    """Count the lines appended to a file, or to the files of a pattern, and write out alerts.
+    """Follow the lines appended to a file, or to the files of a pattern, see :func:`follow`.
 
-    State, updates and alerts go below ``folder``, which executors must reach; called again with
-    the same folder it goes on where it was stopped. The counts of an earlier batch are carried on
-    if its metrics are given. ``start`` says where in the files to begin the first time; ``end``
-    leaves out what was written between the batch and the start.
+    ``start`` says where in the files to begin the first time: ``end``, ``beginning`` or byte positions
+    per path. By default it is where ``batch`` ended, if it says so (:func:`analyze_until_now`), so no line is
+    missed or counted twice; else the end of the files.
     """
-    entries = parse_logs(tail_logs(spark, path, start), options.pattern, options.timestamp_formats)
-    running = running_metrics(entries, options.rules, options.keywords)
-    if batch_metrics is not None:
-        running = continue_from(running, batch_metrics)
-    updates = start_updates(running, f"{folder}/state-updates", update_table(f"{folder}/updates"), poll_ms)
-    alerts = start_alerts(entries, f"{folder}/state-alerts", f"{folder}/alerts", poll_ms)
-    return Monitor(spark, updates, alerts, folder)
+    if start is None:
+        start = batch.positions if batch is not None and batch.positions is not None else "end"
+    return follow(tail_logs(spark, path, start), folder, options, batch, poll_ms, merge_every)

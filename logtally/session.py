@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
     root = tempfile.mkdtemp(prefix="logtally-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -36,11 +37,19 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path under the shared root; nothing is created yet."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new path under the shared root; nothing is created yet. It goes when the driver's JVM ends."""
+    folder = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    remove_later(spark, folder)
+    return folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def remove_later(spark: SparkSession, folder: str) -> None:
+    """Remove a folder when the driver's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)

@@ -1,30 +1,44 @@
-"""A streaming source that follows growing files, like ``tail -F``.
+"""A source that follows growing files, like ``tail -F``.
 
 Spark's own file stream takes each file once and never sees what is appended to it. Here the
-offset is a byte position per file. A micro-batch reads what lies between two offsets, cut into
-ranges that tasks read in parallel; the driver looks at file sizes and last bytes only.
+offset has, for every file, its inode, a generation and the byte position after its last finished line.
+A micro-batch reads what lies between two offsets, cut into ranges that tasks read in parallel.
+The driver looks at file names and sizes, and opens only files that have changed since its last look.
+
+- A renamed file keeps its inode, so its rest is read under the new name in the same folder, and its
+  lines keep the name that the file had first.
+- A file that is shorter than before, or whose bytes before the known position have changed (cut short and
+  grown again), is a new generation and read from its beginning.
+- A file that is missing is remembered for ``forgetAfter`` seconds and goes on where it was if it
+  comes back. (One that is missing when a stopped query starts again is remembered from its first
+  micro-batch on.)
 
 The files must be reachable under the same path on the driver and on every executor.
 
 Options: ``path`` (file or glob pattern), ``startingPosition`` (``end``, ``beginning`` or a JSON
-object of byte positions per path), ``rangeBytes`` (size of a task's range), ``failOnDataLoss``.
+object of byte positions per path), ``rangeBytes`` (size of a task's range), ``failOnDataLoss`` (whether a
+file that is replaced before it could be read fails the query, true by default), ``forgetAfter``. As a
+batch, ``until`` (a JSON object of byte positions per path) gives the lines before those positions.
 """
 
 from __future__ import annotations
 
 import glob
+import hashlib
 import json
 import logging
 import os
 import re
 import sys
+import time
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 log = logging.getLogger(__name__)
@@ -38,12 +52,17 @@ _ARROW = pa.schema(
 )
 _LINE_END = re.compile(rb"\r\n|\r|\n")
 _CHUNK = 1 << 20
-_BATCH = 10_000
+# Bytes before a position that tell whether the file is still the one that was read up to there.
+_MARK = 64
+_WEEK = 7 * 24 * 3600
 
 
 @dataclass
 class ByteRange(InputPartition):
-    """The lines that begin in ``[start, stop)``; ``first`` and ``end`` bound the whole batch."""
+    """The lines that begin in ``[start, stop)``; ``first`` and ``end`` bound the whole batch.
+
+    ``named`` is the path under which the file was first seen.
+    """
 
     path: str
     inode: int
@@ -51,6 +70,7 @@ class ByteRange(InputPartition):
     start: int
     stop: int
     end: int
+    named: str = ""
 
 
 def local_path(path: str) -> str:
@@ -80,47 +100,137 @@ def complete_until(path: str) -> int:
     return 0
 
 
-def positions(pattern: str) -> dict[str, dict[str, int]]:
-    """Where each file matching the pattern stands: its inode and the end of its last line."""
+def mark_at(path: str, position: int) -> str:
+    """A digest of the bytes just before a position."""
+    with open(path, "rb") as file:
+        file.seek(max(0, position - _MARK))
+        return hashlib.blake2b(file.read(min(position, _MARK)), digest_size=8).hexdigest()
+
+
+def matching(pattern: str) -> list[str]:
+    """The files of a pattern; a path that exists is taken literally."""
+    return [pattern] if os.path.exists(pattern) else sorted(glob.glob(pattern))
+
+
+def finished_positions(path: str) -> dict[str, int]:
+    """Position after the last finished line of a mounted file, or of each file of a pattern."""
     found = {}
-    for path in sorted(glob.glob(pattern)):
+    for name in matching(local_path(path)):
         try:
-            found[path] = {"inode": os.stat(path).st_ino, "position": complete_until(path)}
+            found[name] = complete_until(name)
         except FileNotFoundError:  # rotated away meanwhile
             continue
     return found
 
 
-def _split_lines(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Lines from ``start`` on, with their positions; ``end`` is the end of a line."""
+def _runs_of_lines(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
+    """Whole lines, many at a time, with the position of the first; ``end`` is the end of a line."""
     file.seek(start)
-    read, rest = start, b""
+    read, held = start, []
     while read < end:
         chunk = file.read(min(_CHUNK, end - read))
         if not chunk:
-            return
+            break
         read += len(chunk)
-        rest += chunk
-        done = 0
-        for match in _LINE_END.finditer(rest):
-            if match.group() == b"\r" and match.end() == len(rest) and read < end:
-                break
-            yield start + done, rest[done : match.start()]
-            done = match.end()
-        start, rest = start + done, rest[done:]
-    if rest:
-        yield start, rest
+        # Behind a \r at the very end there may be a \n.
+        cut = len(chunk) if read >= end else max(chunk.rfind(b"\n"), chunk.rfind(b"\r", 0, len(chunk) - 1)) + 1
+        if not cut:
+            held.append(chunk)
+            continue
+        run = b"".join([*held, chunk[:cut]])
+        yield start, run
+        start, held = start + len(run), [chunk[cut:]]
+    if any(held):
+        yield start, b"".join(held)
+
+
+def _split_run(position: int, run: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The lines of a run and their positions."""
+    if b"\r" not in run:
+        lines = run.split(b"\n")
+        if not lines[-1]:
+            lines.pop()
+        after = np.cumsum([len(line) + 1 for line in lines], dtype=np.int64)
+        return lines, position + np.concatenate([[0], after[:-1]]) if lines else after
+    lines, starts, done = [], [], 0
+    for match in _LINE_END.finditer(run):
+        lines.append(run[done : match.start()])
+        starts.append(position + done)
+        done = match.end()
+    if done < len(run):
+        lines.append(run[done:])
+        starts.append(position + done)
+    return lines, np.array(starts, np.int64)
+
+
+def line_runs(file, part: ByteRange) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The lines that begin in the range, many at a time. A line that begins before it is its neighbour's."""
+    skip = part.start > part.first
+    for position, run in _runs_of_lines(file, part.start - skip, part.end):
+        lines, starts = _split_run(position, run)
+        if skip:
+            lines, starts, skip = lines[1:], starts[1:], False
+        keep = int(np.searchsorted(starts, part.stop))
+        if keep:
+            yield lines[:keep], starts[:keep]
+        if keep < len(lines) or position >= part.stop:
+            return
 
 
 def lines_in(file, part: ByteRange) -> Iterator[tuple[int, bytes]]:
-    """The lines that begin in the range. A line that begins before it is its neighbour's."""
-    lines = _split_lines(file, part.start - (part.start > part.first), part.end)
-    if part.start > part.first:
-        next(lines, None)
-    for position, line in lines:
-        if position >= part.stop:
-            return
-        yield position, line
+    """The lines that begin in the range, one by one, with their positions."""
+    for lines, starts in line_runs(file, part):
+        yield from zip(starts.tolist(), lines, strict=True)
+
+
+def _batch(lines: list[bytes], starts: np.ndarray, named: str) -> pa.RecordBatch:
+    try:
+        raw = pa.array(lines, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:  # not all of it is UTF-8
+        raw = pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
+    name = pa.array([os.path.basename(named)] * len(lines), pa.string())
+    columns = [raw, name, pa.array([named] * len(lines), pa.string()), pa.array(starts)]
+    return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+
+
+def _ranges(named: str, path: str, inode: int, first: int, end: int, size: int) -> list[ByteRange]:
+    return [ByteRange(path, inode, first, at, min(at + size, end), end, named) for at in range(first, end, size)]
+
+
+def _open(part: ByteRange):
+    """The file of a range, under its path or another name in its folder; None if it is not there."""
+    for path in [part.path, *_renamed(part.path, {part.inode}).values()]:
+        try:
+            file = open(path, "rb")
+        except FileNotFoundError:
+            continue
+        status = os.fstat(file.fileno())
+        if status.st_ino == part.inode and status.st_size >= part.end:
+            return file
+        file.close()
+    return None
+
+
+def _renamed(path: str, inodes: set[int]) -> dict[int, str]:
+    """Where files of these inodes are now, in the folder of a path."""
+    try:
+        with os.scandir(os.path.dirname(path) or ".") as entries:
+            return {e.inode(): e.path for e in entries if e.inode() in inodes and e.is_file(follow_symlinks=False)}
+    except FileNotFoundError:
+        return {}
+
+
+def _read(part: ByteRange, fail_on_data_loss: bool) -> Iterator[pa.RecordBatch]:
+    file = _open(part)
+    if file is None:
+        message = f"{part.path} was replaced before bytes {part.start} to {part.stop} were read"
+        if fail_on_data_loss:
+            raise RuntimeError(message)
+        log.warning(message)
+        return
+    with file:
+        for lines, starts in line_runs(file, part):
+            yield _batch(lines, starts, part.named or part.path)
 
 
 class TailReader(DataSourceStreamReader):
@@ -128,62 +238,95 @@ class TailReader(DataSourceStreamReader):
         self.pattern = local_path(options["path"])
         self.starting = options.get("startingPosition", "end")
         self.range_bytes = int(options.get("rangeBytes", 64 << 20))
-        self.fail_on_data_loss = options.get("failOnDataLoss", "false").lower() == "true"
+        self.fail_on_data_loss = options.get("failOnDataLoss", "true").lower() == "true"
+        self.forget_after = float(options.get("forgetAfter", _WEEK))
+        self.known: dict[str, dict] = {}  # by inode: what the last offset says of the file
+        self.seen: dict[str, tuple[int, int]] = {}  # by inode: size and time of change at the last look
+        self.done: dict[str, dict] = {}  # by inode: what finished micro-batches have read up to
 
     def initialOffset(self) -> dict:
-        now = positions(self.pattern)
         if self.starting == "end":
-            return now
+            return self.latestOffset()
         given = {} if self.starting == "beginning" else json.loads(self.starting)
-        return {path: {**at, "position": given.get(path, 0)} for path, at in now.items()}
+        return {key: self._moved(at, given.get(at["path"], 0)) for key, at in self.latestOffset().items()}
+
+    @staticmethod
+    def _moved(at: dict, position: int) -> dict:
+        position = min(position, at["position"])
+        return {**at, "position": position, "mark": mark_at(at["path"], position)}
 
     def latestOffset(self) -> dict:
-        return positions(self.pattern)
+        found: dict[str, str] = {}
+        for path in matching(self.pattern):
+            try:
+                found[str(os.stat(path).st_ino)] = path
+            except FileNotFoundError:  # rotated away meanwhile
+                continue
+        missing = {key: at for key, at in self.known.items() if key not in found and "gone" not in at}
+        for folder in {os.path.dirname(at["path"]) for at in missing.values()}:
+            now = _renamed(os.path.join(folder, ""), {int(key) for key in missing})
+            found |= {str(inode): path for inode, path in now.items()}
+        for key, path in found.items():
+            try:
+                self.known[key] = self._look(key, path)
+            except FileNotFoundError:
+                continue
+        for key, at in list(self.known.items()):
+            if key not in found:
+                gone = at.setdefault("gone", int(time.time()))
+                if time.time() - gone > self.forget_after:
+                    del self.known[key]
+        return {key: dict(at) for key, at in self.known.items()}
+
+    def _look(self, key: str, path: str) -> dict:
+        status = os.stat(path)
+        at, state = self.known.get(key), (status.st_size, status.st_mtime_ns)
+        if at and self.seen.get(key) == state and "gone" not in at:
+            return {**at, "path": path}
+        position = complete_until(path)
+        same = at and status.st_size >= at["position"] and mark_at(path, at["position"]) == at["mark"]
+        generation = (at["generation"] + (not same)) if at else 0
+        position = max(position, at["position"]) if same else position
+        self.seen[key] = state
+        # A new generation is a new file, under its own name.
+        named = at["named"] if same else path
+        return {"path": path, "named": named, "generation": generation, "position": position, "mark": mark_at(path, position)}
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
+        self.commit(start)
+        for key, at in start.items():
+            self.known.setdefault(key, dict(at))  # after a restart
         ranges = []
-        for path, until in end.items():
-            since = start.get(path)
-            # A new file under the name, or a shorter one, is read from its beginning.
-            same = since and since["inode"] == until["inode"] and since["position"] <= until["position"]
-            first = since["position"] if same else 0
-            for at in range(first, until["position"], self.range_bytes):
-                stop = min(at + self.range_bytes, until["position"])
-                ranges.append(ByteRange(path, until["inode"], first, at, stop, until["position"]))
+        for key, until in end.items():
+            # A file that was missing at a restart is not in the offsets from then.
+            since = start.get(key) or self.done.get(key)
+            same = since and since["generation"] == until["generation"]
+            first = min(since["position"], until["position"]) if same else 0
+            ranges += _ranges(until["named"], until["path"], int(key), first, until["position"], self.range_bytes)
         return ranges
 
+    def commit(self, end: dict) -> None:
+        self.done.update(end)
+
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        part = partition
-        try:
-            file = open(part.path, "rb")
-        except FileNotFoundError:
-            self._lost(part)
-            return
-        with file:
-            status = os.fstat(file.fileno())
-            if status.st_ino != part.inode or status.st_size < part.end:
-                self._lost(part)
-                return
-            name, rows = os.path.basename(part.path), []
-            for position, line in lines_in(file, part):
-                rows.append((line.decode("utf-8", "replace"), position))
-                if len(rows) == _BATCH:
-                    yield _batch(rows, name, part.path)
-                    rows = []
-            if rows:
-                yield _batch(rows, name, part.path)
-
-    def _lost(self, part: ByteRange) -> None:
-        message = f"{part.path} was replaced before bytes {part.start} to {part.stop} were read"
-        if self.fail_on_data_loss:
-            raise RuntimeError(message)
-        log.warning(message)
+        return _read(partition, self.fail_on_data_loss)
 
 
-def _batch(rows: list[tuple[str, int]], name: str, path: str) -> pa.RecordBatch:
-    lines, offsets = zip(*rows, strict=True)
-    columns = [pa.array(lines, pa.string()), pa.array([name] * len(rows)), pa.array([path] * len(rows))]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(offsets, pa.int64())], schema=_ARROW)
+class UntilReader(DataSourceReader):
+    """The lines before given positions, as a batch."""
+
+    def __init__(self, options: Mapping[str, str]) -> None:
+        self.until = json.loads(options["until"])
+        self.range_bytes = int(options.get("rangeBytes", 64 << 20))
+
+    def partitions(self) -> list[ByteRange]:
+        ranges = []
+        for path, end in self.until.items():
+            ranges += _ranges(path, path, os.stat(path).st_ino, 0, end, self.range_bytes)
+        return ranges or [ByteRange("", 0, 0, 0, 0, 0, "")]
+
+    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+        return _read(partition, True) if partition.path else iter(())
 
 
 class TailSource(DataSource):
@@ -194,6 +337,9 @@ class TailSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
+    def reader(self, schema: StructType) -> UntilReader:
+        return UntilReader(self.options)
+
     def streamReader(self, schema: StructType) -> TailReader:
         return TailReader(self.options)
 
@@ -207,3 +353,9 @@ def tail_logs(spark: SparkSession, path: str, start: str | dict[str, int] = "end
     spark.dataSource.register(TailSource)
     starting = start if isinstance(start, str) else json.dumps(start)
     return spark.readStream.format("tail").options(path=path, startingPosition=starting, **options).load()
+
+
+def read_until(spark: SparkSession, ends: Mapping[str, int], **options: str) -> DataFrame:
+    """The lines of mounted files before the given positions, see :func:`finished_positions`."""
+    spark.dataSource.register(TailSource)
+    return spark.read.format("tail").options(until=json.dumps(dict(ends)), **options).load()

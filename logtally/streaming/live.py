@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -16,11 +15,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from logtally.functions.patterns import DEFAULT_KEYWORDS, ERROR_RULES, Rule
 from logtally.operators.select import error_entries
 from logtally.plans.metrics import metric_rows
+from logtally.streaming.tables import MERGE_EVERY, METRIC_SCHEMA, BatchTable, newest_of
 
 POLL_MS = 500
-# Micro-batches after which an update table is merged.
-MERGE_EVERY = 100
-_MERGED = 10**12
+ALERT_SCHEMA = "source_file string, level string, raw string"
+TIME_RANGE_SCHEMA = "earliest timestamp_ntz, latest timestamp_ntz"
 
 
 def running_metrics(
@@ -46,16 +45,6 @@ def alerts(entries: DataFrame) -> DataFrame:
     return error_entries(entries).select("source_file", "level", "raw")
 
 
-def continue_from(running: DataFrame, batch_metrics: DataFrame) -> DataFrame:
-    """Add the counts of an earlier batch to those of a stream.
-
-    Keys that only the batch has do not change, so they are not in the stream's updates.
-    """
-    before = batch_metrics.select("metric", "key", F.col("count").alias("_before"))
-    total = F.col("count") + F.coalesce("_before", F.lit(0))
-    return running.join(before, ["metric", "key"], "left").select("metric", "key", total.alias("count"))
-
-
 def _writer(stream: DataFrame, mode: str, checkpoint: str, poll_ms: int | None) -> DataStreamWriter:
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if poll_ms is None:
@@ -77,64 +66,30 @@ def start_updates(
     return _writer(running, "update", checkpoint, poll_ms).foreachBatch(on_update).start()
 
 
-def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _subfolders(spark: SparkSession, folder: str, before: int) -> list[str]:
-    """The subfolders of an update table with a number smaller than that."""
-    system, pattern = _file_system(spark, f"{folder}/batch=*")
-    paths = [status.getPath().toString() for status in system.globStatus(pattern) or []]
-    return [path for path in paths if int(path.rsplit("=", 1)[1]) < before]
-
-
-def _newest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The row of the last micro-batch for every key."""
-    values = [c for c in updates.columns if c not in (*keys, "batch")]
-    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
-    return newest.select(*keys, "_newest.*")
-
-
-def _merge(spark: SparkSession, folder: str, keys: Sequence[str], before: int) -> None:
-    """Replace the subfolders of earlier micro-batches by one with the newest row of every key.
-
-    It takes a number below all micro-batches, and above those of earlier merges. The others are
-    removed only once it is complete, so a merge that was cut short is made up for by the next try.
-    """
-    merged = f"{folder}/batch={before - _MERGED}"
-    name = merged.rsplit("/", 1)[1]
-    earlier = [path for path in _subfolders(spark, folder, before) if not path.endswith(f"/{name}")]
-    if not earlier:
-        return
-    system, done = _file_system(spark, f"{merged}/_SUCCESS")
-    if not system.exists(done):
-        updates = spark.read.option("basePath", folder).parquet(*earlier)
-        _newest(updates, keys).write.mode("overwrite").parquet(merged)
-    for path in earlier:
-        system.delete(_file_system(spark, path)[1], True)
-
-
 def update_table(
-    folder: str, keys: Sequence[str] = ("metric", "key"), merge_every: int = MERGE_EVERY
+    folder: str, keys: Sequence[str] | None = None, merge_every: int = MERGE_EVERY
 ) -> Callable[[DataFrame, int], None]:
-    """An ``on_update`` that keeps each micro-batch's rows in a subfolder of its own.
+    """An ``on_update`` that keeps the newest row of every key, see :class:`BatchTable`.
 
-    A repeated micro-batch replaces its subfolder. Every so many micro-batches the earlier ones are
-    merged, so the table does not grow with time.
+    The keys are those of running metrics if the updates have them, else none.
     """
 
     def write(updates: DataFrame, number: int) -> None:
-        updates.write.mode("overwrite").parquet(f"{folder}/batch={number}")
-        if number % merge_every == 0:
-            _merge(updates.sparkSession, folder, keys, number)
+        own = _keys_of(updates, keys)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in updates.schema)
+        BatchTable(folder, schema, newest_of(own), merge_every).write(updates, number)
 
     return write
 
 
-def latest(spark: SparkSession, folder: str, keys: Sequence[str] = ("metric", "key")) -> DataFrame:
-    """The newest row of every key in an update table."""
-    return _newest(spark.read.option("ignoreMissingFiles", True).parquet(folder), keys)
+def _keys_of(updates: DataFrame, keys: Sequence[str] | None) -> list[str]:
+    return [c for c in ("metric", "key") if c in updates.columns] if keys is None else list(keys)
+
+
+def latest(spark: SparkSession, folder: str, schema: str = METRIC_SCHEMA, keys: Sequence[str] | None = None) -> DataFrame:
+    """The newest row of every key in an update table; empty before the first micro-batch."""
+    own = _keys_of(spark.createDataFrame([], schema), keys)
+    return BatchTable(folder, schema, newest_of(own)).read(spark)
 
 
 def start_alerts(
@@ -143,8 +98,18 @@ def start_alerts(
     folder: str | None = None,
     poll_ms: int | None = POLL_MS,
 ) -> StreamingQuery:
-    """Write alerts to a folder of text files, or to the console."""
+    """Write alerts to a table that :func:`read_alerts` reads, or to the console."""
     writer = _writer(alerts(entries), "append", checkpoint, poll_ms)
     if folder is None:
         return writer.format("console").option("truncate", False).start()
-    return writer.format("parquet").option("path", folder).start()
+    return writer.foreachBatch(alert_table(folder).write).start()
+
+
+def alert_table(folder: str, merge_every: int = MERGE_EVERY) -> BatchTable:
+    """Alerts by micro-batch; merging makes few files of many."""
+    return BatchTable(folder, ALERT_SCHEMA, None, merge_every)
+
+
+def read_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """All alerts so far."""
+    return alert_table(folder).read(spark)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from logtally.functions.matching import DEFAULT_PATTERN
 from logtally.sources.events import LINES_SQL
 
 # The keywords of the sample configuration, the levels in report order, the error rules.
@@ -17,6 +16,31 @@ RULES = (
 )
 SEED = 7
 GENERATED_FILES = 3
+# The line pattern, and one of three groups.
+PATTERN = (
+    r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?)\s+"
+    r"(TRACE|DEBUG|INFO|WARN|WARNING|ERROR|FATAL|SEVERE)\s+\[?([^\]]+?)\]?\s+([\w\.]+)\s+-\s+(.*)$"
+)
+SHORT_PATTERN = r"(\S+[T ]\S+)\s+([A-Z]+)\s+\[([^\]]*)\].*"
+FILE_NAMES = ("007", "7", "20240601", "2024-06-01", "app[1].log", "a+b c%20.log", "1e3", "true")
+TIME_FORMATS = ("d MMM yyyy HH:mm[:ss]", "M/d/yyyy h:mm a", "EEE, dd MMMM yyyy HH:mm:ss", "yyyyMMdd'T'HHmmss[.SSS]['Z']")
+# Texts in these formats made from each event; read by both engines.
+WRITTEN_TIMES = """
+  SELECT event_id, CASE event_id % 12
+    WHEN 0 THEN concat(d, ' ', mon, ' ', y, ' ', hh, ':', mi) WHEN 1 THEN concat(d, ' ', mon, ' ', y, ' ', hh, ':', mi, ':', se)
+    WHEN 2 THEN concat(m, '/', d, '/', y, ' ', h12, ':', mi, ' ', ap) WHEN 3 THEN concat(y, mm, dd, 'T', hh, mi, se)
+    WHEN 4 THEN concat(y, mm, dd, 'T', hh, mi, se, '.250Z') WHEN 5 THEN concat(y, mm, dd, 'T', hh, mi, se, 'Z')
+    WHEN 6 THEN concat('10 Mar ', y, ' 02:30') WHEN 7 THEN concat('31 Apr ', y, ' ', hh, ':', mi)
+    WHEN 8 THEN concat('2/30/', y, ' ', h12, ':', mi, ' ', ap) WHEN 9 THEN concat(d, ' ', upper(mon), ' ', y, ' ', hh, ':', mi)
+    WHEN 10 THEN concat(y, mm, dd, 'T', hh, mi, se, '.25') ELSE concat('13/1/', y, ' ', h12, ':', mi, ' ', ap) END AS text
+  FROM (
+    SELECT event_id, substr(t, 1, 4) AS y, substr(t, 6, 2) AS mm, substr(t, 9, 2) AS dd, substr(t, 12, 2) AS hh,
+      substr(t, 15, 2) AS mi, substr(t, 18, 2) AS se, CAST(CAST(substr(t, 6, 2) AS INT) AS VARCHAR(2)) AS m,
+      CAST(CAST(substr(t, 9, 2) AS INT) AS VARCHAR(2)) AS d,
+      substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(substr(t, 6, 2) AS INT) * 3 - 2, 3) AS mon,
+      CAST((CAST(substr(t, 12, 2) AS INT) + 11) % 12 + 1 AS VARCHAR(2)) AS h12,
+      CASE WHEN CAST(substr(t, 12, 2) AS INT) < 12 THEN 'AM' ELSE 'PM' END AS ap
+    FROM (SELECT event_id, substr(CAST(ts AS VARCHAR(40)), 1, 19) AS t FROM {events}) AS t1) AS t2"""
 
 _LINES = LINES_SQL.format(
     events="events",
@@ -63,8 +87,8 @@ def _timestamp(x: str) -> str:
 ENTRIES = f"""
 WITH lines AS ({_LINES}),
 matched AS (
-  SELECT *, regexp_full_match(t, '{DEFAULT_PATTERN}') AS ok,
-    regexp_extract(t, '{DEFAULT_PATTERN}', ['stamp', 'lvl', 'thread', 'logger', 'message']) AS g
+  SELECT *, regexp_full_match(t, '{PATTERN}') AS ok,
+    regexp_extract(t, '{PATTERN}', ['stamp', 'lvl', 'thread', 'logger', 'message']) AS g
   FROM (SELECT *, {_trim("raw")} AS t FROM lines)),
 parsed AS (
   SELECT line_number, source_file, raw,
@@ -195,6 +219,18 @@ SELECT CAST(section AS INT) AS section, CAST(place AS INT) AS place, CAST(rank A
 )
 
 
+_SHORT = f"""
+WITH lines AS ({_LINES}),
+matched AS (SELECT *, regexp_full_match(t, '{SHORT_PATTERN}') AS ok,
+    regexp_extract(t, '^(?:{SHORT_PATTERN})$', ['stamp', 'lvl', 'thread']) AS g
+  FROM (SELECT *, {_trim("raw")} AS t FROM lines))
+SELECT source_file, line_number, CASE WHEN ok THEN {_timestamp("g.stamp")} END AS ts,
+  CASE WHEN ok THEN {_level("g.lvl")} ELSE {_fallback("raw")} END AS level,
+  CASE WHEN ok THEN {_trim("g.thread")} ELSE 'unknown' END AS thread, 'unknown' AS logger, raw AS message
+FROM matched
+"""
+
+
 def _generated() -> str:
     from logtally.sources import synthetic as s
 
@@ -289,9 +325,26 @@ ORACLES = {
     "all_metrics": _ALL_METRICS,
     "report_lines": REPORT,
     "stream_metrics": _ALL_METRICS,
+    "stream_merged_metrics": _ALL_METRICS,
     "stream_time_range": ENTRIES + " SELECT min(ts) AS earliest, max(ts) AS latest FROM entries",
     "stream_alerts": ENTRIES + " SELECT source_file, level, raw FROM entries WHERE level IN ('ERROR', 'FATAL')",
     "stream_after_batch": _ALL_METRICS,
+    "stream_after_batch_overview": ENTRIES
+    + " SELECT count(*) AS total, count(*) AS processed, count(*) FILTER (malformed) AS malformed,"
+    " min(ts) AS earliest, max(ts) AS latest FROM entries",
     "tail_metrics": _ALL_METRICS,
+    "tail_events": ENTRIES + " SELECT raw, 'app.log' AS source_file FROM entries",
+    "monitor_metrics": _ALL_METRICS,
+    "named_files": ENTRIES
+    + f" SELECT {list(FILE_NAMES)}[line_number % {len(FILE_NAMES)} + 1] AS source_file, count(*) AS count FROM entries GROUP BY 1",
+    "written_report": f"SELECT line FROM ({REPORT}) WHERE line <> ''",
+    "short_pattern": _SHORT,
+    "any_format": f"""
+      SELECT event_id, text, CASE event_id % 12
+        WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN ts WHEN 2 THEN date_trunc('minute', ts) WHEN 3 THEN ts
+        WHEN 4 THEN ts + INTERVAL 250 MILLISECONDS WHEN 5 THEN ts WHEN 6 THEN make_timestamp(year(ts), 3, 10, 2, 30, 0)
+        WHEN 7 THEN make_timestamp(year(ts), 4, 30, hour(ts), minute(ts), 0)
+        WHEN 8 THEN make_timestamp(year(ts), 2, day(last_day(make_date(year(ts), 2, 1))), hour(ts), minute(ts), 0) END AS ts
+      FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events) JOIN ({WRITTEN_TIMES.format(events="events")}) USING (event_id)""",
     "generate_logs": _generated(),
 }

@@ -73,9 +73,9 @@ def test_file_that_breaks_off(spark, tmp_path):
         lt.scan_logs(spark, paths).collect()
 
 
-@pytest.mark.parametrize("most_broadcast", [0, 200_000])
+@pytest.mark.parametrize("most_broadcast", [0, files.BROADCAST_BYTES])
 def test_line_numbers_across_splits(spark, tmp_path, small_splits, monkeypatch, most_broadcast):
-    monkeypatch.setattr(files, "BROADCAST_BLOCKS", most_broadcast)
+    monkeypatch.setattr(files, "BROADCAST_BYTES", most_broadcast)
     sizes = {"large.log": 3000, "small.log": 7, "empty.log": 0}
     paths = [numbered(tmp_path / name, n) for name, n in sizes.items()]
     lines = lt.scan_numbered_logs(spark, [*paths, paths[0]])
@@ -102,16 +102,69 @@ def test_overlapping_patterns_are_refused(spark, tmp_path):
         lt.scan_numbered_logs(spark, [path, str(tmp_path / "*.log")]).collect()
 
 
-def test_files_cut_differently_the_second_time(spark, tmp_path):
-    path = numbered(tmp_path / "app.log", 3000)
-    lines = lt.scan_numbered_logs(spark, [path])
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+@pytest.mark.parametrize(
+    ("key", "value"),
+    [
+        ("spark.sql.files.maxPartitionBytes", "8192"),
+        ("spark.sql.files.openCostInBytes", "1"),
+        ("spark.sql.files.openCostInBytes", "100000000"),
+        ("spark.sql.files.minPartitionNum", "1"),
+        ("spark.sql.files.minPartitionNum", "50"),
+    ],
+)
+def test_settings_that_change_between_the_scans(spark, tmp_path, key, value):
+    """Numbers are right, or reading fails; they are never wrong."""
+    for k in range(6):
+        numbered(tmp_path / f"{k}.log", 50 + 7 * k)
+    lines = lt.scan_numbered_logs(spark, [str(tmp_path)])
+    lines = lines.select("line_number", F.split("raw", " ")[0].cast("bigint").alias("expected"))
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
-        with pytest.raises(Exception, match="split differently"):
-            lines.collect()
+        rows = lines.collect()
+    except Exception as error:
+        assert "dealt out or split differently" in str(error)
+    else:
+        assert len(rows) == 405 and all(r.line_number == r.expected for r in rows)
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("count", [0, 39, 41])
+def test_files_that_change_between_the_scans(spark, tmp_path, count):
+    paths = [tmp_path / f"{k}.log" for k in range(6)]
+    for path in paths:
+        numbered(path, 40)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")  # several files in a task
+    try:
+        lines = lt.scan_numbered_logs(spark, [str(tmp_path)])
+        lines = lines.select("line_number", F.split("raw", " ")[0].cast("bigint").alias("expected"))
+        numbered(paths[1], count)
+        try:
+            rows = lines.collect()
+        except Exception as error:
+            assert "dealt out or split differently" in str(error)
+        else:
+            assert all(r.line_number == r.expected for r in rows)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_names_that_look_like_numbers_or_patterns(spark, tmp_path):
+    names = ["007", "20240601", "app[1].log", "a{b,c}.log", "a+b %20.log", "x*.log", "true"]
+    for k, name in enumerate(names):
+        numbered(tmp_path / name, k + 1)
+    expected = {name: k + 1 for k, name in enumerate(names)}
+    paths = [str(tmp_path / name) for name in names]
+    counts = lambda lines: {r.source_file: r["count"] for r in lt.file_counts(lines).collect()}
+    assert counts(lt.scan_logs(spark, paths)) == expected
+    assert counts(lt.scan_numbered_logs(spark, paths)) == expected
+    rows = [(str(i), name) for name, n in expected.items() for i in range(n)]
+    written = str(tmp_path / "written")
+    lt.write_logs(spark.createDataFrame(rows, "raw string, source_file string"), written, "raw")
+    assert counts(lt.scan_logs(spark, [written])) == expected
+    assert counts(lt.scan_numbered_logs(spark, [written])) == expected
+    assert lt.scan_logs(spark, [f"{tmp_path}/app*.log"]).count() == 3
 
 
 def test_written_parts_keep_their_order(spark, tmp_path, small_splits):
@@ -137,6 +190,23 @@ def test_written_parts_keep_their_order(spark, tmp_path, small_splits):
 def test_file_that_vanishes_is_skipped(spark, tmp_path):
     for name in ("a.log", "b.log"):
         numbered(tmp_path / name, 4)
-    lines = lt.scan_logs(spark, [str(tmp_path / "*.log")])
+    pattern = [str(tmp_path / "*.log")]
+    strict, lines = lt.scan_logs(spark, pattern), lt.scan_logs(spark, pattern, skip_corrupt=True)
+    listed = lines.inputFiles()
     shutil.move(tmp_path / "a.log", tmp_path / "a.moved")
     assert lines.count() == 4
+    assert [path.rsplit("/", 1)[1] for path in lt.vanished(spark, listed)] == ["a.log"]
+    with pytest.raises(Exception, match="(?i)FILE_NOT_EXIST|does not exist"):
+        strict.count()
+
+
+def test_analysis_goes_on_past_what_cannot_be_read(spark, tmp_path):
+    whole = gzip.compress(b"".join(b"line %d\n" % i for i in range(20_000)))
+    (tmp_path / "broken.log.gz").write_bytes(whole[: len(whole) // 2])
+    numbered(tmp_path / "b.log", 5)
+    paths = [str(tmp_path), str(tmp_path / "missing.log")]
+    result = lt.analyze(spark, paths, lt.Options(skip_corrupt=True))
+    files_of = {r.key: r["count"] for r in result.metrics.filter("metric = 'file'").collect()}
+    assert files_of["b.log"] == 5 and 0 < files_of["broken.log.gz"] < 20_000 and result.vanished == []
+    with pytest.raises(Exception, match="(?i)end of|EOF|corrupt|FAILED_READ_FILE"):
+        lt.analyze(spark, paths)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import json
 import os
 import random
 import re
@@ -83,7 +84,7 @@ def test_alerts(spark, tmp_path):
     add_file(folder, "a.log", ERROR, INFO, "all FATAL here", "x")
     entries = lt.parse_logs(lt.stream_logs(spark, str(folder)))
     lt.start_alerts(entries, str(tmp_path / "state"), out, poll_ms=None).awaitTermination()
-    assert {tuple(r) for r in spark.read.parquet(out).collect()} == {
+    assert {tuple(r) for r in lt.read_alerts(spark, out).collect()} == {
         ("a.log", "ERROR", ERROR),
         ("a.log", "FATAL", "all FATAL here"),
     }
@@ -93,11 +94,21 @@ def test_stream_goes_on_from_a_batch(spark, lines_of, tmp_path):
     folder = tmp_path / "logs"
     folder.mkdir()
     add_file(folder, "b.log", ERROR)
-    batch = lt.all_metrics(lt.parse_logs(lines_of(ERROR, INFO)))
-    running = lt.running_metrics(lt.parse_logs(lt.stream_logs(spark, str(folder))))
-    counts = as_dict(run(lt.continue_from(running, batch), tmp_path))
+    batch = lt.analyze_lines(lines_of(ERROR, INFO))
+
+    def followed(batch):
+        live = lt.follow(lt.stream_logs(spark, str(folder)), str(tmp_path / "live"), batch=batch, poll_ms=None)
+        live.query.awaitTermination()
+        return live, as_dict(live.metrics())
+
+    live, counts = followed(batch)
     assert counts["total", ""] == 3 and counts["level", "ERROR"] == 2 and counts["file", "b.log"] == 1
-    assert ("level", "INFO") not in counts  # unchanged since the batch
+    assert counts["level", "INFO"] == 1 and counts["hour", "2024-06-01 09"] == 1  # as the batch left them
+    assert live.overview().select("total", "malformed", F.hour("earliest"), F.hour("latest")).first() == (3, 0, 8, 9)
+    # The batch was stored at the first start; another one does not count again.
+    add_file(folder, "c.log", INFO, "x")
+    _, counts = followed(lt.analyze_lines(lines_of(ERROR, ERROR, ERROR)))
+    assert counts["total", ""] == 5 and counts["malformed", ""] == 1 and counts["level", "FATAL"] == 0
 
 
 def tail(spark, path, tmp_path, **options):
@@ -181,7 +192,7 @@ def test_ranges_cover_every_line_once(tmp_path):
         assert end == (ends[-1] if ends else 0), data
         expected = [m.group(1) for m in re.finditer(rb"([^\r\n]*)(\r\n|\r|\n)", data[:end])]
         reader = TailReader({"path": str(path), "rangeBytes": str(rng.randint(1, 8))})
-        now = {str(path): {"inode": 1, "position": end}}
+        now = {"1": {"path": str(path), "named": str(path), "generation": 0, "position": end, "mark": ""}}
         parts = reader.partitions({}, now)
         got = [line for part in parts for _, line in lines_in(io.BytesIO(data), part)]
         assert got == expected, data
@@ -209,42 +220,174 @@ def test_lost_data(tmp_path):
     path = tmp_path / "f.log"
     path.write_bytes(b"1\n")
     part = ByteRange(str(path), -1, 0, 0, 2, 2)
-    assert list(TailReader({"path": str(path)}).read(part)) == []
     with pytest.raises(RuntimeError, match="replaced"):
-        list(TailReader({"path": str(path), "failOnDataLoss": "true"}).read(part))
+        list(TailReader({"path": str(path)}).read(part))
+    assert list(TailReader({"path": str(path), "failOnDataLoss": "false"}).read(part)) == []
+
+
+class Polled:
+    """A tail reader driven by hand, micro-batch by micro-batch."""
+
+    def __init__(self, path, offset=None, **options):
+        self.reader = TailReader({"path": str(path), "startingPosition": "beginning", **options})
+        self.offset = offset
+        if offset is None:
+            self.offset = self.restored(self.reader.initialOffset())
+
+    @staticmethod
+    def restored(offset):
+        return json.loads(json.dumps(offset))
+
+    def lines(self):
+        end = self.restored(self.reader.latestOffset())
+        rows = [r for p in self.reader.partitions(self.offset, end) for b in self.reader.read(p) for r in b.to_pylist()]
+        self.offset = end
+        self.reader.commit(end)
+        return [(r["source_file"], r["raw"]) for r in rows]
+
+
+def test_a_rotated_file_is_read_to_its_end(tmp_path):
+    path = tmp_path / "app.log"
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(path)
+    assert polled.lines() == [("app.log", "1"), ("app.log", "2")]
+    append(path, b"3\n")
+    os.rename(path, tmp_path / "app.log.1")
+    append(tmp_path / "app.log.1", b"4\n")
+    path.write_bytes(b"a\n")
+    assert sorted(polled.lines()) == [("app.log", "3"), ("app.log", "4"), ("app.log", "a")]
+    append(tmp_path / "app.log.1", b"5\n")
+    os.rename(tmp_path / "app.log.1", tmp_path / "app.log.2")
+    append(path, b"b\n")
+    assert sorted(polled.lines()) == [("app.log", "5"), ("app.log", "b")]
+    assert polled.lines() == []
+
+
+def test_a_file_that_is_away_for_a_while_is_not_counted_again(tmp_path):
+    path, away = tmp_path / "logs" / "app.log", tmp_path / "app.log"
+    path.parent.mkdir()
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(path)
+    assert len(polled.lines()) == 2
+    os.rename(path, away)
+    assert polled.lines() == polled.lines() == []
+    os.rename(away, path)
+    append(path, b"3\n")
+    assert polled.lines() == [("app.log", "3")]
+    # Over a restart as well.
+    os.rename(path, away)
+    assert polled.lines() == []
+    polled = Polled(path, polled.offset)
+    assert polled.lines() == []
+    os.rename(away, path)
+    append(path, b"4\n")
+    assert polled.lines() == [("app.log", "4")]
+    forgetful = Polled(path, forgetAfter="0")
+    assert len(forgetful.lines()) == 4
+    os.rename(path, away)
+    assert forgetful.lines() == []
+
+
+def test_a_file_cut_short_and_grown_again_is_read_from_its_beginning(tmp_path):
+    path = tmp_path / "app.log"
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(path)
+    assert len(polled.lines()) == 2
+    path.write_bytes(b"a\n")
+    assert polled.lines() == [("app.log", "a")]
+    with open(path, "r+b") as file:  # longer than before at the next look
+        file.truncate(0)
+        file.write(b"x\ny\nz\n")
+    assert [raw for _, raw in polled.lines()] == ["x", "y", "z"]
+    append(path, b"end\n")
+    assert [raw for _, raw in polled.lines()] == ["end"]
+
+
+def test_only_changed_files_are_opened(tmp_path, monkeypatch):
+    for k in range(5):
+        (tmp_path / f"{k}.log").write_bytes(b"1\n")
+    polled = Polled(tmp_path / "*.log")
+    assert len(polled.lines()) == 5
+    opened = []
+    monkeypatch.setattr("logtally.sources.tail.complete_until", lambda path: opened.append(path) or complete_until(path))
+    assert polled.lines() == [] and opened == []
+    append(tmp_path / "3.log", b"2\n")
+    assert polled.lines() == [("3.log", "2")] and opened == [str(tmp_path / "3.log")]
+
+
+def test_a_range_is_read_under_the_new_name(tmp_path):
+    path = tmp_path / "app.log"
+    path.write_bytes(b"1\n2\n")
+    reader = TailReader({"path": str(path), "startingPosition": "beginning"})
+    (part,) = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    os.rename(path, tmp_path / "app.log.1")
+    path.write_bytes(b"a longer other file\n")
+    assert [r["raw"] for batch in reader.read(part) for r in batch.to_pylist()] == ["1", "2"]
+
+
+def test_lines_before_given_positions(spark, tmp_path):
+    for name in ("a.log", "b.log", "c[1].log"):
+        (tmp_path / name).write_bytes(b"1\r\n2\xff\n3\nunfinished")
+    ends = lt.finished_positions(str(tmp_path / "*.log"))
+    assert sorted(ends.values()) == [8, 8, 8]
+    rows = lt.read_until(spark, ends, rangeBytes="3").collect()
+    assert sorted((r.source_file, r.raw) for r in rows) == [(n, x) for n in ("a.log", "b.log", "c[1].log") for x in ("1", "2\ufffd", "3")]
+    assert lt.read_until(spark, {}).count() == 0
+    assert lt.finished_positions(str(tmp_path / "c[1].log")) == {str(tmp_path / "c[1].log"): 8}
 
 
 def test_time_range(spark, tmp_path):
-    folder = tmp_path / "logs"
+    folder, updates = tmp_path / "logs", str(tmp_path / "updates")
     folder.mkdir()
-    add_file(folder, "a.log", ERROR, INFO)
-    stream = lt.running_time_range(lt.parse_logs(lt.stream_logs(spark, str(folder))))
-    updates = str(tmp_path / "updates")
-    lt.start_updates(stream, str(tmp_path / "state"), lt.update_table(updates), poll_ms=None).awaitTermination()
-    row = spark.read.parquet(updates).select(F.date_format("earliest", "HH"), F.date_format("latest", "HH")).first()
-    assert row == ("08", "09")
+    assert lt.latest(spark, updates, lt.TIME_RANGE_SCHEMA).collect() == []
+    for k in range(7):  # over three merges
+        add_file(folder, f"{k}.log", INFO, f"2024-06-01 {8 - k:02d}:00:00 ERROR [t] l - x")
+    stream = lt.running_time_range(lt.parse_logs(lt.stream_logs(spark, str(folder), max_files_per_trigger=1)))
+    update = lt.update_table(updates, merge_every=2)
+    lt.start_updates(stream, str(tmp_path / "state"), update, poll_ms=None).awaitTermination()
+    rows = lt.latest(spark, updates, lt.TIME_RANGE_SCHEMA).select(F.hour("earliest"), F.hour("latest")).collect()
+    assert rows == [(2, 9)]
 
 
 def test_monitor_carries_a_batch_on(spark, tmp_path):
     path = tmp_path / "app.log"
-    path.write_text(f"{ERROR}\n{INFO}\n")
-    batch = lt.analyze(spark, [str(path)]).metrics
+    path.write_text(f"{ERROR}\n{INFO}\nunfini")
+    batch = lt.analyze_until_now(spark, str(path))
+    append(path, f"shed WARN\n{INFO}\n".encode())  # between the batch and the start
     folder = str(tmp_path / "monitor")
 
     def counted(*raw):
-        monitor = lt.monitor(spark, str(path), folder, batch_metrics=batch, poll_ms=100)
+        monitor = lt.monitor(spark, str(path), folder, batch=batch, poll_ms=100, merge_every=2)
         try:
+            before = as_dict(monitor.metrics())
             monitor.process_available()
             append(path, "".join(line + "\n" for line in raw).encode())
             monitor.process_available()
-            return as_dict(monitor.metrics())
+            return before, as_dict(monitor.metrics()), monitor
         finally:
             monitor.stop()
 
-    counts = counted(ERROR, "x")
-    assert counts["total", ""] == 4 and counts["level", "ERROR"] == 2 and counts["malformed", ""] == 1
-    assert counted("FATAL y")["total", ""] == 5
-    assert [r.raw for r in spark.read.parquet(f"{folder}/alerts").orderBy("raw").collect()] == [ERROR, "FATAL y"]
+    before, counts, _ = counted(ERROR, "x")
+    assert before["total", ""] == 2 and before["level", "INFO"] == 1
+    assert counts["total", ""] == 6 and counts["level", "ERROR"] == 2 and counts["malformed", ""] == 1
+    assert counts["level", "INFO"] == 2 and counts["level", "WARN"] == 1
+    _, counts, monitor = counted("FATAL y")
+    assert counts["total", ""] == 7
+    assert sorted(r.raw for r in monitor.alerts().collect()) == [ERROR, "FATAL y"]
+    everything = lt.all_metrics(lt.parse_logs(lt.scan_logs(spark, [str(path)])))
+    assert counts == as_dict(everything)
+    expected = lt.overview(lt.parse_logs(lt.scan_logs(spark, [str(path)]))).first()
+    assert monitor.overview().first().asDict() == expected.asDict()
+
+
+def test_monitor_before_its_first_lines(spark, tmp_path):
+    (tmp_path / "app.log").write_text("")
+    monitor = lt.monitor(spark, str(tmp_path / "app.log"), str(tmp_path / "monitor"), poll_ms=100)
+    try:
+        assert as_dict(monitor.metrics())["total", ""] == 0
+        assert monitor.overview().first().total == 0 and monitor.alerts().collect() == []
+    finally:
+        monitor.stop()
 
 
 def test_tail_paths():
@@ -253,25 +396,58 @@ def test_tail_paths():
         local_path("hdfs://host/a")
 
 
-def test_update_table_is_merged_now_and_then(spark, tmp_path):
-    folder = tmp_path / "updates"
-    write = lt.update_table(str(folder), merge_every=3)
-
+def write_counts(spark, write):
     def batch(number, **counts):
         rows = [("level", k, n) for k, n in counts.items()]
         write(spark.createDataFrame(rows, "metric string, key string, count bigint"), number)
 
-    for number in range(8):
+    return batch
+
+
+def test_update_table_is_merged_now_and_then(spark, tmp_path):
+    folder = tmp_path / "updates"
+    batch = write_counts(spark, lt.update_table(str(folder), merge_every=3))
+    for number in range(11):
         batch(number, INFO=number + 1, **({"WARN": 7} if number == 1 else {}))
         batch(number, INFO=number + 1, **({"WARN": 7} if number == 1 else {}))  # repeated after a failure
-    assert as_dict(lt.latest(spark, str(folder))) == {("level", "INFO"): 8, ("level", "WARN"): 7}
-    numbers = sorted(int(p.name.removeprefix("batch=")) for p in folder.iterdir())
-    assert numbers == [6 - 10**12, 6, 7]
-    # A merge that broke off while it was written is done again.
-    write = lt.update_table(str(folder), merge_every=8)
-    broken = folder / f"batch={8 - 10**12}"
-    broken.mkdir()
-    (broken / "part-0.parquet").write_bytes(b"half")
-    batch(8, INFO=9)
-    assert as_dict(lt.latest(spark, str(folder))) == {("level", "INFO"): 9, ("level", "WARN"): 7}
-    assert len(list(folder.iterdir())) == 2
+        expected = {("level", "INFO"): number + 1} | ({("level", "WARN"): 7} if number else {})
+        assert as_dict(lt.latest(spark, str(folder))) == expected
+    # What the last merge has replaced is still there; what the one before had is not.
+    names = {p.name for p in folder.iterdir() if not p.name.startswith(".")}
+    assert names == {"merged=6", "_merged=6", "merged=9", "_merged=9", *(f"batch={n}" for n in range(6, 11))}
+
+
+def test_a_table_read_across_a_merge(spark, tmp_path):
+    batch = write_counts(spark, lt.update_table(str(tmp_path / "updates"), merge_every=4))
+    batch(0, INFO=1)
+    batch(1, INFO=2, WARN=3)
+    before = lt.latest(spark, str(tmp_path / "updates"))
+    for number in range(2, 6):
+        batch(number, INFO=number + 1)
+    assert as_dict(before) == {("level", "INFO"): 2, ("level", "WARN"): 3}
+
+
+def test_a_merge_that_broke_off_is_done_again(spark, tmp_path):
+    folder = tmp_path / "updates"
+    batch = write_counts(spark, lt.update_table(str(folder), merge_every=2))
+    batch(0, INFO=1, WARN=5)
+    batch(1, INFO=2)
+    (folder / "merged=2").mkdir()
+    (folder / "merged=2" / "part-0.parquet").write_bytes(b"half")
+    assert as_dict(lt.latest(spark, str(folder))) == {("level", "INFO"): 2, ("level", "WARN"): 5}
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        for number in range(2, 8):
+            batch(number, INFO=number + 1)
+            assert as_dict(lt.latest(spark, str(folder))) == {("level", "INFO"): number + 1, ("level", "WARN"): 5}
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_a_table_without_keys_keeps_all_rows(spark, tmp_path):
+    table = lt.BatchTable(str(tmp_path / "t"), "x int", merge_every=2)
+    assert table.read(spark).collect() == []
+    for number in range(7):
+        table.write(spark.range(number, number + 2).select(F.col("id").cast("int").alias("x")), number)
+    assert sorted(r.x for r in table.read(spark).collect()) == sorted([*range(7), *range(1, 8)])
+    assert len(list((tmp_path / "t").glob("merged=*"))) == 3
