@@ -48,16 +48,20 @@ def _optional(name: str):
 
 corpus = _optional("logtally.llm.queries")
 pipeline = _optional("corpus_pipeline") if corpus else None
+# Bytes of a table per core up to which a scan may have fewer tasks than there are cores.
+SMALL_SPLIT = 16 << 20
 ENTRY_COLUMNS = ("source_file", "line_number", "ts", "level", "thread", "logger", "message", "raw", "malformed", "hour")
 ID = ("source_file", "line_number")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events, dealt out to all cores if the scan has fewer tasks than there are cores."""
-    events = tune(spark).read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    """The events. The small tables are one row group, which one task would read: those are dealt out."""
+    path = f"{sf_dir}/events.parquet"
+    events, cores = tune(spark).read.parquet(path), spark.sparkContext.defaultParallelism
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path).getLength()
+    return events.repartition(cores) if size < cores * SMALL_SPLIT else events
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,12 +153,14 @@ def test_hour_of_a_zone_with_a_gap(lines_of):
     assert lt.hourly_activity(lt.parse_logs(lines)).first() == ("2024-03-10 02", 1)
 
 
-def test_one_shuffle_of_few_rows_for_all_metrics(lines):
-    """The lines themselves are aggregated before any exchange."""
-    plan = lt.summarize(lt.parse_logs(lines))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "partial_count" in plan
+def test_lines_are_counted_before_any_shuffle(lines):
+    """Two exchanges: the groups of the lines, then the metrics that these are taken apart into."""
+    plan = lt.all_metrics(lt.parse_logs(lines))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("partial_count") >= 1 and plan.count("partial_sum(count") == 1
     assert "BatchEvalPython" not in plan
+    below = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "partial_count" in below  # nothing but partial groups passes the lower one
 
 
 def test_generated_logs_do_not_depend_on_partitions(spark):
