@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +14,9 @@ from logtally.session import shared_folder
 
 #: A word, as a Java regular expression: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Keys that are dealt out over several tasks at most, rows of a key from which on it may be, and tasks of such a key.
+HOT_KEYS, HOT_ROWS, SALTS = 4096, 10_000, 64
 #: Characters of text that one step of a Python worker holds at a time (a single longer text is one step).
 SLICE_CHARS = 8_000_000
 
@@ -32,13 +35,27 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     folder = shared_folder(spark, purpose)
     df.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with a view to memory.
+
+    Rows of documents are long: 10,000 of them take tens of MB in the JVM and as much again in each worker. So
+    where the session has Spark's default of 10,000 rows a batch, it is set to 1,000. A worker that has
+    finished a task gives back what its buffers took.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
@@ -62,3 +79,20 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     joined = left.join(renamed, functools.reduce(Column.__and__, same), how)
     # A semi-join has the left side's columns only; dropping what is not there does nothing.
     return joined.drop(*(f"_right_{k}" for k in keys))
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, spread: list[str], how: str = "inner") -> DataFrame:
+    """:func:`join_on` where some keys may hold a large part of the left side, and the right has a row per key.
+
+    ``counts`` has the keys and, as ``n``, the rows that the left side has of each. At most ``HOT_KEYS``
+    keys can have over a ``HOT_KEYS``-th of all rows, so these are few enough to broadcast. Their rows are
+    dealt out over ``SALTS`` tasks, by a hash of the ``spread`` columns, and their right row is repeated.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.filter(F.col("n") > max(HOT_ROWS, total // HOT_KEYS)).select(*keys, F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot.checkpoint())
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    salted = join_on(left, hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = join_on(right, hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return join_on(salted, repeated, [*keys, "_salt"], how).drop("_salt")

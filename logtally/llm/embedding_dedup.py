@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import join_on, stored
+from logtally.llm.common import join_hot, join_on, small_batches, stored
 from logtally.llm.components import connected_components
 from logtally.llm.simhash import smallest_labels
 from logtally.session import ensure_checkpoint_dir
@@ -205,10 +205,14 @@ def embedding_near_dedup(
     counts = found.filter("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = connected_components(found.filter("n = 0").select("a", "b"))
     named = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    nodes = named.join(least, "root").join(counts, "node", "left")
-    nodes = nodes.select("node", "component", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rows.select("id", "node").join(nodes, "node", "left")
+    groups = named.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("n")).checkpoint()
+    nodes = join_hot(named.select("node", "copies", "root"), groups.drop("n"), ["root"], groups, ["node"])
+    nodes = nodes.join(counts.withColumnRenamed("n", "found"), "node", "left")
+    nodes = nodes.select("node", "component", (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    copies = distinct.select("node", F.col("copies").alias("n"))
+    linked = join_hot(linkable.select("id", "node"), nodes, ["node"], copies, ["id"], "left")
+    alone = rows.filter(F.col("node").isNull()).select("id")
+    out = linked.select("id", "component", "n_links").unionByName(alone, allowMissingColumns=True)
     component = F.coalesce("component", "id")
     return out.select(
         F.col("id").alias(id_col),

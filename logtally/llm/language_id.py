@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import slices
+from logtally.llm.common import slices, small_batches
 
 UNDETERMINED = "und"
 #: Rows of the training sample per language, languages that are told apart, and subwords drawn of a row.

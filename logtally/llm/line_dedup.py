@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import WORD, join_on, stored
+from logtally.llm.common import WORD, join_hot, join_on, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Sites from which on a line is boilerplate, and the words a line needs to be judged at all.
@@ -45,16 +45,18 @@ def occurrences(df: DataFrame, id_col: str, text: str, site: str, min_words: int
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, log_registers: int = LOG_REGISTERS) -> DataFrame:
-    """``(h1, h2, first)`` of the lines on at least ``min_sites`` sites; ``first`` is what stays."""
+    """``(h1, h2, first, n)`` of the lines on at least ``min_sites`` sites; ``first`` is what stays, ``n`` their number."""
     margin = near_margin(min_sites, log_registers)
     first = F.min(F.struct("id", "digest", "pos")).alias("first")
-    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", log_registers).alias("sketch"), first)
+    sketch = F.hll_sketch_agg("site", log_registers).alias("sketch")
+    spread = lines.groupBy("h1", "h2").agg(sketch, first, F.count("*").alias("n"))
     spread = spread.withColumn("sites", F.hll_sketch_estimate("sketch")).drop("sketch")
     spread = spread.filter(F.col("sites") >= max(2, min_sites - margin)).checkpoint()
-    near = spread.filter(F.col("sites") <= min_sites + margin).select("h1", "h2", "first")
-    exact = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
+    near = spread.filter(F.col("sites") <= min_sites + margin).select("h1", "h2", "first", "n")
+    held = join_hot(lines, near.select("h1", "h2"), ["h1", "h2"], near, ["id", "digest", "pos"])
+    exact = held.select("h1", "h2", "site").distinct()
     exact = exact.groupBy("h1", "h2").count().filter(F.col("count") >= min_sites).select("h1", "h2")
-    sure = spread.filter(F.col("sites") > min_sites + margin).select("h1", "h2", "first")
+    sure = spread.filter(F.col("sites") > min_sites + margin).select("h1", "h2", "first", "n")
     return sure.unionByName(near.join(exact, ["h1", "h2"], "left_semi"))
 
 
@@ -64,8 +66,9 @@ def removed_lines(
     """``(id, digest, removed)``: the positions of the lines that go, for documents that lose some."""
     ensure_checkpoint_dir(df.sparkSession)
     lines = stored(occurrences(df, id_col, text, site, min_words), "lines")
-    common = boilerplate(lines, min_sites)
-    gone = lines.join(common, ["h1", "h2"]).filter(~F.struct("id", "digest", "pos").eqNullSafe(F.col("first")))
+    common = boilerplate(lines, min_sites).checkpoint()
+    found = join_hot(lines, common.drop("n"), ["h1", "h2"], common, ["id", "digest", "pos"])
+    gone = found.filter(~F.struct("id", "digest", "pos").eqNullSafe(F.col("first")))
     return gone.groupBy("id", "digest").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
 
 

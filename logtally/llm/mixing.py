@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtally.llm.common import WORD, join_on, slices, stored
+from logtally.llm.common import WORD, join_hot, join_on, slices, small_batches, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Weights of the sources in code point order, repeating; the share of all words that the mix has.
@@ -48,12 +48,12 @@ def _ranked(df: DataFrame, column: str) -> DataFrame:
 
 
 def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``(source, source_size, target)`` from ``(source, size)`` rows.
+    """``(source, n, source_size, target)`` from ``(source, size)`` rows, ``n`` being their number.
 
     ``share`` of all words is split by weight; a target stops at ``most`` times its source's size and the
     excess is split among the others, by weight, until none is above. Only sums reach the driver.
     """
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     which = F.col("rank") % len(weights)
     weight = F.element_at(F.array(*map(F.lit, weights)), (which + 1).cast("int"))
     table = _ranked(per_source, "source").withColumn("weight", weight.cast("double")).drop("rank").checkpoint()
@@ -69,7 +69,7 @@ def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, weights:
         if new <= level * (1 + 1e-12):
             break
         level = new
-    return table.select("source", "source_size", F.least(F.col("weight") * F.lit(level), cap).alias("target"))
+    return table.select("source", "n", "source_size", F.least(F.col("weight") * F.lit(level), cap).alias("target"))
 
 
 def _streams(sized: DataFrame, documents: int) -> DataFrame:
@@ -177,7 +177,7 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     none = sized.filter("size = 0").select("doc_id", "source", "size", "digest", F.lit(0).cast("long").alias("taken"))
     every = kept.unionByName(none)
     columns = ["doc_id", "digest", "size", "source", "source_size", "target", "taken"]
-    return join_on(every, goals, ["source"]).select(*columns)
+    return join_hot(every, goals.drop("n"), ["source"], goals, ["doc_id", "digest"]).select(*columns)
 
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import join_on, stored
+from logtally.llm.common import join_hot, join_on, stored
 from logtally.operators.once import evaluate_once
 from logtally.session import ensure_checkpoint_dir
 
@@ -103,11 +103,13 @@ def candidates(df: DataFrame, id_col: str, text: str, owner: str, repository: Co
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """``(value, owners, repositories)``: how many distinct ones hold each candidate value."""
+    """``(value, owners, repositories, n)``: the distinct ones that hold each candidate value, and how often it occurs."""
     held = found.select("owner", "repository", F.explode(F.concat("base", "more")).alias("span"))
-    held = held.select(F.col("span.value").alias("value"), "owner", "repository").distinct()
-    counts = held.groupBy("value", "owner").agg(F.count("*").alias("n"))
-    return counts.groupBy("value").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
+    held = held.groupBy(F.col("span.value").alias("value"), "owner", "repository").agg(F.count("*").alias("n"))
+    counts = held.groupBy("value", "owner").agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
+    return counts.groupBy("value").agg(
+        F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("n").alias("n")
+    )
 
 
 def secret_scan(
@@ -128,7 +130,8 @@ def secret_scan(
     spans = spans.withColumn("value", F.col("span.value"))
     few = (F.col("owners") <= LIVE_OWNERS) & (F.col("repositories") <= LIVE_REPOSITORIES)
     standing = F.when(F.col("owners") >= EXAMPLE_OWNERS, "example").when(few, "live").otherwise("unclear")
-    known = spans.join(ownership(found), "value").withColumn("standing", standing)
+    owned = ownership(found).checkpoint()
+    known = join_hot(spans, owned.drop("n"), ["value"], owned, ["id", "row", "span"]).withColumn("standing", standing)
     known = known.filter((F.col("span.kind") < len(KINDS)) | (F.col("standing") == "live"))
     full = F.struct("span.start", "span.kind", "span.end", "value", "owners", "repositories", "standing")
     lists = known.groupBy("id", "row").agg(F.array_sort(F.collect_list(full)).alias("spans"))

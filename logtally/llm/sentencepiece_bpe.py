@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from logtally.llm.common import slices
+from logtally.llm.common import slices, small_batches
 
 SPACE = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import slices, stored
+from logtally.llm.common import join_hot, slices, small_batches, stored
 from logtally.llm.components import connected_components
 
 SHINGLE_WORDS, SEED, MAX_DISTANCE = 3, 42, 3
@@ -250,11 +250,11 @@ def simhash_near_dedup(
     results are minima. An empty table gives an empty result.
     """
     docs = stored(fingerprints(df, id_col, text, words), "fingerprints")
-    distinct = docs.groupBy("fp").agg(F.min(id_col).alias("least")).checkpoint()
-    linked = near_fingerprints(distinct, radius).withColumnRenamed("node", "fp")
-    linked = linked.join(distinct, "fp")
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    distinct = docs.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")).checkpoint()
+    linked = near_fingerprints(distinct, radius).withColumnRenamed("node", "fp").join(distinct, "fp").checkpoint()
+    groups = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")).checkpoint()
+    named = join_hot(linked.select("fp", "root"), groups.drop("n"), ["root"], groups, ["fp"]).select("fp", "component_id")
     classes = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return docs.join(classes, "fp").select(
+    return join_hot(docs, classes, ["fp"], distinct, [id_col]).select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import join_on, slices, stored
+from logtally.llm.common import join_hot, join_on, slices, small_batches, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Bytes that decide on a cut (a power of two), mean distance of cuts beyond the least, least and most bytes.
@@ -117,11 +117,12 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     ensure_checkpoint_dir(df.sparkSession)
     chunks = stored(chunk_table(df, id_col, text), "chunks")
-    more = chunks.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-    shared = chunks.join(more, "digest").withColumn("at", F.struct("id", "row", "seq"))
+    more = chunks.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").checkpoint()
+    place = ["id", "row", "seq"]
+    shared = join_hot(chunks, more.select("digest"), ["digest"], more, place).withColumn("at", F.struct(*place))
     shared = stored(shared, "shared-chunks")
     firsts = shared.groupBy("digest").agg(F.min("at").alias("first"))
-    repeats = shared.join(firsts, "digest").filter(~F.col("at").eqNullSafe(F.col("first")))
+    repeats = join_hot(shared, firsts, ["digest"], more, place).filter(~F.col("at").eqNullSafe(F.col("first")))
     repeats = repeats.select("id", "row", "seq", "start", "end", "words", F.col("first.id").alias("first_id")).dropDuplicates(["id", "row", "seq"])
     # Consecutive chunks share the difference of sequence number and rank within their document.
     rank = F.row_number().over(Window.partitionBy("id", "row").orderBy("seq"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import slices
+from logtally.llm.common import slices, small_batches
 
 #: Labelled rows of each class that the training takes, by expectation; four times that in all is a hard limit.
 ROWS_PER_CLASS = 1500
