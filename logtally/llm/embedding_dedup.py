@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import join_hot, join_on, small_batches, stored
+from logtally.llm.common import join_hot, join_on, map_batches, stored
 from logtally.llm.components import connected_components
 from logtally.llm.simhash import smallest_labels
 from logtally.session import ensure_checkpoint_dir
@@ -94,7 +94,7 @@ def cells_of(distinct: DataFrame, window: float) -> DataFrame:
                 cells[at] = np.floor(unit @ directions(int(dim))[:, :LISTS] / window)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells.tolist(), pa.list_(pa.int32()))], [*schema.names, "cells"])
 
-    return distinct.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", cells array<int>")
+    return map_batches(distinct, run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", cells array<int>")
 
 
 def block_links(table: pa.Table, calibration: Calibration, threshold: float = THRESHOLD) -> pa.Table:

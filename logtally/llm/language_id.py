@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import slices, small_batches
+from logtally.llm.common import map_batches, slices
 
 UNDETERMINED = "und"
 #: Rows of the training sample per language, languages that are told apart, and subwords drawn of a row.
@@ -178,7 +178,7 @@ def training_sample(labelled: DataFrame, id_col: str, text: str, lang: str, per_
                     found.append(bucket[start:end][rng.integers(0, end - start, drawn)].tolist() if end > start else [])
                 yield pa.RecordBatch.from_arrays([part.column(lang), pa.array(found, pa.list_(pa.int32()))], [lang, "buckets"])
 
-    return chosen.select(lang, text).mapInArrow(run, f"`{lang}` string, buckets array<int>").filter(F.size("buckets") > 0)
+    return map_batches(chosen.select(lang, text), run, f"`{lang}` string, buckets array<int>").filter(F.size("buckets") > 0)
 
 
 def train(
@@ -220,4 +220,4 @@ def identify(
                 columns = [pa.array(found, pa.string()), pa.array(best), pa.array(sure)]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], [*names, *own])
 
-    return df.mapInArrow(run, T.StructType([*keep, *fields]))
+    return map_batches(df, run, T.StructType([*keep, *fields]))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtally.llm.common import WORD, join_hot, join_on, slices, small_batches, stored
+from logtally.llm.common import WORD, join_hot, join_on, map_batches, slices, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Weights of the sources in code point order, repeating; the share of all words that the mix has.
@@ -217,7 +217,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
                 if len(at):
                     yield _cut(rows.take(pa.array(at)), (taken % sizes)[at].tolist(), text, chars)
 
-    return once.unionByName(more).mapInArrow(repeat, schema)
+    return map_batches(once.unionByName(more), repeat, schema)
 
 
 def _cut(rows: pa.RecordBatch, counts: list[int], text: str, chars: str | None) -> pa.RecordBatch:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from logtally.llm.common import slices, small_batches
+from logtally.llm.common import map_batches, slices
 
 SPACE = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
@@ -367,7 +367,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, ids])
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -388,4 +388,4 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decode
                 texts = [pieces.decode(flat[a:b]) if ok else "" for a, b, ok in zip(ends, ends[1:], valid, strict=False)]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], [*names, text])
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import join_hot, slices, small_batches, stored
+from logtally.llm.common import join_hot, map_batches, slices, stored
 from logtally.llm.components import connected_components
 
 SHINGLE_WORDS, SEED, MAX_DISTANCE = 3, 42, 3
@@ -72,7 +72,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text", word
                 found = np.array([fingerprint(t, words) for t in part.column(text).to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column(id_col), pa.array(found.view(np.int64))], [id_col, "fp"])
 
-    return df.mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
+    return map_batches(df, run, f"`{id_col}` {kind}, fp bigint")
 
 
 def distances(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -231,7 +231,7 @@ def near_fingerprints(distinct: DataFrame, radius: int = MAX_DISTANCE, shard_row
         a, b = shard_links(table.column("fp").to_numpy().view(np.uint64), radius)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    dealt = distinct.select("fp").mapInArrow(deal, "shard int, fp bigint")
+    dealt = map_batches(distinct.select("fp"), deal, "shard int, fp bigint")
     return connected_components(dealt.groupBy("shard").applyInArrow(link, "a bigint, b bigint"))
 
 

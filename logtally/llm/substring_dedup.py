@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import join_hot, join_on, slices, small_batches, stored
+from logtally.llm.common import join_hot, join_on, map_batches, slices, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Bytes that decide on a cut (a power of two), mean distance of cuts beyond the least, least and most bytes.
@@ -104,7 +104,7 @@ def chunk_table(df: DataFrame, id_col: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["id", "row", "seq", "start", "end", "words", "digest"])
 
     schema = f"id {kind}, row bigint, seq int, start int, end int, words int, digest bigint"
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -155,4 +155,4 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", m
             columns = [pa.array(texts, pa.string()) if n == text else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return found.mapInArrow(cut, schema)
+    return map_batches(found, cut, schema)

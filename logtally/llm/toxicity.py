@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import slices, small_batches
+from logtally.llm.common import map_batches, slices
 
 #: Labelled rows of each class that the training takes, by expectation; four times that in all is a hard limit.
 ROWS_PER_CLASS = 1500
@@ -217,7 +217,7 @@ def training_sample(
 
     # The sample's bound is a parameter: 4 * per_class rows of 12 bytes.
     found = docs.select(id_col, text).join(F.broadcast(chosen), id_col)
-    return found.select(text, "label").mapInArrow(run, "label int, kind int, features array<int>")
+    return map_batches(found.select(text, "label"), run, "label int, kind int, features array<int>")
 
 
 def train(
@@ -251,4 +251,4 @@ def classify(df: DataFrame, model: ToxicityModel, text: str = "text", score: str
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], [*names, score, predicted])
 
     fields = [T.StructField(score, T.DoubleType()), T.StructField(predicted, T.IntegerType())]
-    return df.mapInArrow(run, T.StructType([*keep, *fields]))
+    return map_batches(df, run, T.StructType([*keep, *fields]))
