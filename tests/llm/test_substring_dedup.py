@@ -115,3 +115,36 @@ def test_the_query(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     found = [tuple(r) for r in queries.op2_substring_dedup(spark, folder).collect()]
     assert sorted(found, key=str) == slow_passages(rows, substring_dedup.MIN_WORDS)
+
+
+def test_no_shared_passage_of_51_words_is_missed_for_its_cuts(spark):
+    rng = random.Random(7)
+    passages = [prose(rng, 51) for _ in range(120)]
+    rows = [(2 * k + n, f"{prose(rng, 70)} {p} {prose(rng, 60)}") for k, p in enumerate(passages) for n in (0, 1)]
+    texts = dict(rows)
+    # A passage with a whole chunk of its own in both documents can be found; nearly all have one.
+    ends = {i: set(cuts(np.frombuffer(t.encode(), np.uint8))) for i, t in rows}
+    inside = {}
+    for i, t in rows:
+        at = t.encode().index(passages[i // 2].encode())
+        inside[i] = {e - at for e in ends[i] if 0 <= e - at <= len(passages[i // 2].encode())}
+    usable = {2 * k + 1 for k in range(len(passages)) if len(inside[2 * k] & inside[2 * k + 1]) > 1}
+    assert len(usable) >= 0.95 * len(passages)
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"] for r in found} >= usable
+    assert {r["doc_id"] % 2 for r in found} == {1}
+    assert len(slow_passages(rows, substring_dedup.MIN_WORDS)) < len(usable)
+    for r in found:
+        piece = texts[r["doc_id"]].encode()[r["start"] : r["end"]]
+        assert piece in texts[r["doc_id"] - 1].encode()
+        assert len(piece.split()) - 1 <= r["n_words"] <= len(piece.split())
+
+
+def test_overlapping_passages_are_cut_once(spark, monkeypatch):
+    spans = [(1, 0, 0, 10, 9, 0), (1, 0, 2, 5, 9, 0)]
+    schema = "doc_id bigint, row bigint, start int, end int, n_words bigint, first_id bigint"
+    df = spark.createDataFrame([(1, "0123456789abc")], "doc_id bigint, text string")
+    row = df.selectExpr("xxhash64(text) AS h").first()["h"]
+    made = spark.createDataFrame([(d, row, *rest) for d, _, *rest in spans], schema)
+    monkeypatch.setattr(substring_dedup, "repeated_passages", lambda *_: made)
+    assert [r["text"] for r in substring_dedup.substring_dedup(df).collect()] == ["abc"]
