@@ -34,10 +34,17 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one of smallest id (rows of equal id: one of them)."""
-    groups = simhash.simhash_near_dedup(docs)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return join_on(docs, first, ["doc_id"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group of near copies stays: the one of smallest id, null last, and of these the one of smallest digest.
+
+    Ids may be null or repeated, so a row is known by its id and a digest of its other columns.
+    """
+    others = [F.col(c) for c in docs.columns if c != "doc_id"]
+    keyed = docs.withColumn("_digest", F.xxhash64(*others, *(c.isNull() for c in others)))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_digest")
+    groups = simhash.simhash_near_dedup(keyed.select(row.alias("_row"), "text"), "_row")
+    key = ["doc_id", "_digest"]
+    first = groups.filter(F.col("_row") == F.col("component_id")).select(*(F.col(f"_row.{c}").alias(c) for c in key)).distinct()
+    return join_on(keyed, first, key, "left_semi").dropDuplicates(key).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

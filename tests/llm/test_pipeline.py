@@ -128,3 +128,15 @@ def test_odd_rows_pass_through_every_stage(spark, tmp_path):
     out = corpus_pipeline.run(spark, f"{folder}/odd").collect()
     assert {r["doc_id"] for r in out} >= {3, 5}
     assert corpus_pipeline.run(spark, f"{folder}/none").count() == 0
+
+
+def test_each_group_of_null_or_repeated_ids_keeps_one_row(spark):
+    text = lambda k: " ".join(f"w{k}x{n}" for n in range(200))
+    rows = [(None, text(k), "en", "a", 1) for k in range(20)] + [(7, text(100 + k), "en", "b", 2) for k in range(20)]
+    rows += [(8, text(200), "en", "a", 3), (None, text(200), "en", "a", 3), (9, text(200), "de", "a", 3)]  # near copies: the least id stays
+    rows += [(5, text(300), None, "a", 4), (5, text(300), "a", None, 4), (5, text(300), "a", None, 4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [rows_of(corpus_pipeline.drop_near_copies(spark, df.repartition(n), "")) for n in (1, 3)]
+    assert sorted(map(str, kept[0])) == sorted(map(str, kept[1]))
+    assert sorted(t for _, t, *_ in kept[0]) == sorted({t for _, t, *_ in rows})
+    assert [i for i, t, *_ in kept[0] if t == text(200)] == [8]
