@@ -8,8 +8,8 @@ count is calibrated: the largest at which a stated share of made pairs of exactl
 
 ``LISTS`` of the projections are kept as sorted lists, cut into cells of one window's width. A pair is met
 in the cell of its lower member on the first list where it collides, where the other member is present
-as a neighbour. Cells that hold many vectors are dealt out as pairs of blocks, so a task has a bounded
-number of vectors whatever a cell holds, and returns link counts and stars, never pairs.
+as a neighbour. Cells that hold many vectors are dealt out in blocks, neighbours from the cell above in blocks
+of their own cell, so a task has about three blocks at most whatever a cell or the next holds, and returns link counts and stars, never pairs.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ THRESHOLD = 0.98
 DIRECTIONS, LISTS, WIDTH = 16, 3, 2.5
 #: Share of pairs at the threshold that the collision count must pass in the calibration, and its pairs.
 RECALL, TRIALS = 0.9999, 100_000
-#: Distinct vectors of a block; a task holds two blocks.
+#: Distinct vectors of a block; a task holds a block at home and two of neighbours.
 BLOCK = 8192
 _STEP = 256
 
@@ -97,6 +97,34 @@ def cells_of(distinct: DataFrame, window: float) -> DataFrame:
     return map_batches(distinct, run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", cells array<int>")
 
 
+_CELL = ["label", "dim", "list", "cell"]
+
+
+def dealt_blocks(placed: DataFrame, block: int) -> DataFrame:
+    """The rows of each task, by cell, ``home_part`` and ``other_part``: a block at home, one of its cell and one of the cell above.
+
+    Each vector is at home in its cell and a neighbour in its own and the cell below, which may be empty. It is
+    dealt out by the parts of its own cell everywhere, so what a task holds does not hang on the next cell's size.
+    """
+    parts = placed.groupBy(*_CELL).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    above = parts.withColumn("cell", F.col("cell") - 1).withColumnRenamed("parts", "above")
+    others = F.greatest("parts", F.coalesce("above", F.lit(0)))
+    parts = join_on(parts, above, _CELL, "left").select(*_CELL, "parts", others.alias("others"))
+    here = join_on(placed, parts, _CELL).withColumn("mine", F.pmod(F.xxhash64("node", F.lit("block")), F.col("parts")).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    at_home = here.withColumn("home_part", F.col("mine")).withColumn("other_part", every("others"))
+    as_other = here.withColumn("other_part", F.col("mine")).withColumn("home_part", every("parts"))
+    below = here.withColumn("cell", F.col("cell") - 1).withColumn("other_part", F.col("mine")).drop("parts", "others")
+    below = join_on(below, parts, _CELL).withColumn("home_part", every("parts"))
+    columns = [*_CELL, "home_part", "other_part", "node", "copies", "vector"]
+    true, false = F.lit(True), F.lit(False)
+    return (
+        at_home.select(*columns, true.alias("home"), false.alias("other"))
+        .unionByName(as_other.select(*columns, false.alias("home"), true.alias("other")))
+        .unionByName(below.select(*columns, false.alias("home"), true.alias("other")))
+    )
+
+
 def block_links(table: pa.Table, calibration: Calibration, threshold: float = THRESHOLD) -> pa.Table:
     """The links between the home and the other vectors of one pair of blocks.
 
@@ -179,28 +207,12 @@ def embedding_near_dedup(
     placed = cells_of(distinct.select("label", "dim", "node", "copies", "vector"), limits.window)
     placed = placed.select("label", "dim", "node", "copies", "vector", F.posexplode("cells").alias("list", "cell"))
     placed = stored(placed, "placed-vectors")
-    cell = ["label", "dim", "list", "cell"]
-    parts = placed.groupBy(*cell).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    # Each vector is at home in its cell and a neighbour in its own and the cell below, which may be empty.
-    here = join_on(placed, parts, cell)
-    mine = F.pmod(F.xxhash64("node", F.lit("block")), F.col("parts")).cast("int")
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    at_home = here.withColumn("home_part", mine).withColumn("other_part", F.explode(every))
-    as_other = here.withColumn("other_part", mine).withColumn("home_part", F.explode(every))
-    below = join_on(placed.withColumn("cell", F.col("cell") - 1), parts, cell).withColumn("other_part", F.pmod(F.xxhash64("node", F.lit("block")), F.col("parts")).cast("int"))
-    below = below.withColumn("home_part", F.explode(every))
-    columns = [*cell, "home_part", "other_part", "node", "copies", "vector"]
-    true, false = F.lit(True), F.lit(False)
-    dealt = (
-        at_home.select(*columns, true.alias("home"), false.alias("other"))
-        .unionByName(as_other.select(*columns, false.alias("home"), true.alias("other")))
-        .unionByName(below.select(*columns, false.alias("home"), true.alias("other")))
-    )
+    dealt = dealt_blocks(placed, block)
 
     def link(table: pa.Table) -> pa.Table:
         return block_links(table, limits, threshold)
 
-    found = dealt.groupBy(*cell, "home_part", "other_part").applyInArrow(link, "a bigint, b bigint, n bigint")
+    found = dealt.groupBy(*_CELL, "home_part", "other_part").applyInArrow(link, "a bigint, b bigint, n bigint")
     found = stored(found, "links")
     counts = found.filter("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = connected_components(found.filter("n = 0").select("a", "b"))

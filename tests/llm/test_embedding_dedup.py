@@ -91,3 +91,22 @@ def test_the_query(spark, folder):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     found = sorted(map(tuple, queries.op8_embedding_near_dedup(spark, folder).collect()), key=str)
     assert found == slow(rows)
+
+
+def test_a_large_cell_above_a_small_one_is_dealt_out(spark):
+    sizes, block = {0: 3, 1: 2000, 2: 40, 5: 1}, 100
+    rows = [(0, 2, 0, cell, 10_000 * cell + k, 1, [1.0, 0.0]) for cell, n in sizes.items() for k in range(n)]
+    placed = spark.createDataFrame(rows, "label int, dim int, list int, cell int, node bigint, copies bigint, vector array<double>")
+    tasks, met = {}, {}
+    for r in embedding_dedup.dealt_blocks(placed, block).collect():
+        homes, others = tasks.setdefault((r["cell"], r["home_part"], r["other_part"]), ([], []))
+        (homes if r["home"] else others).append(r["node"])
+    assert max(max(len(homes), len(others)) for homes, others in tasks.values()) <= 3 * block
+    for homes, others in tasks.values():
+        for a in homes:
+            if a < 10_000 or a >= 20_000:
+                for b in others:
+                    met[a, b] = met.get((a, b), 0) + 1
+    small = [k for k, n in sizes.items() if n < 100 for k in range(10_000 * k, 10_000 * k + n)]
+    every = [node for *_, node, _, _ in rows]
+    assert met == {(a, b): 1 for a in small for b in every if b // 10_000 - a // 10_000 in (0, 1)}
