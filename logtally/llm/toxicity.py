@@ -9,6 +9,7 @@ as toxic because the labelled rows happen to mention that group in toxic sentenc
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -29,8 +30,10 @@ LEAST_ROWS = 4
 BUCKETS = 1 << 20
 #: Lengths of the word beginnings that are features beside the whole word.
 PREFIXES = (4, 5, 6)
-#: Swaps taken from one labelled row at most: those of its first terms, in the order of the list below.
+#: Swaps taken from one labelled row at most: of more, those of smallest hash over the whole text.
 SWAPS_PER_ROW = 64
+#: Swaps held while a text is read, in multiples of those that are taken.
+_HELD_SWAPS = 8
 _CACHE_WORDS = 300_000
 
 # Identity terms that may stand for one another; the last of a group is its neutral word.
@@ -67,19 +70,25 @@ def feature_set(found: Iterable[str]) -> set[int]:
     return {f for word in found for f in features(word)}
 
 
+def _by_hash(item: tuple[tuple[frozenset[int], frozenset[int]], int]) -> tuple[int, list[int], list[int]]:
+    (come, go), digest = item
+    return digest, sorted(come), sorted(go)
+
+
 def swaps(text: str | None, limit: int = SWAPS_PER_ROW) -> list[tuple[frozenset[int], frozenset[int]]]:
     """For each sentence with an identity term, and each swap of it: the features that come and that go."""
-    out: dict[tuple[frozenset[int], frozenset[int]], None] = {}
+    out: dict[tuple[frozenset[int], frozenset[int]], int] = {}
     for sentence in _SENTENCE.findall((text or "").lower()):
         found = set(_WORD.findall(sentence))
         for term in sorted(found & SWAPS.keys()):
             before, rest = feature_set(found), found - {term}
             for other in SWAPS[term]:
                 after = feature_set(rest | {other})
-                out.setdefault((frozenset(after - before), frozenset(before - after)))
-                if len(out) == limit:
-                    return list(out)
-    return list(out)
+                come, go = after - before, before - after
+                out.setdefault((frozenset(come), frozenset(go)), zlib.crc32(repr((sorted(come), sorted(go))).encode()))
+        if len(out) > _HELD_SWAPS * limit:
+            out = dict(heapq.nsmallest(limit, out.items(), key=_by_hash))
+    return [swap for swap, _ in heapq.nsmallest(limit, out.items(), key=_by_hash)] if len(out) > limit else list(out)
 
 
 def _csr(rows: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +203,8 @@ def training_sample(
     """``(label, kind, features)``: the sampled rows (kind 0) and the swaps of their sentences (kind 1).
 
     About ``per_class`` labels of each class are chosen by a hash of the id, at most four times that in
-    all; only those are joined to their texts. An id with several labels counts as toxic if one says so.
+    all; only those are joined to their texts. An id with several labels counts as toxic if one says so;
+    of several rows of an id, the one of smallest text hash is taken.
     A swap has the features that it adds and, as ``-1 - feature``, those that it removes.
     """
     labels = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label).alias(label))
@@ -217,6 +227,7 @@ def training_sample(
 
     # The sample's bound is a parameter: 4 * per_class rows of 12 bytes.
     found = docs.select(id_col, text).join(F.broadcast(chosen), id_col)
+    found = found.groupBy(id_col, "label").agg(F.min_by(text, F.xxhash64(text)).alias(text))
     return map_batches(found.select(text, "label"), run, "label int, kind int, features array<int>")
 
 

@@ -110,3 +110,20 @@ def test_the_query_on_held_out_rows(spark):
     clean = [r["predicted"] for r in held if labels[r["doc_id"]] == 0]
     # 350 toxic rows to learn from, some of them without any insult.
     assert np.mean(toxic) > 0.88 and np.mean(clean) < 0.02
+
+
+def test_a_repeated_id_gives_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text number {k % 9}") for k in range(300)] + [(2, "another text")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    sample = [toxicity.training_sample(docs.repartition(n), labels, per_class=2).filter("kind = 0").collect() for n in (1, 4)]
+    assert sorted(r["label"] for r in sample[0]) == [0, 1]
+    assert sorted(map(str, sample[0])) == sorted(map(str, sample[1]))
+
+
+def test_swaps_of_a_long_text_are_of_all_its_sentences():
+    early, late = (" ".join(f"A {term} came." for k in groups for term in toxicity.IDENTITY_GROUPS[k]) for groups in ((0, 1), (6, 7)))
+    for limit in (10, 30):
+        found = swaps(f"{early} {late}", limit)
+        assert len(found) == limit and set(found) <= set(swaps(f"{early} {late}", 10_000))
+        assert set(found) - set(swaps(early, 10_000)) and set(found) - set(swaps(late, 10_000))
+        assert set(swaps(f"{late} {early}", limit)) == set(found)
