@@ -116,9 +116,70 @@ SELECT vec_id, (SELECT count(*) FROM links l WHERE l.x = vec_id) AS n_links, com
 FROM embeddings JOIN smallest ON vec_id = x
 """
 
+
+
+def _clusters(rounds: int = 5) -> str:
+    """The rounds one after another: nearest centroids, then floored means; ``//`` cuts towards 0, so the sign is minded."""
+    near = """
+a{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(v) AS v, min((list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), n)) AS best
+  FROM kept CROSS JOIN c{k} GROUP BY vec_id)"""
+    move = """
+s{k} AS (SELECT best[2] AS n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{k}),
+m{k} AS (SELECT n, list(m ORDER BY i) AS c FROM (SELECT n, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM s{k} GROUP BY n, i) GROUP BY n),
+c{next} AS MATERIALIZED (SELECT c{k}.n, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} ON c{k}.n = m{k}.n)"""
+    steps = ",".join(near.format(k=k) + "," + move.format(k=k, next=k + 1) for k in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS n, v AS c
+  FROM (SELECT v, sha256('2:' || vec_id) AS h FROM kept ORDER BY h LIMIT 40)),{steps},{near.format(k=rounds)}
+SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, CAST(best[1] AS BIGINT) AS distance,
+  CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia, CAST(sum(best[1]) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best[2] = n
+"""
+
+
+_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+occurring AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS whole FROM occurring GROUP BY lang, term HAVING count(DISTINCT d) >= 3),
+sizes AS (SELECT lang, count(*) AS v, sum(whole) AS n FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM occurring JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source),
+groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(t.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN sizes s ON s.lang = g.lang LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, CAST(1 + 1000000000 * (coalesce(c, 0) + 1) // (g.n + g.v) AS BIGINT) AS p,
+    CAST(1 + 1000000000 * (k.whole + 1) // (s.n + s.v) AS BIGINT) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM grid WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES: dict[str, str] = {
     "op6_line_dedup": _LINES,
     "op7_secret_scan": _SECRETS,
     "op8_embedding_near_dedup": _EMBEDDINGS,
     "op9_quality_rules": _QUALITY,
+    "op12_centroid_clustering": _clusters(),
+    "op13_source_divergence": _DIVERGENCE,
 }

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.llm import (
+    centroids,
+    divergence,
     embedding_dedup,
     language_id,
     line_dedup,
     mixing,
+    packing,
     quality,
     secret_scan,
     sentencepiece_bpe,
@@ -105,6 +108,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    pieces = packing.pack(table(spark, sf_dir).select("doc_id", "text"), path, pattern)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.centroid_clustering(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", centroids.written(F.col("centroid"))).drop("centroid")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergences(table(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_language_id,
@@ -117,5 +137,8 @@ def queries() -> dict[str, Query]:
         op8_embedding_near_dedup,
         op9_quality_rules,
         op10_sentencepiece,
+        op11_packing,
+        op12_centroid_clustering,
+        op13_source_divergence,
     )
     return {f.__name__: f for f in every}

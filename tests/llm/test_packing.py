@@ -1,0 +1,162 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from logtally.llm import packing
+from logtally.llm.packing import Encoder, Index, fill, leading_tokens, pack, powers
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+SCHEMA = "doc_id bigint, text string, start string, ids int, sequence_id string, row string"
+
+
+@pytest.fixture(scope="module")
+def exact():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(PATH, encoding="utf-8") as file:
+        return Encoder(file.read(), PATTERN)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t\r'sé1日\u0085 "))))
+def test_ids_are_those_of_the_library(encoder, exact, text):
+    assert encoder(text).tolist() == [*exact.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_ids_of_special_tokens_long_runs_and_long_texts(encoder, exact, monkeypatch):
+    for text in ("a<|endoftext|> b", "x" + " " * 300_000 + "y", "\n" * 70_000, "word, and 12 more " * 3000):
+        assert encoder(text).tolist() == [*exact.encode(text, add_special_tokens=False).ids, 0]
+    monkeypatch.setattr(packing, "_PIECE", 50)
+    rng = random.Random(1)
+    for _ in range(50):
+        text = "".join(rng.choice(["a", "B c", " ", "  ", "\n ", "é", "'s", " 　", "12", "!", "\x1c "]) for _ in range(400))
+        assert encoder(text).tolist() == [*exact.encode(text, add_special_tokens=False).ids, 0]
+    assert encoder(None).tolist() == encoder("").tolist() == [0]
+
+
+def scores(texts, idf, average, document, terms):
+    """BM25 of every document against the heaviest terms of one, in plain Python."""
+
+    def weight(t, text):
+        tf = text.count(t)
+        return idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(text) / average))
+
+    own = sorted(set(texts[document]), key=lambda t: (-weight(t, texts[document]), t))[:terms]
+    return [math.fsum(weight(t, text) for t in own if t in text) for text in texts]
+
+
+@pytest.mark.parametrize("terms", [3, 100])
+def test_neighbours_are_those_of_plain_bm25(terms):
+    rng = random.Random(terms)
+    texts = [[rng.randrange(1, 40) for _ in range(rng.randrange(0, 30))] for _ in range(60)]
+    idf = np.array([rng.random() + 0.1 for _ in range(40)])
+    index = Index([np.array([*t, 0], np.uint16) for t in texts], idf, 14.0)
+    used = np.array([rng.random() < 0.3 for _ in texts])
+    for document in range(60):
+        score = [0.0 if u else s for u, s in zip(used, scores(texts, idf, 14.0, document, terms), strict=True)]
+        found = index.neighbours(document, used, 8, terms)
+        assert not used[found].any()
+        got, best = [score[d] for d in found], sorted((s for s in score if s > 0), reverse=True)[:8]
+        assert got == pytest.approx(best)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_every_token_is_packed_once(seed):
+    rng = random.Random(seed)
+    texts = [np.array([*(rng.randrange(1, 50) for _ in range(rng.choice((0, 1, 5, 30, 62)))), 0], np.uint16) for _ in range(rng.randrange(1, 80))]
+    pieces = fill([len(t) for t in texts], Index(texts, np.ones(50), 20.0), 64)
+    check_sequences([(s, o, n) for _, _, n, s, o in pieces], 64)
+    for document, text in enumerate(texts):
+        own = sorted((b, n) for d, b, n, *_ in pieces if d == document)
+        assert [b for b, _ in own] == np.cumsum([0, *(n for _, n in own)])[:-1].tolist()
+        assert sum(n for _, n in own) == len(text)
+
+
+def check_sequences(pieces, window):
+    """Gapless from 0, and as long as the window or a power of two."""
+    sequences = {}
+    for sequence, offset, length in sorted(pieces):
+        assert offset == sequences.get(sequence, 0) and length > 0
+        sequences[sequence] = offset + length
+    assert all(n == window or (n < window and n & (n - 1) == 0) for n in sequences.values())
+    return sequences
+
+
+def test_powers():
+    assert powers(1023) == [512, 256, 128, 64, 32, 16, 8, 4, 2, 1] and powers(0) == [] and powers(64) == [64]
+
+
+def test_near_documents_share_a_window():
+    rng = np.random.default_rng(2)
+    topics = [np.r_[rng.integers(1 + 40 * t, 41 + 40 * t, 15), 0].astype(np.uint16) for t in range(20) for _ in range(4)]
+    order = rng.permutation(len(topics))
+    texts = [topics[i] for i in order]
+    pieces = fill([16] * len(texts), Index(texts, np.ones(900), 15.0), 64)
+    topic = {d: order[d] // 4 for d, *_ in pieces}
+    windows = {}
+    for d, *_, s, _ in pieces:
+        windows.setdefault(s, set()).add(topic[d])
+    assert all(len(w) == 1 for w in windows.values())
+
+
+def test_leading_tokens():
+    texts = [np.array(t, np.uint16) for t in ([5, 5, 6, 7, 0], [0], [9, 6, 0], [7, 7, 7, 6, 6, 5, 0])]
+    common = np.ones(10, bool)
+    common[9] = False
+    assert leading_tokens(texts, np.ones(10), common).tolist() == [[5, 6], [-1, -1], [6, -1], [7, 6]]
+
+
+def check(spark, rows, exact, **limits):
+    df = spark.createDataFrame([(*r, "clash", 1, "clash", "clash") for r in rows], SCHEMA).repartition(3)
+    out = pack(df, PATH, PATTERN, **limits).withColumn("crc", F.crc32("ids")).collect()
+    window = limits.get("window", 1024)
+    check_sequences([(r["sequence_id"], r["offset"], r["length"]) for r in out], window)
+    ids, expected = {}, {}
+    for r in sorted(out, key=lambda r: r["start"]):
+        own = np.frombuffer(r["ids"], "<u4")
+        assert len(own) == r["length"] and zlib.crc32(own.tobytes()) == r["crc"]
+        ids.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], own.tolist()))
+    for doc_id, text in rows:
+        whole = [*exact.encode(text or "", add_special_tokens=False).ids, 0]
+        expected.setdefault((doc_id, len(whole)), []).append(whole)
+    assert ids.keys() == expected.keys()
+    for key, wholes in expected.items():
+        # Of rows with one id and length, the ids at each place agree as multisets.
+        places = lambda texts: sorted((at + k, t) for at, part in texts for k, t in enumerate(part))
+        assert places(ids[key]) == places([(0, w) for w in wholes])
+    return out
+
+
+def test_documents_come_out_whole(spark, exact):
+    rng = random.Random(4)
+    words = [f"word{k}" for k in range(300)]
+    rows = [(k, " ".join(rng.choices(words[k % 7 * 40 :][:60], k=rng.choice((3, 40, 200, 900, 5000))))) for k in range(120)]
+    out = check(spark, rows, exact, shard_docs=16, task_docs=50)
+    full = sum(r["length"] for r in out if r["doc_tokens"] >= 1024)
+    assert full > 0
+
+
+def test_odd_rows(spark, exact):
+    text = "the same text again and again " * 20
+    rows = [(1, None), (2, ""), (2, ""), (None, None), (None, "no id here"), (3, "x" * 100_000), (4, " " * 70_000), (5, "<|endoftext|>")]
+    rows += [(10, text)] * 50 + [(None, text)] * 50
+    check(spark, rows, exact, shard_docs=8, task_docs=20)
+    check(spark, rows[:20], exact, window=64)
+
+
+def test_empty_table(spark):
+    out = pack(spark.createDataFrame([], SCHEMA), PATH, PATTERN)
+    assert out.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"] and out.count() == 0
