@@ -213,8 +213,21 @@ def monitor_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.metrics()
 
 
+def monitor_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last report of a monitor that reads a backlog of files in a dozen micro-batches and more."""
+    pattern, options = _tail_files(spark, sf_dir), lt.Options(keywords=KEYWORDS)
+    backlog = sum(lt.finished_positions(pattern).values())
+    lines = lt.tail_logs(spark, pattern, "beginning", maxBytesPerBatch=str(backlog // 12 + 1))
+    live = lt.follow(_with_name(lines), shared_folder(spark, "monitor"), options, poll_ms=0)
+    live.process_available()
+    return live.stop()
+
+
 def tail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines, appended bit by bit to a file that is renamed, hidden and cut short, with a restart in between."""
+    """All lines, appended bit by bit to a file that is renamed, hidden, cut short and made anew, with a restart in between.
+
+    Another file of the folder may have the inode that the removed one had; it is none of the pattern's.
+    """
     parts = sorted(lt.finished_positions(_tail_files(spark, sf_dir)))
     folder = tempfile.mkdtemp(prefix="tail-")
     path, away, state = f"{folder}/app.log", f"{folder}/away", shared_folder(spark, "state")
@@ -255,9 +268,16 @@ def tail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         append(6)
         query.processAllAvailable()
         os.truncate(path, 0)  # cut short, and longer than before soon after
-        for step in (7, 8, 9):
+        for step in (7, 8):
             append(step)
         query.processAllAvailable()
+        os.remove(path)
+        append(0, f"{folder}/unrelated.txt")
+        query.processAllAvailable()
+        append(1, f"{folder}/unrelated.txt")
+        query.processAllAvailable()
+        append(9)
+        query.processAllAvailable()
         query.stop()
     finally:
         shutil.rmtree(folder, ignore_errors=True)
@@ -329,6 +349,7 @@ def queries() -> dict[str, Query]:
         "stream_after_batch_overview": stream_after_batch_overview,
         "tail_metrics": tail_metrics,
         "tail_events": tail_events,
+        "monitor_report": monitor_report,
         "monitor_metrics": monitor_metrics,
         "named_files": named_files,
         "written_report": written_report,

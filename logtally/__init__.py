@@ -24,7 +24,7 @@ from logtally.operators.select import (
 )
 from logtally.plans.analysis import Analysis, Options, analyze, analyze_lines, analyze_until_now
 from logtally.plans.metrics import add_up, all_metrics, metrics_of, overview_of, summarize
-from logtally.plans.monitor import Monitor, follow, monitor
+from logtally.plans.monitor import Monitor, follow, hand_over, monitor
 from logtally.plans.report import print_report, report_lines, write_report
 from logtally.sources.events import log_lines_from_events
 from logtally.sources.files import scan_logs, scan_numbered_logs, stream_logs, vanished, write_logs
@@ -34,6 +34,7 @@ from logtally.streaming.live import (
     TIME_RANGE_SCHEMA,
     alerts,
     latest,
+    print_alerts,
     read_alerts,
     running_metrics,
     running_time_range,

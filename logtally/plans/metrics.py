@@ -1,10 +1,10 @@
 """All metrics of a set of entries at once.
 
-A batch makes one pass: lines are first counted per level, file, hour and exception name, with
-one counter per rule and keyword, and only these few groups are taken apart into metrics. A
-stream cannot aggregate twice, so there every line is taken apart by itself. Both give the same
-``metric, key, count`` rows, with ``metric`` one of total, processed, malformed, level, pattern,
-keyword, hour, file.
+A batch makes one pass and one exchange: every line gives one row for each thing it counts for, as
+grouping sets do, and these are added up by metric and key in each task before anything moves. So
+a task has as many groups as there are files, hours and names, not their product. A stream takes
+lines apart in the same way, without the time range. Both give the same ``metric, key, count`` rows, with
+``metric`` one of total, processed, malformed, level, pattern, keyword, hour, file.
 """
 
 from __future__ import annotations
@@ -29,6 +29,16 @@ from logtally.functions.text import contains_ignore_case
 from logtally.functions.timestamps import hour_label, hour_number
 
 TOTALS = ("total", "processed", "malformed")
+COUNTED_COLUMNS = ("level", "source_file", "ts", "message", "raw", "malformed")
+SUMMARY_SCHEMA = "metric string, key string, count bigint, earliest timestamp_ntz, latest timestamp_ntz"
+
+
+def _marked(entries: DataFrame) -> DataFrame:
+    """The columns that are counted by, and a row of weight 0 for each level, so that what must be there is."""
+    own = entries.select(*COUNTED_COLUMNS, F.lit(1).alias("_weight"))
+    none = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("source_file", "ts", "message", "raw")]
+    levels = literal_rows(entries.sparkSession, "level", [(level,) for level in LEVELS])
+    return own.union(levels.select("level", *none, F.lit(True), F.lit(0)))
 
 
 def summarize(
@@ -36,55 +46,30 @@ def summarize(
     rules: Sequence[Rule] = ERROR_RULES,
     keywords: Sequence[str] = DEFAULT_KEYWORDS,
 ) -> DataFrame:
-    """Counters per level, file, hour and exception name.
+    """``metric, key, count, earliest, latest``: additive counts, the time range in the row of the total.
 
-    The groups are few against the lines, so the partial aggregate in front of the shuffle leaves
-    little to move even if one file or hour holds most of the input.
+    There is a row for each level and total even if nothing was counted; ``processed`` is that of the total.
     """
-    message, lower, ts = F.col("message"), F.col("_lower"), F.col("ts")
-    entries = entries.withColumn("_lower", F.lower("raw"))
+    message, lower, hour = F.col("message"), F.col("_lower"), F.col("key").cast("bigint")
+    rows = _marked(entries).withColumn("_lower", F.lower("raw"))
     is_error = is_error_level(F.col("level"))
-    counters = [
-        F.count_if(is_error & rule_matches(message, regex)).alias(f"rule_{i}") for i, (_, regex) in enumerate(rules)
-    ] + [F.count_if(contains_ignore_case(lower, kw)).alias(f"keyword_{i}") for i, kw in enumerate(keywords)]
-    groups = entries.groupBy(
-        "level",
-        "source_file",
-        hour_number(ts).alias("_hour"),
-        F.when(is_error, exception_name(message)).alias("exception"),
-    )
-    summary = groups.agg(
-        F.count("*").alias("lines"),
-        F.count_if("malformed").alias("malformed"),
-        F.min("ts").alias("earliest"),
-        F.max("ts").alias("latest"),
-        *counters,
-    )
-    return summary.withColumn("hour", hour_label(F.col("_hour"))).drop("_hour")
-
-
-# Metrics with one key per group of a summary.
-_GROUP_METRICS = """array(
-  struct('total' AS metric, '' AS key, lines AS count),
-  struct('processed' AS metric, '' AS key, lines AS count),
-  struct('malformed' AS metric, '' AS key, malformed AS count),
-  struct('level' AS metric, level AS key, lines AS count),
-  struct('file' AS metric, source_file AS key, lines AS count),
-  struct('hour' AS metric, hour AS key, lines AS count),
-  struct('pattern' AS metric, exception AS key, lines AS count))"""
-
-
-def _counter_metrics(metric: str, names: Sequence[str], counters: str) -> list[Column]:
-    """The counters of a summary that belong to a list of names, as an array of metrics."""
-    if not names:
-        return []
-    counts = F.array(*[f"{counters}_{i}" for i in range(len(names))])
-    zipped = F.zip_with(
-        F.array(*map(F.lit, names)),
-        counts,
-        lambda key, count: F.struct(F.lit(metric).alias("metric"), key.alias("key"), count.alias("count")),
+    slots = {
+        "total": F.lit(""),
+        "malformed": F.when(F.col("malformed"), F.lit("")),
+        "level": F.col("level"),
+        "file": F.col("source_file"),
+        "hour": hour_number(F.col("ts")).cast("string"),
+        "pattern": F.when(is_error, exception_name(message)),
+    }
+    slots |= {f"pattern:{i}": F.when(is_error & rule_matches(message, regex), F.lit(name)) for i, (name, regex) in enumerate(rules)}
+    slots |= {f"keyword:{i}": F.when(contains_ignore_case(lower, kw), F.lit(kw)) for i, kw in enumerate(keywords)}
+    flat = rows.select("_weight", "ts", *(key.alias(slot) for slot, key in slots.items()))
+    parts = flat.unpivot(["_weight", "ts"], list(slots), "_slot", "key").filter(F.col("key").isNotNull())
+    time = F.when(F.col("_slot") == "total", F.col("ts"))
+    summary = parts.groupBy(F.substring_index("_slot", ":", 1).alias("metric"), "key").agg(
+        F.sum("_weight").cast("bigint").alias("count"), F.min(time).alias("earliest"), F.max(time).alias("latest")
     )
-    return [zipped]
+    return summary.withColumn("key", F.when(F.col("metric") == "hour", hour_label(hour)).otherwise(F.col("key")))
 
 
 def _zeros(spark: SparkSession) -> DataFrame:
@@ -101,26 +86,20 @@ def add_up(*metrics: DataFrame) -> DataFrame:
     return rows.groupBy("metric", "key").agg(F.sum("count").alias("count"))
 
 
-def metrics_of(
-    summary: DataFrame,
-    rules: Sequence[Rule] = ERROR_RULES,
-    keywords: Sequence[str] = DEFAULT_KEYWORDS,
-) -> DataFrame:
-    """Take a summary apart into ``metric, key, count`` rows."""
-    counters = _counter_metrics("pattern", [name for name, _ in rules], "rule")
-    counters += _counter_metrics("keyword", keywords, "keyword")
-    rows = summary.select(F.inline(F.concat(F.expr(_GROUP_METRICS), *counters)))
-    rows = rows.filter(F.col("key").isNotNull() & (F.col("count") > 0))
-    return add_up(rows)
+def metrics_of(summary: DataFrame) -> DataFrame:
+    """The ``metric, key, count`` rows of a summary."""
+    row = F.struct("metric", "key", "count")
+    processed = F.struct(F.lit("processed").alias("metric"), "key", "count")
+    return summary.select(F.inline(F.when(F.col("metric") == "total", F.array(row, processed)).otherwise(F.array(row))))
 
 
 def overview_of(summary: DataFrame) -> DataFrame:
     """The overview row of a summary."""
-    total = F.coalesce(F.sum("lines"), F.lit(0))
+    count = lambda metric: F.coalesce(F.sum(F.when(F.col("metric") == metric, F.col("count"))), F.lit(0))
     return summary.agg(
-        total.alias("total"),
-        total.alias("processed"),
-        F.coalesce(F.sum("malformed"), F.lit(0)).alias("malformed"),
+        count("total").alias("total"),
+        count("total").alias("processed"),
+        count("malformed").alias("malformed"),
         F.min("earliest").alias("earliest"),
         F.max("latest").alias("latest"),
     )
@@ -131,8 +110,8 @@ def all_metrics(
     rules: Sequence[Rule] = ERROR_RULES,
     keywords: Sequence[str] = DEFAULT_KEYWORDS,
 ) -> DataFrame:
-    """Every metric in one pass over the lines."""
-    return metrics_of(summarize(entries, rules, keywords), rules, keywords)
+    """Every metric in one pass over the lines and one exchange."""
+    return metrics_of(summarize(entries, rules, keywords))
 
 
 def metric_rows(

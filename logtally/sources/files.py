@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 import posixpath
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,6 +78,12 @@ def _source_name(has_folder: bool) -> Column:
     return _unescaped(_unescaped(F.regexp_extract(F.col("_metadata.file_path"), "/source_file=([^/]*)/", 1)))
 
 
+def name_of(path: str) -> str:
+    """The ``source_file`` of a listed path, see :func:`_source_name`."""
+    folder = re.search("/source_file=([^/]*)/", path)
+    return unquote(unquote(folder[1])) if folder else unquote(posixpath.basename(path))
+
+
 def _named(lines: DataFrame) -> DataFrame:
     """Name the line ``raw`` and add its ``file_path`` and, as ``source_file``, the base name of it.
 

@@ -1,14 +1,17 @@
 """A source that follows growing files, like ``tail -F``.
 
 Spark's own file stream takes each file once and never sees what is appended to it. Here the
-offset has, for every file, its inode, a generation and the byte position after its last finished line.
+offset has, for every file, the byte position after its last finished line, a generation, and what the
+file is known by: device, inode, a digest of its first bytes and one of the bytes before the position.
 A micro-batch reads what lies between two offsets, cut into ranges that tasks read in parallel.
 The driver looks at file names and sizes, and opens only files that have changed since its last look.
 
 - A renamed file keeps its inode, so its rest is read under the new name in the same folder, and its
-  lines keep the name that the file had first.
-- A file that is shorter than before, or whose bytes before the known position have changed (cut short and
-  grown again), is a new generation and read from its beginning.
+  lines keep the name that the file had first. Inodes are used again once a file is gone, so a file of
+  another name is the known one only if its bytes agree; one of which no byte was seen is not looked for.
+- A file of the pattern that is shorter than before, or whose bytes have changed (cut short and grown
+  again, or another file by now), is a new generation and read from its beginning.
+- A task looks at the bytes again when it opens its range, so it never reads those of another file.
 - A file that is missing is remembered for ``forgetAfter`` seconds and goes on where it was if it
   comes back. (One that is missing when a stopped query starts again is remembered from its first
   micro-batch on.)
@@ -17,8 +20,10 @@ The files must be reachable under the same path on the driver and on every execu
 
 Options: ``path`` (file or glob pattern), ``startingPosition`` (``end``, ``beginning`` or a JSON
 object of byte positions per path), ``rangeBytes`` (size of a task's range), ``failOnDataLoss`` (whether a
-file that is replaced before it could be read fails the query, true by default), ``forgetAfter``. As a
-batch, ``until`` (a JSON object of byte positions per path) gives the lines before those positions.
+file that is replaced before it could be read fails the query, true by default), ``forgetAfter``,
+``maxBytesPerBatch`` (bytes of a micro-batch, no limit by default; a backlog is shared out among the files in
+whole lines, at least one of each file that is due. Such a query is drained by ``processAllAvailable``; the
+``availableNow`` trigger asks a source once, so it ends after one micro-batch). As a batch, ``until`` (a JSON object of byte positions per path) gives the lines before those positions.
 """
 
 from __future__ import annotations
@@ -52,8 +57,8 @@ _ARROW = pa.schema(
 )
 _LINE_END = re.compile(rb"\r\n|\r|\n")
 _CHUNK = 1 << 20
-# Bytes before a position that tell whether the file is still the one that was read up to there.
-_MARK = 64
+# Bytes before a position, and at the beginning, that tell whether a file is still the one that was read up to there.
+_MARK, _HEAD = 64, 256
 _WEEK = 7 * 24 * 3600
 
 
@@ -61,7 +66,8 @@ _WEEK = 7 * 24 * 3600
 class ByteRange(InputPartition):
     """The lines that begin in ``[start, stop)``; ``first`` and ``end`` bound the whole batch.
 
-    ``named`` is the path under which the file was first seen.
+    ``named`` is the path under which the file was first seen; ``mark`` and ``head`` are digests of the bytes
+    before ``end`` and of the first ``head_bytes``.
     """
 
     path: str
@@ -71,6 +77,9 @@ class ByteRange(InputPartition):
     stop: int
     end: int
     named: str = ""
+    mark: str = ""
+    head: str = ""
+    head_bytes: int = 0
 
 
 def local_path(path: str) -> str:
@@ -100,11 +109,60 @@ def complete_until(path: str) -> int:
     return 0
 
 
+def _digest(file, start: int, end: int) -> str:
+    file.seek(start)
+    return hashlib.blake2b(file.read(end - start), digest_size=8).hexdigest()
+
+
 def mark_at(path: str, position: int) -> str:
     """A digest of the bytes just before a position."""
     with open(path, "rb") as file:
-        file.seek(max(0, position - _MARK))
-        return hashlib.blake2b(file.read(min(position, _MARK)), digest_size=8).hexdigest()
+        return _digest(file, max(0, position - _MARK), position)
+
+
+def agrees(file, position: int, mark: str, head: str, head_bytes: int) -> bool:
+    """Whether an open file begins, and goes on before the position, with the bytes of these digests."""
+    if os.fstat(file.fileno()).st_size < max(position, head_bytes):
+        return False
+    return _digest(file, 0, head_bytes) == head and _digest(file, max(0, position - _MARK), position) == mark
+
+
+def identity(status: os.stat_result) -> tuple[int, int]:
+    return status.st_dev, status.st_ino
+
+
+def line_end(path: str, low: int, high: int, most: int) -> int:
+    """The last end of a line within ``most`` bytes of ``low``, or the first one beyond; ``high`` is one."""
+    if most >= high - low:
+        return high
+    with open(path, "rb") as file:
+        stop = low + most
+        while stop > low:  # backwards, with a look at the byte behind, as a \r may be half of a \r\n
+            start = max(low, stop - _CHUNK)
+            file.seek(start)
+            chunk = file.read(stop - start + 1)
+            ends = [m.end() for m in _LINE_END.finditer(chunk) if start + m.end() <= stop and m.end() > 0]
+            if ends:
+                return start + ends[-1]
+            stop = start
+        position = low + most
+        while position < high:
+            file.seek(position)
+            chunk = file.read(min(_CHUNK, high - position) + 1)
+            found = _LINE_END.search(chunk)
+            if found and position + found.end() <= high and found.end() < len(chunk):
+                return position + found.end()
+            position += max(1, len(chunk) - 1)
+    return high
+
+
+def fair_shares(wanted: Mapping[str, int], budget: int) -> dict[str, int]:
+    """How much of a budget each gets: what is wanted, or as much as any other that wants more."""
+    shares, left = {}, budget
+    for number, key in enumerate(sorted(wanted, key=lambda k: (wanted[k], k))):
+        shares[key] = min(wanted[key], left // (len(wanted) - number))
+        left -= shares[key]
+    return shares
 
 
 def matching(pattern: str) -> list[str]:
@@ -193,31 +251,34 @@ def _batch(lines: list[bytes], starts: np.ndarray, named: str) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
-def _ranges(named: str, path: str, inode: int, first: int, end: int, size: int) -> list[ByteRange]:
-    return [ByteRange(path, inode, first, at, min(at + size, end), end, named) for at in range(first, end, size)]
+def _ranges(at: Mapping, first: int, size: int) -> list[ByteRange]:
+    end, known = at["position"], (at["mark"], at["head"], at["head_bytes"])
+    return [ByteRange(at["path"], at["inode"], first, k, min(k + size, end), end, at["named"], *known) for k in range(first, end, size)]
 
 
 def _open(part: ByteRange):
-    """The file of a range, under its path or another name in its folder; None if it is not there."""
-    for path in [part.path, *_renamed(part.path, {part.inode}).values()]:
+    """The file of a range, under its path or another name in its folder; None if it is not there any more."""
+    for path in [part.path, *_renamed(part.path, {part.inode})]:
         try:
             file = open(path, "rb")
         except FileNotFoundError:
             continue
         status = os.fstat(file.fileno())
-        if status.st_ino == part.inode and status.st_size >= part.end:
+        # Devices have other numbers on other machines, so they are not asked here.
+        known = not part.mark or agrees(file, part.end, part.mark, part.head, part.head_bytes)
+        if status.st_ino == part.inode and status.st_size >= part.end and known:
             return file
         file.close()
     return None
 
 
-def _renamed(path: str, inodes: set[int]) -> dict[int, str]:
-    """Where files of these inodes are now, in the folder of a path."""
+def _renamed(path: str, inodes: set[int]) -> list[str]:
+    """Files that have these inodes now, in the folder of a path."""
     try:
         with os.scandir(os.path.dirname(path) or ".") as entries:
-            return {e.inode(): e.path for e in entries if e.inode() in inodes and e.is_file(follow_symlinks=False)}
+            return sorted(e.path for e in entries if e.inode() in inodes and e.is_file(follow_symlinks=False))
     except FileNotFoundError:
-        return {}
+        return []
 
 
 def _read(part: ByteRange, fail_on_data_loss: bool) -> Iterator[pa.RecordBatch]:
@@ -233,6 +294,12 @@ def _read(part: ByteRange, fail_on_data_loss: bool) -> Iterator[pa.RecordBatch]:
             yield _batch(lines, starts, part.named or part.path)
 
 
+def _recognised(path: str, at: Mapping) -> bool:
+    """Whether a file is the one of a state, of which some bytes were seen."""
+    with open(path, "rb") as file:
+        return at["head_bytes"] > 0 and agrees(file, at["position"], at["mark"], at["head"], at["head_bytes"])
+
+
 class TailReader(DataSourceStreamReader):
     def __init__(self, options: Mapping[str, str]) -> None:
         self.pattern = local_path(options["path"])
@@ -240,69 +307,132 @@ class TailReader(DataSourceStreamReader):
         self.range_bytes = int(options.get("rangeBytes", 64 << 20))
         self.fail_on_data_loss = options.get("failOnDataLoss", "true").lower() == "true"
         self.forget_after = float(options.get("forgetAfter", _WEEK))
-        self.known: dict[str, dict] = {}  # by inode: what the last offset says of the file
-        self.seen: dict[str, tuple[int, int]] = {}  # by inode: size and time of change at the last look
-        self.done: dict[str, dict] = {}  # by inode: what finished micro-batches have read up to
+        self.max_bytes = int(options["maxBytesPerBatch"]) if "maxBytesPerBatch" in options else None
+        self.known: dict[str, dict] = {}  # what the last offset says of each file
+        self.ends: dict[str, int] = {}  # where its last finished line ended at the last look
+        self.seen: dict[str, tuple[int, ...]] = {}  # its identity, size and time of change then
+        self.done: dict[str, dict] = {}  # what finished micro-batches have read up to
+        self.initial: dict | None = None  # where a new query begins
 
     def initialOffset(self) -> dict:
-        if self.starting == "end":
-            return self.latestOffset()
-        given = {} if self.starting == "beginning" else json.loads(self.starting)
-        return {key: self._moved(at, given.get(at["path"], 0)) for key, at in self.latestOffset().items()}
-
-    @staticmethod
-    def _moved(at: dict, position: int) -> dict:
-        position = min(position, at["position"])
-        return {**at, "position": position, "mark": mark_at(at["path"], position)}
+        # Spark asks for the first end before the first start, and both have to fit.
+        if self.initial is None:
+            self.initial = self._initial()
+        return self.initial
+
+    def _initial(self) -> dict:
+        self._look_at_all()
+        given = None if self.starting == "end" else {} if self.starting == "beginning" else json.loads(self.starting)
+        for key, at in self.known.items():
+            self._advance(key, self.ends[key] if given is None else min(given.get(at["path"], 0), self.ends[key]))
+        return self._offset()
 
     def latestOffset(self) -> dict:
-        found: dict[str, str] = {}
+        self.initialOffset()
+        self._look_at_all()
+        due = {key: self.ends[key] - at["position"] for key, at in self.known.items() if "gone" not in at and self.ends.get(key, 0) > at["position"]}
+        shares = due if self.max_bytes is None else fair_shares(due, self.max_bytes)
+        for key, share in shares.items():
+            at = self.known[key]
+            try:
+                self._advance(key, line_end(at["path"], at["position"], self.ends[key], share))
+            except FileNotFoundError:  # rotated away meanwhile
+                continue
+        return self._offset()
+
+    def _offset(self) -> dict:
+        return {key: dict(at) for key, at in self.known.items()}
+
+    def _advance(self, key: str, position: int) -> None:
+        at = self.known[key]
+        self.known[key] = {**at, "position": position, "mark": mark_at(at["path"], position)}
+
+    def _look_at_all(self) -> None:
+        """Bring what is known of every file up to date."""
+        found: dict[tuple[int, int], str] = {}
         for path in matching(self.pattern):
             try:
-                found[str(os.stat(path).st_ino)] = path
+                found[identity(os.stat(path))] = path
             except FileNotFoundError:  # rotated away meanwhile
                 continue
-        missing = {key: at for key, at in self.known.items() if key not in found and "gone" not in at}
-        for folder in {os.path.dirname(at["path"]) for at in missing.values()}:
-            now = _renamed(os.path.join(folder, ""), {int(key) for key in missing})
-            found |= {str(inode): path for inode, path in now.items()}
-        for key, path in found.items():
+        own = {(at["device"], at["inode"]): key for key, at in self.known.items()}
+        looked = set()
+        for (device, inode), path in found.items():
+            key = own.get((device, inode)) or self._mounted_anew(path, inode) or self._new_key(device, inode)
+            if self._look(key, path):
+                looked.add(key)
+        missing = {key: at for key, at in self.known.items() if key not in looked}
+        for key, at in missing.items():
+            if "gone" not in at and self._look_elsewhere(key, at):
+                continue
+            gone = at.setdefault("gone", int(time.time()))
+            if time.time() - gone > self.forget_after:
+                del self.known[key]
+
+    def _new_key(self, device: int, inode: int) -> str:
+        key = f"{device}-{inode}"
+        while key in self.known:
+            key += "+"
+        return key
+
+    def _mounted_anew(self, path: str, inode: int) -> str | None:
+        """The known file of a path whose device has another number than before."""
+        for key, at in self.known.items():
+            if at["path"] == path and at["inode"] == inode and _recognised(path, at):
+                return key
+        return None
+
+    def _look_elsewhere(self, key: str, at: dict) -> bool:
+        """Look for a file under another name in its folder."""
+        for path in _renamed(at["path"], {at["inode"]}):
             try:
-                self.known[key] = self._look(key, path)
+                if identity(os.stat(path)) == (at["device"], at["inode"]) and (self._unchanged(key, path) or _recognised(path, at)):
+                    return self._look(key, path)
             except FileNotFoundError:
                 continue
-        for key, at in list(self.known.items()):
-            if key not in found:
-                gone = at.setdefault("gone", int(time.time()))
-                if time.time() - gone > self.forget_after:
-                    del self.known[key]
-        return {key: dict(at) for key, at in self.known.items()}
+        return False
 
-    def _look(self, key: str, path: str) -> dict:
+    def _unchanged(self, key: str, path: str) -> bool:
         status = os.stat(path)
-        at, state = self.known.get(key), (status.st_size, status.st_mtime_ns)
-        if at and self.seen.get(key) == state and "gone" not in at:
-            return {**at, "path": path}
-        position = complete_until(path)
-        same = at and status.st_size >= at["position"] and mark_at(path, at["position"]) == at["mark"]
-        generation = (at["generation"] + (not same)) if at else 0
-        position = max(position, at["position"]) if same else position
-        self.seen[key] = state
-        # A new generation is a new file, under its own name.
-        named = at["named"] if same else path
-        return {"path": path, "named": named, "generation": generation, "position": position, "mark": mark_at(path, position)}
+        return self.seen.get(key) == (*identity(status), status.st_size, status.st_mtime_ns)
+
+    def _look(self, key: str, path: str) -> bool:
+        """Note the state of a file; False if it is not there."""
+        at = self.known.get(key)
+        try:
+            if at and "gone" not in at and self._unchanged(key, path):
+                self.known[key] = {**at, "path": path}
+                return True
+            status = os.stat(path)
+            end = complete_until(path)
+            with open(path, "rb") as file:
+                same = bool(at) and agrees(file, at["position"], at["mark"], at["head"], at["head_bytes"])
+                head_bytes = min(_HEAD, status.st_size)
+                head, empty = _digest(file, 0, head_bytes), _digest(file, 0, 0)
+        except FileNotFoundError:
+            return False
+        device, inode = identity(status)
+        self.seen[key] = (device, inode, status.st_size, status.st_mtime_ns)
+        now = {"path": path, "device": device, "inode": inode, "head": head, "head_bytes": head_bytes}
+        if same:
+            self.known[key] = {**now, **{k: at[k] for k in ("named", "generation", "position", "mark")}}
+        else:  # a new generation is a new file, under its own name
+            self.known[key] = {**now, "named": path, "generation": at["generation"] + 1 if at else 0, "position": 0, "mark": empty}
+        self.ends[key] = max(end, self.known[key]["position"])
+        return True
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
         self.commit(start)
         for key, at in start.items():
-            self.known.setdefault(key, dict(at))  # after a restart
+            self.known.setdefault(key, dict(at))  # after a restart, when this comes first
+        self.initial = self.initial or {}
         ranges = []
         for key, until in end.items():
             # A file that was missing at a restart is not in the offsets from then.
             since = start.get(key) or self.done.get(key)
             same = since and since["generation"] == until["generation"]
             first = min(since["position"], until["position"]) if same else 0
-            ranges += _ranges(until["named"], until["path"], int(key), first, until["position"], self.range_bytes)
+            ranges += _ranges(until, first, self.range_bytes)
         return ranges
 
     def commit(self, end: dict) -> None:
@@ -322,7 +452,12 @@ class UntilReader(DataSourceReader):
     def partitions(self) -> list[ByteRange]:
         ranges = []
         for path, end in self.until.items():
-            ranges += _ranges(path, path, os.stat(path).st_ino, 0, end, self.range_bytes)
+            with open(path, "rb") as file:
+                status = os.fstat(file.fileno())
+                head_bytes = min(_HEAD, end)
+                at = {"path": path, "named": path, "inode": status.st_ino, "position": end, "head_bytes": head_bytes}
+                at |= {"head": _digest(file, 0, head_bytes), "mark": _digest(file, max(0, end - _MARK), end)}
+            ranges += _ranges(at, 0, self.range_bytes)
         return ranges or [ByteRange("", 0, 0, 0, 0, 0, "")]
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:

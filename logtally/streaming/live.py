@@ -105,6 +105,15 @@ def start_alerts(
     return writer.foreachBatch(alert_table(folder).write).start()
 
 
+def print_alerts(rows: DataFrame, number: int, most: int = 100) -> None:
+    """Print the alerts of a micro-batch, one line each; of very many the first, and how many there are."""
+    shown = rows.select("source_file", "raw").limit(most + 1).collect()
+    for row in shown[:most]:
+        print(f"ALERT {row.source_file}: {row.raw}", flush=True)
+    if len(shown) > most:
+        print(f"ALERT {rows.count()} in all in micro-batch {number}", flush=True)
+
+
 def alert_table(folder: str, merge_every: int = MERGE_EVERY) -> BatchTable:
     """Alerts by micro-batch; merging makes few files of many."""
     return BatchTable(folder, ALERT_SCHEMA, None, merge_every)

@@ -25,6 +25,17 @@ def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Write an empty file, to say that something beside it is whole."""
+    system, hadoop_path = _file_system(spark, path)
+    system.create(hadoop_path, True).close()
+
+
+def is_marked(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _file_system(spark, path)
+    return system.exists(hadoop_path)
+
+
 def _numbers(spark: SparkSession, folder: str, kind: str) -> list[int]:
     """The numbers of the entries ``<kind>=<number>`` of a folder, in order."""
     system, pattern = _file_system(spark, f"{folder}/{kind}=*")
@@ -70,6 +81,10 @@ class BatchTable:
         folders = [f"merged={n}" for n in (merges[-1:] if self.combine else merges)]
         return self._read(spark, folders + self._batches(spark, since, None))
 
+    def of_batch(self, spark: SparkSession, number: int) -> DataFrame:
+        """What a single micro-batch has written; it is there until the next merge but one."""
+        return spark.read.schema(self.schema).parquet(f"{self.folder}/batch={number}")
+
     def _batches(self, spark: SparkSession, since: int | None, until: int | None) -> list[str]:
         numbers = _numbers(spark, self.folder, "batch")
         return [f"batch={n}" for n in numbers if (since is None or n >= since) and (until is None or n < until)]
@@ -90,8 +105,7 @@ class BatchTable:
             own = [f"merged={before}"] if self.combine and before is not None else []
             rows = self._read(spark, own + self._batches(spark, before, number))
             rows.write.mode("overwrite").parquet(f"{self.folder}/merged={number}")
-            system, marker = _file_system(spark, f"{self.folder}/_merged={number}")
-            system.create(marker, True).close()
+            mark(spark, f"{self.folder}/_merged={number}")
         if before is None:
             return
         old = self._batches(spark, None, before)

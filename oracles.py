@@ -335,6 +335,7 @@ ORACLES = {
     "tail_metrics": _ALL_METRICS,
     "tail_events": ENTRIES + " SELECT raw, 'app.log' AS source_file FROM entries",
     "monitor_metrics": _ALL_METRICS,
+    "monitor_report": REPORT,
     "named_files": ENTRIES
     + f" SELECT {list(FILE_NAMES)}[line_number % {len(FILE_NAMES)} + 1] AS source_file, count(*) AS count FROM entries GROUP BY 1",
     "written_report": f"SELECT line FROM ({REPORT}) WHERE line <> ''",

@@ -153,14 +153,26 @@ def test_hour_of_a_zone_with_a_gap(lines_of):
     assert lt.hourly_activity(lt.parse_logs(lines)).first() == ("2024-03-10 02", 1)
 
 
-def test_lines_are_counted_before_any_shuffle(lines):
-    """Two exchanges: the groups of the lines, then the metrics that these are taken apart into."""
+def test_lines_are_counted_in_one_exchange(lines):
+    """Additive keys: a task has a group for each file, hour and name, and not for their combinations."""
     plan = lt.all_metrics(lt.parse_logs(lines))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert plan.count("partial_count") >= 1 and plan.count("partial_sum(count") == 1
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(metric" in plan
+    assert plan.count("partial_sum") == 1 and "Expand" in plan
     assert "BatchEvalPython" not in plan
-    below = plan[plan.rindex("Exchange hashpartitioning") :]
-    assert "partial_count" in below  # nothing but partial groups passes the lower one
+    assert "partial_sum" in plan[plan.index("Exchange hashpartitioning") :]  # nothing but partial groups passes it
+
+
+def test_groups_do_not_multiply(spark):
+    """100 files, 100 hours and 100 names in all combinations are some 300 rows before the exchange."""
+    lines = spark.range(10_000).selectExpr(
+        "concat(id % 100, '.log') AS source_file", "id AS line_number",
+        "date_format(timestamp'2024-06-01' + make_interval(0, 0, 0, 0, CAST(id DIV 100 AS INT)), 'yyyy-MM-dd HH:mm:ss') || ' ERROR [t] l - E' || id * 7 % 100 || 'Error' AS raw",
+    ).coalesce(1)
+    metrics = lt.all_metrics(lt.parse_logs(lines))
+    rows = {(r.metric, r.key): r["count"] for r in metrics.collect()}
+    assert sum(m == "hour" for m, _ in rows) == sum(m == "file" for m, _ in rows) == sum(m == "pattern" for m, _ in rows) == 100
+    plan = metrics._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    assert "Exchange" in plan and len(rows) < 330
 
 
 def test_generated_logs_do_not_depend_on_partitions(spark):

@@ -11,7 +11,7 @@ from conftest import KEYWORDS
 from pyspark.sql import functions as F
 
 import logtally as lt
-from logtally.sources.tail import ByteRange, TailReader, complete_until, lines_in, local_path
+from logtally.sources.tail import ByteRange, TailReader, complete_until, fair_shares, line_end, lines_in, local_path
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -192,8 +192,8 @@ def test_ranges_cover_every_line_once(tmp_path):
         assert end == (ends[-1] if ends else 0), data
         expected = [m.group(1) for m in re.finditer(rb"([^\r\n]*)(\r\n|\r|\n)", data[:end])]
         reader = TailReader({"path": str(path), "rangeBytes": str(rng.randint(1, 8))})
-        now = {"1": {"path": str(path), "named": str(path), "generation": 0, "position": end, "mark": ""}}
-        parts = reader.partitions({}, now)
+        now = {"path": str(path), "named": str(path), "inode": 1, "generation": 0, "position": end, "mark": "", "head": "", "head_bytes": 0}
+        parts = reader.partitions({}, {"1": now})
         got = [line for part in parts for _, line in lines_in(io.BytesIO(data), part)]
         assert got == expected, data
 
@@ -233,6 +233,8 @@ class Polled:
         self.offset = offset
         if offset is None:
             self.offset = self.restored(self.reader.initialOffset())
+        else:  # as Spark does at a restart
+            self.reader.partitions(offset, offset)
 
     @staticmethod
     def restored(offset):
@@ -303,6 +305,141 @@ def test_a_file_cut_short_and_grown_again_is_read_from_its_beginning(tmp_path):
     assert [raw for _, raw in polled.lines()] == ["end"]
 
 
+def reuse_inode(path, freed):
+    """Make a file with the inode of one that was removed, or skip."""
+    path.write_bytes(b"")
+    if os.stat(path).st_ino != freed:
+        pytest.skip("this file system does not use inodes again at once")
+
+
+def test_a_file_beside_the_pattern_is_not_taken_for_one_that_was_removed(tmp_path):
+    path, other = tmp_path / "app.log", tmp_path / "unrelated.txt"
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(path)
+    assert len(polled.lines()) == 2
+    freed = os.stat(path).st_ino
+    os.remove(path)
+    reuse_inode(other, freed)
+    append(other, b"not a log line\n" * 9)
+    assert polled.lines() == polled.lines() == []
+    polled = Polled(path, polled.offset)
+    append(other, b"more\n")
+    assert polled.lines() == []
+    path.write_bytes(b"3\n")
+    assert polled.lines() == [("app.log", "3")]
+
+
+def test_a_file_of_the_pattern_with_a_used_inode_is_a_new_one(tmp_path):
+    path, other = tmp_path / "a.log", tmp_path / "b.log"
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(tmp_path / "*.log")
+    assert len(polled.lines()) == 2
+    freed = os.stat(path).st_ino
+    os.remove(path)
+    reuse_inode(other, freed)
+    append(other, b"x\ny\nz\n")
+    assert polled.lines() == [("b.log", "x"), ("b.log", "y"), ("b.log", "z")]
+    append(other, b"end\n")
+    assert polled.lines() == [("b.log", "end")]
+
+
+def test_an_empty_file_that_goes_is_not_looked_for(tmp_path):
+    path, other = tmp_path / "app.log", tmp_path / "unrelated.txt"
+    path.write_bytes(b"")
+    polled = Polled(path)
+    assert polled.lines() == []
+    freed = os.stat(path).st_ino
+    os.remove(path)
+    reuse_inode(other, freed)
+    append(other, b"not a log line\n")
+    assert polled.lines() == []
+
+
+def test_equal_inodes_of_two_devices_are_two_files(tmp_path, monkeypatch):
+    one, two = tmp_path / "one.log", tmp_path / "two.log"
+    one.write_bytes(b"1\n")
+    two.write_bytes(b"2\n")
+    device = {os.stat(one).st_ino: 1, os.stat(two).st_ino: 2}
+    monkeypatch.setattr("logtally.sources.tail.identity", lambda status: (device[status.st_ino], 77))
+    monkeypatch.setattr("logtally.sources.tail._open", lambda part: open(part.path, "rb"))
+    polled = Polled(tmp_path / "*.log")
+    assert sorted(polled.lines()) == [("one.log", "1"), ("two.log", "2")]
+    append(two, b"3\n")
+    assert polled.lines() == [("two.log", "3")]
+
+
+def test_a_device_with_another_number_after_a_mount(tmp_path, monkeypatch):
+    path = tmp_path / "app.log"
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(path)
+    assert len(polled.lines()) == 2
+    monkeypatch.setattr("logtally.sources.tail.identity", lambda status: (status.st_dev + 1, status.st_ino))
+    polled = Polled(path, polled.offset)
+    append(path, b"3\n")
+    assert polled.lines() == [("app.log", "3")]
+
+
+def test_a_range_is_not_read_from_another_file(tmp_path):
+    """A task that is tried again, when its file has gone and another has its inode and is long enough."""
+    path = tmp_path / "app.log"
+    path.write_bytes(b"1\n2\n")
+    reader = TailReader({"path": str(path), "startingPosition": "beginning"})
+    (part,) = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    freed = os.stat(path).st_ino
+    os.remove(path)
+    reuse_inode(path, freed)
+    append(path, b"another file by now\n")
+    with pytest.raises(RuntimeError, match="replaced"):
+        list(reader.read(part))
+
+
+def test_generations_over_a_restart(tmp_path):
+    path = tmp_path / "app.log"
+    path.write_bytes(b"1\n2\n")
+    polled = Polled(path)
+    polled.lines()
+    path.write_bytes(b"a\n")
+    assert polled.lines() == [("app.log", "a")]
+    polled = Polled(path, polled.offset)
+    append(path, b"b\n")
+    assert polled.lines() == [("app.log", "b")]
+
+
+def test_a_backlog_is_read_bit_by_bit(tmp_path):
+    """Every file's lines come in order, once, in micro-batches of the budget, over a restart as well."""
+    rng, names = random.Random(9), [f"{k}.log" for k in range(4)]
+    written = {name: [f"{name} {k} " + "x" * rng.randrange(30) for k in range(rng.randrange(1, 120))] for name in names}
+    for name, lines in written.items():
+        (tmp_path / name).write_bytes("".join(line + rng.choice(("\n", "\r\n", "\r")) for line in lines).encode() + b"\n")
+    written = {name: [*lines, ""] if (tmp_path / name).read_bytes().endswith(b"\n\n") else lines for name, lines in written.items()}
+    polled, read, batches = Polled(tmp_path / "*.log", maxBytesPerBatch="300"), {name: [] for name in names}, 0
+    while got := polled.lines():
+        batches += 1
+        assert sum(len(raw) for _, raw in got) <= 300 + 4 * 40
+        for name, raw in got:
+            read[name].append(raw)
+        if batches % 5 == 0:
+            polled = Polled(tmp_path / "*.log", polled.offset, maxBytesPerBatch="300")
+    assert batches >= 10
+    assert {n: [r for r in lines if r] for n, lines in read.items()} == {n: [r for r in lines if r] for n, lines in written.items()}
+
+
+def test_where_a_budget_ends(tmp_path, monkeypatch):
+    monkeypatch.setattr("logtally.sources.tail._CHUNK", 3)
+    path = tmp_path / "f.log"
+    rng = random.Random(2)
+    for _ in range(300):
+        data = b"".join(rng.choice([b"a", b"bcdef", b"\n", b"\r", b"\r\n"]) for _ in range(rng.randint(1, 20))) + b"\n"
+        path.write_bytes(data)
+        ends = [m.end() for m in re.finditer(rb"\r\n|\r|\n", data)]
+        low = rng.choice([0, *ends[:-1]])
+        most = rng.randint(0, 12)
+        inside = [e for e in ends if low < e <= low + most]
+        beyond = [e for e in ends if e > low + most]
+        assert line_end(str(path), low, len(data), most) == (inside[-1] if inside else beyond[0]), (data, low, most)
+    assert fair_shares({"a": 5, "b": 100, "c": 100}, 65) == {"a": 5, "b": 30, "c": 30}
+
+
 def test_only_changed_files_are_opened(tmp_path, monkeypatch):
     for k in range(5):
         (tmp_path / f"{k}.log").write_bytes(b"1\n")
@@ -390,6 +527,48 @@ def test_monitor_before_its_first_lines(spark, tmp_path):
         monitor.stop()
 
 
+def test_a_monitor_reads_a_backlog_in_many_batches_and_reports(spark, tmp_path, capsys):
+    path, folder = tmp_path / "app.log", str(tmp_path / "monitor")
+    path.write_text("".join(f"{ERROR if k % 50 == 0 else INFO} {k}\n" for k in range(600)))
+    options = lt.Options(output=str(tmp_path / "report"))
+    shown = []
+    monitor = lt.monitor(
+        spark, str(path), folder, options, start="beginning", poll_ms=None, merge_every=4, max_batch_bytes=2000,
+        on_alerts=lambda rows, number: (shown.append(number), lt.print_alerts(rows, number)),
+    )
+    assert len(os.listdir(tmp_path / "monitor" / "state" / "commits")) > 20 and not monitor.query.isActive
+    whole = lt.analyze(spark, [str(path)])
+    assert as_dict(monitor.metrics()) == as_dict(whole.metrics)
+    assert len(shown) == len(set(shown)) and capsys.readouterr().out.count("ALERT app.log: 2024-06-01 08:00:00 ERROR") == 12
+    last = [tuple(r) for r in monitor.stop(show=True).collect()]
+    assert sorted(last) == sorted(tuple(r) for r in whole.report.collect())
+    written = [r.value for r in spark.read.text(str(tmp_path / "report")).collect()]
+    assert written == capsys.readouterr().out.splitlines() and len(written) > 20
+
+
+def test_very_many_alerts_are_not_all_printed(spark, capsys):
+    rows = spark.range(30).selectExpr("'a.log' AS source_file", "'ERROR' AS level", "'line ' || id AS raw")
+    lt.print_alerts(rows, 7, most=10)
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 11 and out[-1] == "ALERT 30 in all in micro-batch 7"
+
+
+def test_a_handover_that_broke_off_is_done_again(spark, tmp_path):
+    path, folder = tmp_path / "app.log", str(tmp_path / "monitor")
+    path.write_text(f"{ERROR}\n{INFO}\n{INFO}\n")
+    batch = lt.analyze_until_now(spark, str(path))
+    # Some of its files are there already when the commit breaks off.
+    batch.summary.limit(2).write.parquet(f"{folder}/before/batch=0")
+    monitor = lt.monitor(spark, str(path), folder, batch=batch, poll_ms=None)
+    assert as_dict(monitor.metrics())["total", ""] == 3
+    # A whole one is left as it is.
+    lt.hand_over(spark, folder, lt.analyze_lines(spark.createDataFrame([], "raw string, source_file string")))
+    assert as_dict(monitor.metrics())["total", ""] == 3
+    # What is not marked as whole is not read.
+    os.remove(f"{folder}/before/_whole")
+    assert as_dict(monitor.metrics())["total", ""] == 0
+
+
 def test_tail_paths():
     assert [local_path(p) for p in ("/a/*.log", "file:/a/b", "file:///a/b")] == ["/a/*.log", "/a/b", "/a/b"]
     with pytest.raises(ValueError, match="mounted"):
