@@ -9,12 +9,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from logtally.session import shared_folder
 
 #: A word, as a Java regular expression: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_ROWS, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Keys that are dealt out over several tasks at most, rows of a key from which on it may be, and tasks of such a key.
 HOT_KEYS, HOT_ROWS, SALTS = 4096, 10_000, 64
 #: Characters of text that one step of a Python worker holds at a time (a single longer text is one step).
@@ -38,16 +39,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``df.mapInArrow(run, schema)``, with a view to memory.
+def _small_batches(spark: SparkSession) -> None:
+    """Rows of documents are long: 10,000 of them take tens of MB in the JVM and as much again in each worker.
 
-    Rows of documents are long: 10,000 of them take tens of MB in the JVM and as much again in each worker. So
-    where the session has Spark's default of 10,000 rows a batch, it is set to 1,000. A worker that has
-    finished a task gives back what its buffers took.
+    So where the session has Spark's default of 10,000 rows a batch, it is set to 1,000, and a batch's bytes to 8 MB.
     """
-    spark = df.sparkSession
     if spark.conf.get(_BATCH_ROWS) == "10000":
         spark.conf.set(_BATCH_ROWS, "1000")
+    if spark.conf.get(_BATCH_BYTES, None) in (None, "67108864", "64MB", "64m"):
+        spark.conf.set(_BATCH_BYTES, "8m")
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with small batches. A worker that has finished a task gives back what its buffers took."""
+    _small_batches(df.sparkSession)
 
     def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
@@ -58,6 +63,19 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(released, schema)
 
 
+def of_column(spark: SparkSession, run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str) -> Callable[[str], Column]:
+    """A column computed by batches from another one: only that goes to the workers, only the result comes back."""
+    _small_batches(spark)
+
+    def released(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return F.arrow_udf(released, kind, ArrowUDFType.SCALAR_ITER)
+
+
 def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``chars`` bytes at most."""
     lengths = pc.binary_length(batch.column(column)).to_pylist()

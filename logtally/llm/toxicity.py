@@ -19,9 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from logtally.llm.common import map_batches, slices
+from logtally.llm.common import map_batches, of_column, slices
 
 #: Labelled rows of each class that the training takes, by expectation; four times that in all is a hard limit.
 ROWS_PER_CLASS = 1500
@@ -213,7 +212,7 @@ def training_sample(
     for value, count in counts.items():
         rate = F.when(F.col(label) == value, per_class / count).otherwise(rate)
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity sample")), F.lit(1 << 30)) / (1 << 30)
-    chosen = labels.filter(draw < rate).limit(4 * per_class).select(id_col, F.col(label).cast("int").alias("label"))
+    chosen = labels.filter(draw < rate).orderBy(draw, id_col).limit(4 * per_class).select(id_col, F.col(label).cast("int").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,17 +248,15 @@ def classify(df: DataFrame, model: ToxicityModel, text: str = "text", score: str
     Null and empty texts have the score of a text without known words. Columns of these names are
     replaced. The model is broadcast; its size is bounded by the training sample.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in df.schema.fields if f.name not in (score, predicted)]
-    names = [f.name for f in keep]
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = shared.value.scorer()
         for batch in batches:
-            for part in slices(batch, text):
-                found = scorer(part.column(text).to_pylist())
-                columns = [pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], [*names, score, predicted])
+            column = pa.RecordBatch.from_arrays([batch], ["text"])
+            found = [scorer(part.column("text").to_pylist()) for part in slices(column, "text")]
+            yield pa.array(np.concatenate([np.zeros(0), *found]))
 
-    fields = [T.StructField(score, T.DoubleType()), T.StructField(predicted, T.IntegerType())]
-    return map_batches(df, run, T.StructType([*keep, *fields]))
+    scored = df.drop(score, predicted).withColumn(score, of_column(spark, run, "double")(text))
+    return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
