@@ -22,7 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the labelled rows that are not held out."""
     learn = docs.filter(~held_out("doc_id"))
-    model = toxicity.train(learn, queries.table(spark, sf_dir, "labels"))
+    model = toxicity.train(learn, queries.learnable(queries.table(spark, sf_dir, "labels")))
     return toxicity.classify(docs, model, score="_score", predicted="_toxic").filter("_toxic = 0").drop("_score", "_toxic")
 
 
