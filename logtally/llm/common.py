@@ -9,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import ArrowUDFType
 
 from logtally.session import shared_folder
 
@@ -73,7 +72,7 @@ def of_column(spark: SparkSession, run: Callable[[Iterator[pa.Array]], Iterator[
         finally:
             pa.default_memory_pool().release_unused()
 
-    return F.arrow_udf(released, kind, ArrowUDFType.SCALAR_ITER)
+    return F.arrow_udf(released, kind)
 
 
 def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:

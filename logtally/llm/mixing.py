@@ -13,15 +13,11 @@ Nothing is ranked over a whole source: slots and documents are counted in chunks
 from __future__ import annotations
 
 import math
-import re
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtally.llm.common import WORD, join_hot, join_on, map_batches, slices, stored
+from logtally.llm.common import WORD, join_hot, join_on, stored
 from logtally.session import ensure_checkpoint_dir
 
 #: Weights of the sources in code point order, repeating; the share of all words that the mix has.
@@ -75,7 +71,8 @@ def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, weights:
 def _streams(sized: DataFrame, documents: int) -> DataFrame:
     """Add ``start``: where a document with words begins in the shuffled stream of its source."""
     chunks = max(1, math.ceil(documents / CHUNK))
-    mixed = F.xxhash64(F.col("doc_id"), F.lit(_SEED))
+    # The text's digest takes part, as very many rows may have no id.
+    mixed = F.xxhash64("doc_id", "digest", F.lit(_SEED))
     rows = sized.filter("size > 0").withColumn("_order", mixed).withColumn("_chunk", F.pmod(mixed, F.lit(chunks)))
     sums = rows.groupBy("source", "_chunk").agg(F.sum("size").alias("_words"))
     before = Window.partitionBy("source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -151,7 +148,7 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     ``taken`` counts the words that the mix takes of it, repeats included, at most twice its size.
     ``digest`` is a hash of the text. Null and empty texts have size 0 and are not taken. A null
     source is a source of its own, last in order. Rows that agree in id, source and text are
-    kept apart by their place in the stream. Reruns agree: order is by a hash of the id.
+    kept apart by their place in the stream. Reruns agree: order is by a hash of id and text.
     """
     ensure_checkpoint_dir(df.sparkSession)
     sized = df.select(
@@ -180,49 +177,21 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     return join_hot(every, goals.drop("n"), ["source"], goals, ["doc_id", "digest"]).select(*columns)
 
 
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def _first_words(text: str, count: int) -> str:
-    for k, found in enumerate(_WORDS.finditer(text), start=1):
-        if k == count:
-            return text[: found.end()]
-    return text
-
-
-def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", chars: str | None = "n_chars") -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mixed documents, with the columns of ``df``: a row for each time a document is taken.
 
-    One that is taken in part has its first words only (one document per source at most, where the last
-    round ends), and ``chars``, if there, is counted anew. Documents of which nothing is taken are left out.
-    Of rows that agree in id, source and text the first stands for all.
+    Texts stay whole: the one document of a source in which its last round ends is taken once more if at least half of
+    it was due, and else not, so a source is off its target by half a document at most. Documents
+    that are not taken are left out. Of rows that agree in id, source and text the first stands for all.
     """
     plan = mixture(df, id_col, text, source).groupBy("doc_id", "source", "digest", F.col("size").alias("_mix_size"))
-    plan = plan.agg(F.sum("taken").alias("_mix_taken"), F.count("*").alias("_mix_rows")).filter("_mix_taken > 0")
+    plan = plan.agg(F.sum("taken").alias("_mix_taken"), F.count("*").alias("_mix_rows"))
+    times = F.floor((2 * F.col("_mix_taken") + F.col("_mix_size")) / (2 * F.col("_mix_size"))).cast("int")
+    plan = plan.filter("_mix_taken > 0").withColumn("_mix_times", times).filter("_mix_times > 0").drop("_mix_size", "_mix_taken")
     plan = stored(plan.withColumnsRenamed({"doc_id": id_col, "source": source, "digest": "_mix_digest"}), "mix-plan")
     key = [id_col, source, "_mix_digest"]
     keyed = df.withColumn("_mix_digest", F.xxhash64(text))
     once = join_on(keyed, plan.filter("_mix_rows = 1"), key)
     more = join_on(keyed, plan.filter("_mix_rows > 1"), key).dropDuplicates(key)
-    names, schema = df.columns, df.schema
-
-    def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                sizes, taken = part.column("_mix_size").to_numpy(), part.column("_mix_taken").to_numpy()
-                rows = part.select(names)
-                for turn in range(int((taken // sizes).max())):
-                    yield rows.filter(pa.array(taken // sizes > turn))
-                at = np.flatnonzero(taken % sizes)
-                if len(at):
-                    yield _cut(rows.take(pa.array(at)), (taken % sizes)[at].tolist(), text, chars)
-
-    return map_batches(once.unionByName(more), repeat, schema)
-
-
-def _cut(rows: pa.RecordBatch, counts: list[int], text: str, chars: str | None) -> pa.RecordBatch:
-    texts = [_first_words(t, n) for t, n in zip(rows.column(text).to_pylist(), counts, strict=True)]
-    new = {text: pa.array(texts, rows.schema.field(text).type)}
-    if chars in rows.schema.names:
-        new[chars] = pa.array([len(t) for t in texts], rows.schema.field(chars).type)
-    return pa.RecordBatch.from_arrays([new.get(n, rows.column(n)) for n in rows.schema.names], rows.schema.names)
+    every = once.unionByName(more).withColumn("_mix_turn", F.explode(F.sequence(F.lit(1), "_mix_times")))
+    return every.select(*df.columns)

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import collections
 import hashlib
-import itertools
 
 import numpy as np
 import pytest
@@ -41,18 +40,10 @@ def slow_near_copies(docs):
 
 def slow_mix(docs):
     sizes = collections.Counter()
-    sized = [(i, s, test_mixing.size_of(t)) for i, t, _, s, _ in docs]
-    for _, s, size in sized:
-        sizes[s] += size
-    taken = test_mixing.slow_taken(sized, test_mixing.slow_targets(sizes))
-    out = []
-    for (i, t, lang, s, n), (*_, size) in zip(docs, sized, strict=True):
-        if taken[i]:
-            out += [(i, t, lang, s, n)] * (taken[i] // size)
-            if taken[i] % size:
-                part = list(itertools.islice(test_mixing.re.finditer(r"[^\x20\x09-\x0D]+", t), taken[i] % size))[-1]
-                out.append((i, t[: part.end()], lang, s, part.end()))
-    return out
+    for _, t, _, s, _ in docs:
+        sizes[s] += test_mixing.size_of(t)
+    taken = test_mixing.slow_taken([(i, s, t) for i, t, _, s, _ in docs], test_mixing.slow_targets(sizes))
+    return [row for row in docs for _ in range(test_mixing.whole_times(taken[row[0]], test_mixing.size_of(row[1])))]
 
 
 @pytest.fixture(scope="module")
