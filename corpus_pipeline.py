@@ -48,7 +48,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source at its target weight: documents repeat, go, or are cut where a target ends."""
+    """Each source at its target weight: whole documents repeat or go."""
     return mixing.mix(docs)
 
 
