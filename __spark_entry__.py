@@ -155,6 +155,33 @@ def stream_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, lt.running_time_range(lt.parse_logs(stream)), lt.TIME_RANGE_SCHEMA, merge_every=2)
 
 
+def stream_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per hour of a stream, of the hours that its watermark has closed."""
+    stream = lt.parse_logs(lt.stream_logs(spark, _files(spark, sf_dir)))
+    table = lt.BatchTable(shared_folder(spark, "hours"), "hour string, count bigint")
+    writer = lt.windowed_hours(stream, "6 hours").writeStream.outputMode("append").foreachBatch(table.write)
+    writer.option("checkpointLocation", shared_folder(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return table.read(spark)
+
+
+def stream_expiring_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream whose state drops its keys after a second."""
+    stream = lt.stream_logs(spark, _files(spark, sf_dir), max_files_per_trigger=8)
+    running = lt.running_metrics(lt.parse_logs(stream), keywords=KEYWORDS, expire="1 second")
+    return lt.add_up(_run(spark, running, lt.EPOCH_SCHEMA))
+
+
+def stream_distinct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries with a time of two tails of the same files; each line counts once."""
+    pattern = _tail_files(spark, sf_dir)
+    tail = lambda: lt.tail_logs(spark, pattern, "beginning")
+    entries = lt.distinct_lines(lt.parse_logs(_with_name(tail().unionByName(tail()))), delay="3650 days")
+    table = lt.BatchTable(shared_folder(spark, "lines"), "source_file string, level string, raw string")
+    writer = entries.select("source_file", "level", "raw").writeStream.foreachBatch(table.write)
+    writer.option("checkpointLocation", shared_folder(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return table.read(spark)
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = lt.stream_logs(spark, _files(spark, sf_dir))
     folder = shared_folder(spark, "alerts")
@@ -332,6 +359,7 @@ def queries() -> dict[str, Query]:
         "baseline_patterns": _on_entries(lt.baseline_patterns),
         "baseline_metrics": baseline_metrics,
         "top_error_patterns": _on_entries(lambda e: lt.top_error_patterns(lt.error_patterns(e))),
+        "heavy_error_patterns": _on_entries(lt.heavy_error_patterns),
         "keyword_hits": _on_lines(lambda d: lt.ranked(hits(d), "keyword")),
         "hourly_activity": _on_entries(lambda e: lt.hourly_activity(e).orderBy("hour")),
         "file_counts": _on_lines(lambda d: lt.ranked(lt.file_counts(d), "source_file")),
@@ -345,6 +373,9 @@ def queries() -> dict[str, Query]:
         "stream_merged_metrics": stream_merged_metrics,
         "stream_time_range": stream_time_range,
         "stream_alerts": stream_alerts,
+        "stream_hours": stream_hours,
+        "stream_expiring_metrics": stream_expiring_metrics,
+        "stream_distinct_lines": stream_distinct_lines,
         "stream_after_batch": stream_after_batch,
         "stream_after_batch_overview": stream_after_batch_overview,
         "tail_metrics": tail_metrics,

@@ -13,6 +13,7 @@ from logtally.operators.counts import (
     ranked,
     top_error_patterns,
 )
+from logtally.operators.heavy import heavy_error_patterns
 from logtally.operators.parse import entry_display, parse_logs
 from logtally.operators.select import (
     chronological,
@@ -31,6 +32,7 @@ from logtally.sources.files import scan_logs, scan_numbered_logs, stream_logs, v
 from logtally.sources.synthetic import generate_logs, write_records
 from logtally.sources.tail import finished_positions, read_until, tail_logs
 from logtally.streaming.live import (
+    EPOCH_SCHEMA,
     TIME_RANGE_SCHEMA,
     alerts,
     latest,
@@ -43,5 +45,6 @@ from logtally.streaming.live import (
     update_table,
 )
 from logtally.streaming.tables import BatchTable
+from logtally.streaming.windows import distinct_lines, late_rows, state_rows, windowed_hours, with_event_time
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -19,6 +19,8 @@ from logtally.streaming.tables import MERGE_EVERY, METRIC_SCHEMA, BatchTable, ne
 
 POLL_MS = 500
 ALERT_SCHEMA = "source_file string, level string, raw string"
+#: Of running metrics that expire.
+EPOCH_SCHEMA = "metric string, key string, epoch bigint, count bigint"
 TIME_RANGE_SCHEMA = "earliest timestamp_ntz, latest timestamp_ntz"
 
 
@@ -26,13 +28,22 @@ def running_metrics(
     entries: DataFrame,
     rules: Sequence[Rule] = ERROR_RULES,
     keywords: Sequence[str] = DEFAULT_KEYWORDS,
+    expire: str | None = None,
 ) -> DataFrame:
     """``metric, key, count`` so far, as an aggregate to be written in update mode.
 
-    The state holds a row per key. Exception names, hours and files add keys over time; the rest
-    is fixed.
+    The state holds a row per key. Exception names, hours and files add keys over time, and without
+    ``expire`` they stay. With it (a duration such as ``10 minutes``) counts are kept by ``epoch``, a stretch of the
+    processing time of that length: the state drops an epoch's keys once two more have begun, while its last
+    counts stay in the update table, and the epochs add up to the exact totals (:func:`add_up`). Lines are put
+    into the epoch in which they arrive, so none can be late.
     """
-    return metric_rows(entries, rules, keywords).groupBy("metric", "key").count()
+    rows = metric_rows(entries, rules, keywords)
+    if expire is None:
+        return rows.groupBy("metric", "key").count()
+    arrived = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", expire)
+    counts = arrived.groupBy(F.window("_arrived", expire).alias("window"), "metric", "key").count()
+    return counts.select("metric", "key", F.unix_micros("window.start").alias("epoch"), "count")
 
 
 def running_time_range(entries: DataFrame) -> DataFrame:
@@ -83,7 +94,7 @@ def update_table(
 
 
 def _keys_of(updates: DataFrame, keys: Sequence[str] | None) -> list[str]:
-    return [c for c in ("metric", "key") if c in updates.columns] if keys is None else list(keys)
+    return [c for c in ("metric", "key", "epoch") if c in updates.columns] if keys is None else list(keys)
 
 
 def latest(spark: SparkSession, folder: str, schema: str = METRIC_SCHEMA, keys: Sequence[str] | None = None) -> DataFrame:

@@ -305,6 +305,9 @@ ORACLES = {
     "top_error_patterns": PATTERNS
     + " SELECT pattern, count, CAST(row_number() OVER (ORDER BY count DESC, pattern) AS INT) AS rank FROM patterns"
     " ORDER BY count DESC, pattern LIMIT 10",
+    "heavy_error_patterns": PATTERNS
+    + " SELECT pattern, count, CAST(row_number() OVER (ORDER BY count DESC, pattern) AS INT) AS rank FROM patterns"
+    " ORDER BY count DESC, pattern LIMIT 10",
     "keyword_hits": ENTRIES
     + KEYWORD_ROWS
     + " SELECT keyword, count(*) AS count FROM keyword_rows GROUP BY keyword ORDER BY 2 DESC, 1",
@@ -328,6 +331,11 @@ ORACLES = {
     "stream_merged_metrics": _ALL_METRICS,
     "stream_time_range": ENTRIES + " SELECT min(ts) AS earliest, max(ts) AS latest FROM entries",
     "stream_alerts": ENTRIES + " SELECT source_file, level, raw FROM entries WHERE level IN ('ERROR', 'FATAL')",
+    "stream_hours": ENTRIES
+    + " SELECT hour, count(*) AS count FROM entries WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR"
+    " <= (SELECT max(ts) FROM entries) - INTERVAL 6 HOURS GROUP BY hour",
+    "stream_expiring_metrics": _ALL_METRICS,
+    "stream_distinct_lines": ENTRIES + " SELECT source_file, level, raw FROM entries WHERE ts IS NOT NULL",
     "stream_after_batch": _ALL_METRICS,
     "stream_after_batch_overview": ENTRIES
     + " SELECT count(*) AS total, count(*) AS processed, count(*) FILTER (malformed) AS malformed,"

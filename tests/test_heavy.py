@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import logtally as lt
+from logtally.operators.heavy import error_bound, top_names
+
+
+def errors(spark, rows, name):
+    """Error lines with one exception name each, given as an SQL expression over ``id``."""
+    raw = F.concat(F.lit("2024-06-01 08:00:00 ERROR [t] l - "), F.expr(name), F.lit("Error"))
+    return lt.parse_logs(spark.range(rows).select(raw.alias("raw"), F.lit("a.log").alias("source_file"), F.col("id").alias("line_number")))
+
+
+def top(df):
+    return [(r["rank"], r["pattern"], r["count"]) for r in df.orderBy("rank").collect()]
+
+
+def test_the_top_of_a_million_names(spark):
+    """Half of the lines have a name of their own; the others one of 30, each more frequent than the next."""
+    name = "CASE WHEN id % 2 = 0 THEN 'N' || id ELSE 'Hot' || CAST(floor(sqrt(pmod(hash(id), 900))) AS INT) END"
+    entries = errors(spark, 2_000_000, name)
+    names = lt.error_pattern_rows(entries).select("pattern").checkpoint()
+    assert names.select("pattern").distinct().count() > 1_000_000
+    expected = top(lt.top_error_patterns(names.groupBy("pattern").count()))
+    found = top_names(names)
+    assert found is not None and top(found) == expected
+    assert top(lt.heavy_error_patterns(entries)) == expected
+    with_ties = names.filter("pattern LIKE 'Hot2%' OR pattern LIKE 'N1%'").union(names.filter("pattern = 'Hot29Error'"))
+    assert top(top_names(with_ties, 3)) == top(lt.top_error_patterns(with_ties.groupBy("pattern").count(), 3))
+
+
+@pytest.mark.parametrize("tracked", [8, 100, 10_000])
+def test_what_is_not_proven_is_counted(spark, tracked):
+    entries = errors(spark, 5000, "'E' || id % 700")
+    expected = top(lt.top_error_patterns(lt.error_patterns(entries), 5))
+    assert top(lt.heavy_error_patterns(entries, 5, tracked=tracked)) == expected
+    assert expected[0] == (1, "E0Error", 8)
+    flat = lt.error_pattern_rows(errors(spark, 3000, "'E' || id")).select("pattern")
+    assert top_names(flat, 3, tracked=8) is None
+
+
+def test_no_left_out_name_is_above_the_bound(spark):
+    names = spark.range(200_000).selectExpr("'n' || CAST(floor(pow(pmod(hash(id), 1000003) / 1000003D, 4) * 50000) AS INT) AS pattern").checkpoint()
+    listed = {r["item"] for r in names.agg(F.expr("approx_top_k(pattern, 200, 200)").alias("t")).first()["t"]}
+    others = [r["count"] for r in names.groupBy("pattern").count().collect() if r["pattern"] not in listed]
+    assert max(others) <= error_bound(200_000, 200)
+
+
+def test_few_names_and_none(spark):
+    few = errors(spark, 10, "'E' || id % 2")
+    assert top(lt.heavy_error_patterns(few)) == [(1, "E0Error", 5), (2, "E1Error", 5)]
+    assert lt.heavy_error_patterns(few.limit(0)).count() == 0
