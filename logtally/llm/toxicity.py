@@ -12,7 +12,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,6 +24,8 @@ from logtally.llm.common import map_batches, of_column, slices
 
 #: Labelled rows of each class that the training takes, by expectation; four times that in all is a hard limit.
 ROWS_PER_CLASS = 1500
+#: Further labelled rows that are looked through for sentences with identity terms, in multiples of ``ROWS_PER_CLASS``.
+SWAP_ROWS = 12
 #: Rows that a feature occurs in at least; a few copies of one text do not make its words telling.
 LEAST_ROWS = 4
 BUCKETS = 1 << 20
@@ -35,21 +37,70 @@ SWAPS_PER_ROW = 64
 _HELD_SWAPS = 8
 _CACHE_WORDS = 300_000
 
-# Identity terms that may stand for one another; the last of a group is its neutral word.
-IDENTITY_GROUPS = (
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "catholic", "atheist", "religious"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "catholics", "atheists", "people"),
-    ("black", "white", "asian", "latino", "african", "european", "arab", "indigenous", "local"),
-    ("women", "men", "girls", "boys", "people"),
-    ("woman", "man", "girl", "boy", "person"),
-    ("she", "he", "they"),
-    ("gay", "lesbian", "bisexual", "straight", "transgender", "queer", "single"),
-    ("american", "chinese", "indian", "mexican", "russian", "german", "french", "turkish", "foreign"),
-    ("immigrants", "refugees", "foreigners", "citizens", "residents"),
-    ("old", "young", "elderly", "adult"),
-    ("disabled", "blind", "deaf", "healthy"),
-)
-SWAPS = {term: [u for u in group if u != term] for group in IDENTITY_GROUPS for term in group}
+# Identity terms that may stand for one another, by language; the last of a group is its neutral word.
+IDENTITY_GROUPS: dict[str, tuple[tuple[str, ...], ...]] = {
+    "en": (
+        ("muslim", "christian", "jewish", "hindu", "buddhist", "catholic", "atheist", "religious"),
+        ("muslims", "christians", "jews", "hindus", "buddhists", "catholics", "atheists", "people"),
+        ("black", "white", "asian", "latino", "african", "european", "arab", "indigenous", "local"),
+        ("women", "men", "girls", "boys", "people"),
+        ("woman", "man", "girl", "boy", "person"),
+        ("she", "he", "they"),
+        ("gay", "lesbian", "bisexual", "straight", "transgender", "queer", "single"),
+        ("american", "chinese", "indian", "mexican", "russian", "german", "french", "turkish", "foreign"),
+        ("immigrants", "refugees", "foreigners", "citizens", "residents"),
+        ("old", "young", "elderly", "adult"),
+        ("disabled", "blind", "deaf", "healthy"),
+    ),
+    "de": (
+        ("muslimisch", "christlich", "jüdisch", "katholisch", "evangelisch", "religiös"),
+        ("muslime", "christen", "juden", "hindus", "buddhisten", "katholiken", "atheisten", "leute"),
+        ("schwarze", "weiße", "asiatische", "afrikanische", "arabische", "einheimische"),
+        ("frauen", "männer", "mädchen", "jungen", "menschen"),
+        ("frau", "mann", "person"),
+        ("schwule", "lesben", "homosexuelle", "heterosexuelle", "ledige"),
+        ("türken", "polen", "russen", "araber", "chinesen", "deutsche", "franzosen", "ausländer", "bürger"),
+        ("flüchtlinge", "einwanderer", "migranten", "bewohner"),
+        ("behinderte", "blinde", "gehörlose", "gesunde"),
+    ),
+    "fr": (
+        ("musulman", "chrétien", "juif", "catholique", "bouddhiste", "athée", "religieux"),
+        ("musulmans", "chrétiens", "juifs", "catholiques", "bouddhistes", "athées", "gens"),
+        ("noir", "blanc", "asiatique", "africain", "arabe", "européen", "local"),
+        ("femmes", "hommes", "filles", "garçons", "personnes"),
+        ("femme", "homme", "fille", "garçon", "personne"),
+        ("gays", "lesbiennes", "homosexuels", "hétérosexuels", "célibataires"),
+        ("américains", "chinois", "allemands", "russes", "turcs", "français", "étrangers"),
+        ("immigrés", "réfugiés", "migrants", "citoyens", "habitants"),
+        ("handicapés", "aveugles", "sourds", "valides"),
+    ),
+    "es": (
+        ("musulmán", "cristiano", "judío", "católico", "budista", "ateo", "religioso"),
+        ("musulmanes", "cristianos", "judíos", "católicos", "budistas", "ateos", "personas"),
+        ("negro", "blanco", "asiático", "africano", "árabe", "europeo", "local"),
+        ("mujeres", "hombres", "chicas", "chicos", "personas"),
+        ("mujer", "hombre", "chica", "chico", "persona"),
+        ("gays", "lesbianas", "homosexuales", "heterosexuales", "solteros"),
+        ("americanos", "chinos", "mexicanos", "rusos", "alemanes", "españoles", "extranjeros"),
+        ("inmigrantes", "refugiados", "migrantes", "ciudadanos", "vecinos"),
+        ("discapacitados", "ciegos", "sordos", "sanos"),
+    ),
+}
+
+Groups = Mapping[str, Sequence[Sequence[str]]]
+
+
+def swaps_of(groups: Groups = IDENTITY_GROUPS) -> dict[str, list[str]]:
+    """Each term with the others of its groups."""
+    out: dict[str, list[str]] = {}
+    for group in (g for language in groups.values() for g in language):
+        for term in group:
+            own = out.setdefault(term, [])
+            own += [other for other in group if other != term and other not in own]
+    return out
+
+
+SWAPS = swaps_of()
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -74,14 +125,14 @@ def _by_hash(item: tuple[tuple[frozenset[int], frozenset[int]], int]) -> tuple[i
     return digest, sorted(come), sorted(go)
 
 
-def swaps(text: str | None, limit: int = SWAPS_PER_ROW) -> list[tuple[frozenset[int], frozenset[int]]]:
+def swaps(text: str | None, limit: int = SWAPS_PER_ROW, others: Mapping[str, Sequence[str]] = SWAPS) -> list[tuple[frozenset[int], frozenset[int]]]:
     """For each sentence with an identity term, and each swap of it: the features that come and that go."""
     out: dict[tuple[frozenset[int], frozenset[int]], int] = {}
     for sentence in _SENTENCE.findall((text or "").lower()):
         found = set(_WORD.findall(sentence))
-        for term in sorted(found & SWAPS.keys()):
+        for term in sorted(found & others.keys()):
             before, rest = feature_set(found), found - {term}
-            for other in SWAPS[term]:
+            for other in others[term]:
                 after = feature_set(rest | {other})
                 come, go = after - before, before - after
                 out.setdefault((frozenset(come), frozenset(go)), zlib.crc32(repr((sorted(come), sorted(go))).encode()))
@@ -197,12 +248,19 @@ def fit(
 
 
 def training_sample(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = ROWS_PER_CLASS
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    per_class: int = ROWS_PER_CLASS,
+    groups: Groups = IDENTITY_GROUPS,
 ) -> DataFrame:
-    """``(label, kind, features)``: the sampled rows (kind 0) and the swaps of their sentences (kind 1).
+    """``(label, kind, features)``: the sampled rows (kind 0) and the distinct swaps of labelled sentences (kind 1).
 
     About ``per_class`` labels of each class are chosen by a hash of the id, at most four times that in
-    all; only those are joined to their texts. An id with several labels counts as toxic if one says so;
+    all; only those are joined to their texts. Swaps are taken from these and ``SWAP_ROWS`` times as many further
+    labelled rows, as few rows hold a term. An id with several labels counts as toxic if one says so;
     of several rows of an id, the one of smallest text hash is taken.
     A swap has the features that it adds and, as ``-1 - feature``, those that it removes.
     """
@@ -212,29 +270,37 @@ def training_sample(
     for value, count in counts.items():
         rate = F.when(F.col(label) == value, per_class / count).otherwise(rate)
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity sample")), F.lit(1 << 30)) / (1 << 30)
-    chosen = labels.filter(draw < rate).orderBy(draw, id_col).limit(4 * per_class).select(id_col, F.col(label).cast("int").alias("label"))
+    ranked = labels.withColumn("_draw", draw).withColumn("_own", draw < rate).orderBy("_draw", id_col)
+    chosen = ranked.filter("_own").limit(4 * per_class).union(ranked.filter("NOT _own").limit(SWAP_ROWS * per_class))
+    chosen = chosen.select(id_col, F.col(label).cast("int").alias("label"), F.col("_own").alias("own"))
+    others = swaps_of(groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, int, list[int]]] = []
-            for t, y in zip(batch.column(text).to_pylist(), batch.column("label").to_pylist(), strict=True):
-                out.append((y, 0, sorted(feature_set(words(t)))))
-                out += [(y, 1, [*sorted(a), *(-1 - f for f in sorted(b))]) for a, b in swaps(t)]
+            for t, y, own in zip(*(batch.column(c).to_pylist() for c in (text, "label", "own")), strict=True):
+                if own:
+                    out.append((y, 0, sorted(feature_set(words(t)))))
+                out += [(0, 1, [*sorted(a), *(-1 - f for f in sorted(b))]) for a, b in swaps(t, others=others)]
             kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32())]
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["label", "kind", "features"])
 
-    # The sample's bound is a parameter: 4 * per_class rows of 12 bytes.
+    # The sample's bound is a parameter: (4 + SWAP_ROWS) * per_class rows of 13 bytes.
     found = docs.select(id_col, text).join(F.broadcast(chosen), id_col)
-    found = found.groupBy(id_col, "label").agg(F.min_by(text, F.xxhash64(text)).alias(text))
-    return map_batches(found.select(text, "label"), run, "label int, kind int, features array<int>")
+    found = found.groupBy(id_col, "label", "own").agg(F.min_by(text, F.xxhash64(text)).alias(text))
+    sample = map_batches(found.select(text, "label", "own"), run, "label int, kind int, features array<int>")
+    # Rows stay as they are, equal swaps are one.
+    counted = sample.groupBy("label", "kind", "features").count()
+    times = F.when(F.col("kind") == 0, F.col("count")).otherwise(1).cast("int")
+    return counted.select("label", "kind", "features", F.explode(F.sequence(F.lit(1), times))).drop("col")
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = ROWS_PER_CLASS, **penalties
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = ROWS_PER_CLASS, groups: Groups = IDENTITY_GROUPS, **penalties
 ) -> ToxicityModel:
     """Fit on a bounded sample of labelled rows; the driver holds their feature numbers, not their texts."""
-    rows = training_sample(docs, labels, id_col, text, label, per_class).collect()
+    rows = training_sample(docs, labels, id_col, text, label, per_class, groups).collect()
     rows.sort(key=lambda r: (r["kind"], r["label"], r["features"]))
     own = [r for r in rows if not r["kind"]]
     pairs = {tuple(r["features"]) for r in rows if r["kind"]}

@@ -112,6 +112,24 @@ def test_the_query_on_held_out_rows(spark):
     assert np.mean(toxic) > 0.88 and np.mean(clean) < 0.02
 
 
+@pytest.mark.parametrize("language", sorted(toxicity.IDENTITY_GROUPS))
+def test_false_positives_on_neutral_mentions_in_each_language(spark, language):
+    """The penalty learns from labelled rows that hold a term, whatever its language; toxic mentions are still found."""
+    rng = random.Random(language)
+    term, other = toxicity.IDENTITY_GROUPS[language][1][:2]
+    rows = [(t.replace("muslim", term).replace("Muslim", term).replace("christian", other), y) for t, y in corpus(rng, 900, rare=0.4)]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(rows)], "doc_id bigint, toxic int")
+    neutral = [sentence(rng, term) for _ in range(200)]
+    toxic = [sentence(rng, term, "vermin") for _ in range(200)]
+    rate = {}
+    for strength in (0.0, 20.0):
+        score = toxicity.train(docs, labels, counterfactual=strength).scorer()
+        rate[strength] = (score(neutral) >= 0.5).mean(), (score(toxic) >= 0.5).mean()
+    assert rate[0.0][0] > 0.5 and rate[20.0][0] < 0.05, rate
+    assert rate[20.0][1] > 0.95, rate
+
+
 def test_a_repeated_id_gives_one_row_of_the_sample(spark):
     docs = spark.createDataFrame([(1, f"text number {k % 9}") for k in range(300)] + [(2, "another text")], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
@@ -121,7 +139,7 @@ def test_a_repeated_id_gives_one_row_of_the_sample(spark):
 
 
 def test_swaps_of_a_long_text_are_of_all_its_sentences():
-    early, late = (" ".join(f"A {term} came." for k in groups for term in toxicity.IDENTITY_GROUPS[k]) for groups in ((0, 1), (6, 7)))
+    early, late = (" ".join(f"A {term} came." for k in groups for term in toxicity.IDENTITY_GROUPS["en"][k]) for groups in ((0, 1), (6, 7)))
     for limit in (10, 30):
         found = swaps(f"{early} {late}", limit)
         assert len(found) == limit and set(found) <= set(swaps(f"{early} {late}", 10_000))
