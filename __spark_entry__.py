@@ -11,6 +11,7 @@ import importlib
 import os
 import shutil
 import tempfile
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +38,17 @@ from oracles import (
 
 
 def _optional(name: str):
-    """A module that an installation may lack; an error inside it is still an error."""
+    """A module that an installation may lack, or that needs one that it lacks; any other error in it is one."""
     try:
         return importlib.import_module(name)
     except ModuleNotFoundError as error:
-        if error.name and (name == error.name or name.startswith(f"{error.name}.")):
+        missing = error.name or ""
+        if name == missing or name.startswith(f"{missing}."):
             return None
-        raise
+        if missing.split(".")[0] in ("logtally", "corpus_pipeline"):
+            raise
+        warnings.warn(f"{name} is left out, as {missing} is not installed", stacklevel=2)
+        return None
 
 
 corpus = _optional("logtally.llm.queries")

@@ -46,3 +46,14 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["metric", "key", "count"]
+
+
+def test_a_missing_library_takes_only_the_optional_queries(monkeypatch, tmp_path):
+    (tmp_path / "needs_more.py").write_text("import not_installed_anywhere\n")
+    (tmp_path / "broken.py").write_text("import logtally.no_such_module\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    with pytest.warns(UserWarning, match="not_installed_anywhere"):
+        assert entry_points._optional("needs_more") is None
+    assert entry_points._optional("not_there_at_all") is None
+    with pytest.raises(ModuleNotFoundError):
+        entry_points._optional("broken")
