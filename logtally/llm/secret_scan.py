@@ -39,6 +39,8 @@ KINDS = (
 OWNED = Kind("owned", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}", 0, 20)
 #: Owners from which on a value counts as an example, and owners and repositories that a live one has at most.
 EXAMPLE_OWNERS, LIVE_OWNERS, LIVE_REPOSITORIES = 3, 1, 3
+#: Elements of a block of a running total.
+RUN = 512
 
 
 def _let(value: Column, body) -> Column:
@@ -46,6 +48,33 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def running(values: Column, zero: Column, merge) -> Column:
+    """For each element what ``merge`` makes of ``zero`` and all elements before it; ``merge`` is associative.
+
+    Appending to an array copies it, so this goes by blocks of ``RUN`` elements: totals of the blocks first, then
+    what comes before each block, then within. Time grows with the elements up to some millions of them.
+    """
+
+    def within(block: Column, start: Column) -> Column:
+        # The last is what comes before the next block.
+        return F.aggregate(
+            block,
+            F.array(start),
+            lambda out, value: F.array_append(out, merge(F.element_at(out, -1), value)),
+            lambda out: F.slice(out, F.lit(1), F.size(block)),
+        )
+
+    def blocked(blocks: Column) -> Column:
+        starts = within(F.transform(blocks, lambda block: F.aggregate(block, zero, merge)), zero)
+        return F.flatten(F.zip_with(blocks, starts, within))
+
+    def cut(array: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(array) - 1) / RUN).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(array, k * RUN + 1, F.lit(RUN)))
+
+    return _let(_let(values, cut), blocked)
+
+
 def spans_of(text: Column, kind: Kind, order: int) -> Column:
     """``array<struct<start, kind, end, value>>`` of a pattern's matches, in code points; value is a hash.
 
@@ -56,34 +85,52 @@ def spans_of(text: Column, kind: Kind, order: int) -> Column:
     def placed(found: Column) -> Column:
         between = F.split(text, kind.pattern, -1)
         values = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else found
-        rows = F.arrays_zip(between.alias("gap"), found.alias("match"), values.alias("value"))
-        # One past the last match there is a last gap without one.
-        rows = F.filter(rows, lambda r: r["match"].isNotNull())
-        start = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(0).cast("bigint").alias("at"))
-        starts = F.aggregate(
-            rows,
-            start,
-            lambda a, r: F.struct(
-                F.array_append(a["starts"], a["at"] + F.char_length(r["gap"])).alias("starts"),
-                (a["at"] + F.char_length(r["gap"]) + F.char_length(r["match"])).alias("at"),
-            ),
-            lambda a: a["starts"],
-        )
-        spans = F.zip_with(
-            starts,
-            rows,
-            lambda s, r: F.struct(
-                s.alias("start"),
-                F.lit(order).alias("kind"),
-                (s + F.char_length(r["match"])).alias("end"),
-                F.when(F.char_length(r["value"]) >= kind.least, F.xxhash64(r["value"])).alias("value"),
+        rows = F.zip_with(
+            # One past the last match there is a last gap without one.
+            F.slice(between, F.lit(1), F.size(found)),
+            F.arrays_zip(found.alias("match"), values.alias("value")),
+            lambda gap, m: F.struct(
+                F.char_length(gap).cast("bigint").alias("gap"),
+                F.char_length(m["match"]).cast("bigint").alias("length"),
+                F.when(F.char_length(m["value"]) >= kind.least, F.xxhash64(m["value"])).alias("value"),
             ),
         )
-        return F.filter(spans, lambda s: s["value"].isNotNull())
+
+        def spans(rows: Column) -> Column:
+            taken = F.transform(rows, lambda r: r["gap"] + r["length"])
+            starts = running(taken, F.lit(0).cast("bigint"), lambda a, n: a + n)
+
+            def span(r: Column, at: Column) -> Column:
+                start = at + r["gap"]
+                return F.struct(start.alias("start"), F.lit(order).alias("kind"), (start + r["length"]).alias("end"), r["value"].alias("value"))
+
+            return F.filter(F.zip_with(rows, starts, span), lambda s: s["value"].isNotNull())
+
+        return _let(rows, spans)
 
     return _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
 
 
+def apart(more: Column, base: Column) -> Column:
+    """The spans of ``more`` that overlap none of ``base``; those of ``more`` do not overlap one another.
+
+    A base span overlaps if it starts before the other's end and ends behind its start. So the starts of the
+    one and the ends of the other are sorted together, and the furthest end of the base spans before each is kept.
+    """
+    zero, no_span = F.lit(0).cast("bigint"), F.lit(None).cast("struct<start:bigint,kind:int,end:bigint,value:bigint>")
+    # At one place an end sorts before a start, as spans that only touch do not overlap.
+    ends = F.transform(more, lambda m: F.struct(m["end"].alias("at"), F.lit(0).alias("order"), zero.alias("end"), m.alias("span")))
+    starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("order"), b["end"].alias("end"), no_span.alias("span")))
+
+    def kept(events: Column) -> Column:
+        furthest = running(F.transform(events, lambda e: e["end"]), zero, lambda a, end: F.greatest(a, end))
+        free = F.zip_with(events, furthest, lambda e, end: F.when(end <= e["span"]["start"], e["span"]))
+        return F.filter(free, lambda m: m.isNotNull())
+
+    joined = F.sort_array(F.concat(ends, starts))
+    return F.when((F.size(more) == 0) | (F.size(base) == 0), more).otherwise(_let(joined, kept))
+
+
 def candidates(df: DataFrame, id_col: str, text: str, owner: str, repository: Column) -> DataFrame:
     """``(id, row, owner, repository, base, more)`` of every row; ``row`` is a hash of the text."""
     texts = df.select(
@@ -94,12 +141,11 @@ def candidates(df: DataFrame, id_col: str, text: str, owner: str, repository: Co
         F.coalesce(text, F.lit("")).alias("text"),
     )
     text_col = F.col("text")
-    base = F.array_sort(F.concat(*(spans_of(text_col, kind, k) for k, kind in enumerate(KINDS))))
+    base = F.sort_array(F.concat(*(spans_of(text_col, kind, k) for k, kind in enumerate(KINDS))))
     found = evaluate_once(texts, "base", base)
     found = evaluate_once(found, "more", spans_of(text_col, OWNED, len(KINDS)))
     # A token inside a pattern match is that match's.
-    apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
-    return found.select("id", "row", "owner", "repository", "base", apart.alias("more"))
+    return found.select("id", "row", "owner", "repository", "base", apart(F.col("more"), F.col("base")).alias("more"))
 
 
 def ownership(found: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from logtally.llm import queries, secret_scan
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -102,3 +104,22 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "token=abcdefghijklmnop", "a")], "doc_id bigint, text string, source string")
     plan = secret_scan.secret_scan(df)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_running_totals_over_several_blocks(spark):
+    zero = F.lit(0).cast("bigint")
+    for n in (0, 1, secret_scan.RUN, secret_scan.RUN + 1, 3 * secret_scan.RUN + 7):
+        values = [(k * 7919) % 101 for k in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<bigint>")
+        sums, most = df.select(
+            secret_scan.running(F.col("v"), zero, lambda a, x: a + x), secret_scan.running(F.col("v"), zero, lambda a, x: F.greatest(a, x))
+        ).first()
+        assert sums == [sum(values[:k]) for k in range(n)]
+        assert most == [max(values[:k], default=0) for k in range(n)]
+
+
+def test_a_text_of_very_many_matches(spark):
+    rng = random.Random(4)
+    parts = ["token={0:012x}z", "AKIA{0:016d}", "Zz{0:06d}qwertyuiopasdfghjkl", "secret:Ab{0:020d}", "{0:024x}"]
+    long = " ".join(rng.choice(parts).format(k) for k in range(3000)) + "é" + "x".join(rng.choice(parts).format(k) for k in range(300))
+    check(spark, [(1, long, "a", "a"), (2, None, "b", "b"), (3, long[:900], "c", "c")])
