@@ -9,8 +9,9 @@ library, which takes the best pair first and the leftmost of equal ones.
 
 Words do not influence each other, as no piece of the vocabulary holds a space mark behind another
 character, so a text is the sequence of its words, and each word is encoded once. Words of over
-``LONG`` symbols (unbroken scripts, long runs of spaces) go through a queue of pairs instead, as a round
-would pass over all of their symbols for each merge.
+``LONG`` symbols (unbroken scripts, long runs of spaces) lie in one flat array whose symbols know their
+neighbours. There a round takes the best rank that any pair has and merges all its pairs at once, the leftmost of
+overlapping ones; it stops short where a merge makes a pair that is as good or better, which then comes first.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from logtally.llm.common import map_batches, slices
 
 SPACE = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
-#: Symbols of a word that goes through rounds at most, and words that take part in them together.
+#: Symbols of a word that goes through rounds of words of equal length at most, and words that take part in them together.
 LONG, STEP_WORDS = 64, 1 << 16
 #: Words whose ids a worker remembers at most; beyond that it starts anew. Longer words are not kept.
 CACHE_WORDS, CACHE_CHARS = 400_000, 48
@@ -147,7 +148,6 @@ class PieceModel:
                 a, b = symbol.get(piece[:cut]), symbol.get(piece[cut:])
                 if a is not None and b is not None:
                     pairs[a, b] = i
-        self.pairs = pairs
         self.table = PairTable(pairs, len(self.char_of))
         # Characters up to the last in the vocabulary; the rest are unknown.
         self.by_char = np.full(max(self.symbol_of, default=0) + 2, -1, np.int32)
@@ -184,9 +184,10 @@ class PieceModel:
         by_length: dict[int, list[int]] = {}
         for k, word in enumerate(words):
             by_length.setdefault(len(word), []).append(k)
-        for length in [n for n in by_length if n > LONG]:
-            for k in by_length.pop(length):
-                out[k] = self._ids(np.array(self._queued(self._symbols([words[k]]).tolist()), np.int32)).tobytes()
+        long = [k for n in [n for n in by_length if n > LONG] for k in by_length.pop(n)]
+        if long:
+            for k, symbols in zip(long, self._flat_rounds([words[k] for k in long]), strict=True):
+                self._emit(symbols[None, :], np.array([k]), out)
         symbol, rank, owner = np.zeros((0, 0), np.int32), np.zeros((0, 0), np.int32), np.zeros(0, np.int64)
         for n in range(max(by_length, default=0), 0, -1):
             if fresh := by_length.get(n):
@@ -235,31 +236,70 @@ class PieceModel:
         for i, k in enumerate(owner.tolist()):
             out[k] = blob[i * size : (i + 1) * size]
 
-    def _queued(self, symbols: list[int]) -> list[int]:
-        """Merge the rest of one word pair by pair, best and then leftmost first."""
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue: list[tuple[int, int, int, int, int]] = []
-
-        def offer(a: int) -> None:
-            b = after[a] if a >= 0 else n
-            if b < n and (merged := self.pairs.get((symbols[a], symbols[b]))) is not None:
-                heapq.heappush(queue, (int(self.rank[merged]), a, symbols[a], symbols[b], merged))
-
-        for a in range(n):
-            offer(a)
-        gone = bytearray(n)
-        while queue:
-            _, a, left, right, merged = heapq.heappop(queue)
-            b = after[a]
-            if gone[a] or b >= n or symbols[a] != left or symbols[b] != right:
+    def _flat_rounds(self, words: Sequence[str]) -> list[np.ndarray]:
+        """The symbols of each word once no pair is left; words of any length, all in one array."""
+        symbol = np.append(self._symbols(words), np.int32(-1))
+        n = len(symbol) - 1
+        ends = np.cumsum([len(w) for w in words])
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1] = n  # one past the array stands for no neighbour
+        before[np.r_[0, ends[:-1]]] = n
+        rank = np.full(n + 1, _NONE)  # of the pair of a symbol and the next
+        gone = np.zeros(n + 1, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def offer(at: np.ndarray) -> None:
+            """Look up the pairs that start at some places and put these down under their ranks."""
+            found = np.where(after[at] < n, self._ranks(symbol[at], symbol[after[at]]), _NONE)
+            rank[at] = found
+            at, found = at[found != _NONE], found[found != _NONE]
+            by_rank = np.argsort(found, kind="stable")
+            at, found = at[by_rank], found[by_rank]
+            if len(at):
+                starts = np.flatnonzero(np.diff(found, prepend=-1))
+                for r, places in zip(found[starts].tolist(), np.split(at, starts[1:]), strict=True):
+                    put(r, places)
+
+        def put(r: int, places: np.ndarray) -> None:
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(order, r)
+            waiting[r].append(places)
+
+        offer(np.arange(n))
+        while order:
+            r = heapq.heappop(order)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            every = at = at[~gone[at] & (rank[at] == r)]
+            if not len(at):
                 continue
-            symbols[a], gone[b], after[a] = merged, 1, after[b]
-            if after[a] < n:
-                before[after[a]] = a
-            offer(before[a])
-            offer(a)
-        return [s for s, out in zip(symbols, gone, strict=True) if not out]
+            # In a run of pairs that overlap, every other one from the first on.
+            heads = np.r_[True, after[at[:-1]] != at[1:]]
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(heads, place, 0))) % 2 == 0]
+            right = after[at]
+            merged = np.full(len(at), self.of_rank[r], np.int32)
+            if merged[0] < 0:
+                merged = self.table.merged(symbol[at], symbol[right])
+            # The pairs that merging one by one meets: with the left side merged already, the right one not yet.
+            left, beyond = before[at], after[right]
+            left_symbol = symbol[left]
+            beside = np.flatnonzero(left[1:] == right[:-1]) + 1
+            left_symbol[beside] = merged[beside - 1]
+            met = np.where(left < n, self._ranks(left_symbol, merged), _NONE)
+            met = np.minimum(met, np.where(beyond < n, self._ranks(merged, symbol[beyond]), _NONE))
+            better = np.flatnonzero(met <= r)
+            if len(better):
+                put(r, every)
+                at, right, merged, beyond = (a[: better[0] + 1] for a in (at, right, merged, beyond))
+            symbol[at], gone[right] = merged, True
+            after[at] = beyond
+            before[beyond] = at
+            left = before[at]
+            offer(np.unique(np.r_[left[left < n], at]))
+        stay = ~gone[:n]
+        return np.split(symbol[:n][stay], np.cumsum(np.add.reduceat(stay, np.r_[0, ends[:-1]], dtype=np.int64))[:-1])
 
     def _ids(self, symbols: np.ndarray) -> np.ndarray:
         """Symbols as ids; characters without a piece become their bytes, or the unknown id."""

@@ -51,9 +51,39 @@ def test_the_memory_of_words_changes_nothing(library, model, monkeypatch):
     assert len(encoder.plain) <= 50 or all(len(w) <= sentencepiece_bpe.CACHE_CHARS for w in encoder.plain)
 
 
-def test_a_long_word_goes_through_the_queue(library, model):
-    word = "".join(random.Random(2).choices("abcdefghij", k=20_000))
-    assert np.frombuffer(Encoder(model)([word])[0], np.int32).tolist() == library.encode(word)
+def test_long_words_go_through_rounds(library, model):
+    rng = random.Random(2)
+    pieces = [p for k in range(259, 31999) if "▁" not in (p := library.id_to_piece(k))]
+    words = ["".join(rng.choices("abcdefghij", k=20_000)), "ab" * 5000, "a" * 9999, "日本語한😀" * 700, " " * 4000]
+    words += ["".join(rng.choices(letters, k=rng.randint(65, 400))) for letters in ("ab", "ing", "ethaoins", "日本語中国", "=-_#") for _ in range(300)]
+    words += ["".join(rng.choices(pieces, k=rng.randint(30, 200))) for _ in range(500)]
+    words += ["the" + word + " in" + word[:70] for word in words[5:100]]
+    assert [np.frombuffer(raw, np.int32).tolist() for raw in Encoder(model)(words)] == library.encode(words)
+
+
+def test_rounds_stop_where_a_merge_makes_a_better_pair(library, model):
+    """Ranks in which a merged symbol's pairs come first, against merging pair by pair."""
+
+    def slowly(symbols: list[int]) -> list[int]:
+        while True:
+            pairs = [(int(r), k) for k, r in enumerate(model._ranks(np.array(symbols[:-1], np.int32), np.array(symbols[1:], np.int32)))]
+            r, k = min(pairs, default=(2**31 - 1, 0))
+            if r == 2**31 - 1:
+                return symbols
+            symbols[k : k + 2] = model.table.merged(np.array(symbols[k : k + 1]), np.array(symbols[k + 1 : k + 2])).tolist()
+
+    rng = random.Random(5)
+    kept, of = model.rank.copy(), model.of_rank.copy()
+    try:
+        for groups in (1, 3, 40, 20_000):
+            normal = np.flatnonzero(kept != kept.max())
+            model.rank[normal] = np.random.default_rng(groups).integers(0, groups, len(normal))
+            model.of_rank = np.full(len(model.char_of) + 1, -1, np.int32)
+            words = ["".join(rng.choices(letters, k=rng.randint(1, 90))) for letters in ("ab", "ing", "tion", "ethaoins") for _ in range(60)]
+            found = model._flat_rounds(words)
+            assert [f.tolist() for f in found] == [slowly(model._symbols([w]).tolist()) for w in words]
+    finally:
+        model.rank, model.of_rank = kept, of
 
 
 def test_decoding_any_ids(library, model):
