@@ -51,7 +51,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     word_chars < 2 * n_words OR word_chars > 15 * n_words OR 4 * n_symbols > n_words
     OR 2 * n_dup_lines > len(string_split(t, chr(10)))
     OR 10 * len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) < 6 * n_words
-    OR 10 * len(list_distinct(w)) < n_words
+    OR (10 * len(list_distinct(w)) < n_words AND len(list_distinct(w)) * len(list_distinct(w)) < 4 * n_words)
     OR coalesce(list_max(list_transform(w, lambda x: length(x))), 0) > 1000) AS kept
 FROM judged
 """

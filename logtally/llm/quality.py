@@ -20,8 +20,8 @@ from logtally.operators.once import evaluate_once
 
 #: Rows of the sample that costs and selectivities are estimated on, about.
 SAMPLE_ROWS = 1000
-#: Rows that a rule is timed on, about; the sample is repeated up to them.
-TIMED_ROWS = 5000
+#: Rows that a rule is timed on, about, and their words; the sample is repeated up to them.
+TIMED_ROWS, TIMED_WORDS = 5000, 2_000_000
 _BLANK = " \t\n\x0b\f\r"
 _SYMBOLS = "[^#*$%&|<>]+"
 
@@ -92,18 +92,22 @@ def base_failed() -> Column:
 
 
 def default_rules(text: str = "text") -> tuple[Rule, ...]:
-    """Rules that ordinary prose of any length passes."""
+    """Rules that ordinary prose of any length passes.
+
+    Distinct words grow with about the root of a text's length, so their rule asks for a tenth of the words or for
+    twice that root, whichever is less.
+    """
     n = F.col("n_words")
     lines = F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1))
     letters = F.size(F.filter("words", lambda w: w.rlike(r"\p{L}")))
-    distinct = F.size(F.array_distinct("words"))
+    distinct = F.size(F.array_distinct("words")).cast("bigint")
     longest = F.aggregate("words", F.lit(0), lambda m, w: F.greatest(m, F.char_length(w)))
     return (
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("symbols", 4 * F.col("n_symbols") > n),
         Rule("duplicate_lines", 2 * F.col("n_dup_lines") > lines),
         Rule("words_with_letters", 10 * letters < 6 * n),
-        Rule("distinct_words", 10 * distinct < n),
+        Rule("distinct_words", _let(distinct, lambda d: (10 * d < n) & (d * d < 4 * n))),
         Rule("longest_word", longest > 1000),
     )
 
@@ -112,12 +116,12 @@ def profile(sample: DataFrame, rules: Sequence[Rule], rows: int = TIMED_ROWS) ->
     """For each rule the share of a sample (with the measures) that it rejects and its seconds a row.
 
     A job takes time of its own, which on a small sample is more than any rule's. So the sample is repeated
-    to about ``rows`` rows, and the time of a rule that looks at nothing is taken off.
+    to about ``rows`` rows, or ``TIMED_WORDS`` words if texts are long, and the time of a rule that looks at nothing is taken off.
     """
     sample = sample.persist()
     try:
-        size = sample.count()
-        times = max(1, -(-rows // max(size, 1)))
+        size, words = sample.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+        times = max(1, min(-(-rows // max(size, 1)), TIMED_WORDS // max(words, 1)))
         again = sample.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(times))))
 
         def timed(rejects: Column) -> tuple[int, float]:

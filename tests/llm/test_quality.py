@@ -37,7 +37,7 @@ def slow_kept(text: str | None) -> bool:
         or 4 * symbols > n
         or 2 * again > len(text.split("\n"))
         or 10 * letters < 6 * n
-        or 10 * len(set(found)) < n
+        or 10 * len(set(found)) < n and len(set(found)) ** 2 < 4 * n
         or max(map(len, found)) > 1000
     )
 
@@ -50,9 +50,19 @@ def texts() -> list[str | None]:
     prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
     out += [prose(n) for n in (49, 50, 60, 300)] + [prose(80) + " #" * k for k in (10, 40)]
     out += [prose(60) + " " + "z" * 1001, prose(60) + " 1" * 60, "\n".join([prose(20)] * 5 + [prose(300)]), prose(5) * 30]
+    out.append(" ".join(rng.choices([f"w{k}x" for k in range(25)], k=800)))
     return out + [prose(20_000), "same " * 30_000]
 
 
+def test_a_long_text_is_not_rejected_for_its_length(spark):
+    rng = random.Random(6)
+    many, few = ([f"{a}w{k}x" for k in range(n)] for a, n in (("a", 3000), ("b", 300)))
+    given = [" ".join(rng.choices(many, k=60_000)), " ".join(rng.choices(few, k=60_000))]
+    out = quality_filter(spark.createDataFrame(list(enumerate(given)), "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["kept"] for r in out} == {0: True, 1: False} == dict(enumerate(map(slow_kept, given)))
+    assert not any(r["base_failed"] for r in out)
+
+
 def test_measures_and_verdicts(spark):
     given = texts()
     rows = [(k, t, 1, "clash", "x") for k, t in enumerate(given)] + [(None, given[-3], 1, "", ""), (3, given[3], 1, "", "")]
