@@ -3,7 +3,8 @@
 Subwords are the letter 2- to 4-grams of each lower-cased word with a mark at both its ends, hashed
 into a table of embeddings. A text is the mean of its subwords' embeddings, and a softmax over a linear
 map of it gives the languages. Both are trained by stochastic gradient descent in numpy on a bounded
-sample; a temperature and a rejection threshold are then set on rows kept out of that training.
+sample; a temperature and a rejection threshold are then set on rows kept out of that training. Any number of
+languages can be told apart: a further one adds a column to the linear map, not to the table.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import map_batches, slices
+from logtally.llm.common import join_on, map_batches, slices, stored
 
 UNDETERMINED = "und"
-#: Rows of the training sample per language, languages that are told apart, and subwords drawn of a row.
-ROWS_PER_LANGUAGE, MAX_LANGUAGES, SUBWORDS_PER_ROW = 500, 256, 768
+#: Rows of the training sample per language and in all, about, and subwords drawn of a row.
+ROWS_PER_LANGUAGE, SAMPLE_ROWS, SUBWORDS_PER_ROW = 500, 64_000, 768
 BUCKETS, DIM = 1 << 16, 16
 GRAMS = (2, 3, 4)
 _SLICE = 1_000_000
@@ -74,14 +75,27 @@ def subwords(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class LanguageModel:
-    """What prediction needs: the logit that each bucket adds for each language, already averaged over."""
+    """What prediction needs. As mean and map are linear, ``table`` holds the embeddings or, if that is
+    narrower, what each bucket adds for each language; ``weights`` takes the table's mean to the languages."""
 
     languages: list[str]
-    logits: np.ndarray = field(repr=False)  # (BUCKETS, languages), float32
-    bias: np.ndarray
+    table: np.ndarray = field(repr=False)  # (width, BUCKETS), float32
+    weights: np.ndarray = field(repr=False)  # (width, languages)
+    bias: np.ndarray = field(repr=False)
     temperature: float = 1.0
     threshold: float = 0.0
 
+    @classmethod
+    def of(cls, languages: list[str], embeddings: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> LanguageModel:
+        if len(languages) < weights.shape[0]:
+            embeddings, weights = embeddings @ weights, np.eye(len(languages), dtype=np.float32)
+        return cls(languages, np.ascontiguousarray(embeddings.T), weights, bias)
+
+    @property
+    def logits(self) -> np.ndarray:
+        """What each bucket adds for each language."""
+        return self.table.T @ self.weights
+
     def scores(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and probability of each text; ``und`` and 0 where no letter is found."""
         bucket, counts = subwords(texts)
@@ -90,8 +104,8 @@ class LanguageModel:
         if not len(some) or not self.languages:
             return names, best
         starts = (np.cumsum(counts) - counts)[some]
-        sums = np.stack([np.add.reduceat(self.logits[:, k][bucket], starts, dtype=np.float64) for k in range(len(self.languages))], axis=1)
-        p = softmax((sums / counts[some, None] + self.bias) / self.temperature)
+        sums = np.stack([np.add.reduceat(column[bucket], starts, dtype=np.float64) for column in self.table], axis=1)
+        p = softmax((sums / counts[some, None] @ self.weights + self.bias) / self.temperature)
         for i, k, value in zip(some.tolist(), p.argmax(axis=1).tolist(), p.max(axis=1).tolist(), strict=True):
             names[i], best[i] = self.languages[k], value
         return names, best
@@ -113,9 +127,10 @@ def fit(rows: Sequence[Sequence[int]], labels: Sequence[str], epochs: int = 12,
     embeddings = rng.normal(0, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     weights, bias = np.zeros((DIM, len(languages)), np.float32), np.zeros(len(languages), np.float32)
     if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), bias)
+        return LanguageModel.of([], embeddings, weights, bias)
     bags = [np.asarray(r, np.int64) for r in rows]
-    y = np.array([languages.index(label) for label in labels])
+    number = {language: k for k, language in enumerate(languages)}
+    y = np.array([number[label] for label in labels])
     order = rng.permutation(len(bags))
     kept, train = order[: len(bags) // 5], order[len(bags) // 5 :]
     share = np.bincount(y[train], minlength=len(languages)) / len(train)
@@ -138,12 +153,17 @@ def fit(rows: Sequence[Sequence[int]], labels: Sequence[str], epochs: int = 12,
         weights -= step * (mean.T @ error)
         bias -= 0.1 * step * error.sum(axis=0)
         np.add.at(embeddings, tokens, -step * DIM * back)
-    model = LanguageModel(languages, embeddings @ weights, bias)
+    model = LanguageModel.of(languages, embeddings, weights, bias)
     if len(kept) >= 5:
+        # Their number bounds the memory of the views and of a score for each language.
+        kept = kept[: max(200, 4_000_000 // len(languages))]
         repeated = np.repeat(kept, 4)
-        tokens, share_of = views(repeated, np.tile([8, 32, 128, 512], len(kept)))
-        logits = (model.logits[tokens] * share_of[:, :, None]).sum(axis=1) + bias
-        truth = y[repeated]
+        sizes = np.tile([8, 32, 128, 512], len(kept))
+        logits = []
+        for at in range(0, len(repeated), 256):
+            tokens, share_of = views(repeated[at : at + 256], sizes[at : at + 256])
+            logits.append((embeddings[tokens] * share_of[:, :, None]).sum(axis=1) @ weights + bias)
+        logits, truth = np.concatenate(logits), y[repeated]
         grid = np.geomspace(0.05, 20, 60)
         loss = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
@@ -154,31 +174,34 @@ def fit(rows: Sequence[Sequence[int]], labels: Sequence[str], epochs: int = 12,
 
 
 def training_sample(labelled: DataFrame, id_col: str, text: str, lang: str, per_language: int, drawn: int) -> DataFrame:
-    """``(lang, buckets)``: about ``per_language`` rows of each language, chosen by a hash of the id.
+    """``(lang, draw, buckets)``: about ``per_language`` rows of each language, chosen by a hash of id and text.
 
-    Of a row ``drawn`` subwords are taken at random from its whole text. The ``MAX_LANGUAGES`` most
-    frequent languages take part.
+    All languages take part; there are about ``SAMPLE_ROWS`` rows in all, so fewer of each if languages are very many.
+    Of a row ``drawn`` subwords are taken at random from its whole text. Rows of equal id and text are one.
     """
-    labelled = labelled.filter(F.col(lang).isNotNull())
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()
-    rate = F.lit(0.0)
-    for row in counts:
-        rate = F.when(F.col(lang) == row[lang], per_language / row["count"]).otherwise(rate)
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("language sample")), F.lit(1 << 30)) / (1 << 30)
-    chosen = labelled.filter(draw < rate).limit(2 * per_language * max(1, len(counts)))
+    names = labelled.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    # Written, so that the join knows its size: broadcast while it is small.
+    counts = stored(names.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
+    number = counts.count()
+    wanted = min(per_language, max(1, SAMPLE_ROWS // max(number, 1)))
+    draw = F.xxhash64("id", "text", F.lit("language sample"))
+    chosen = join_on(names.withColumn("draw", draw), counts, ["lang"])
+    chosen = chosen.filter(F.pmod("draw", F.lit(1 << 30)) / (1 << 30) < F.lit(float(wanted)) / F.col("_n"))
+    chosen = chosen.select("lang", "draw", "text").dropDuplicates(["lang", "draw"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, _SLICE):
-                bucket, counts = subwords(part.column(text).to_pylist())
+            for part in slices(batch, "text", _SLICE):
+                bucket, counts = subwords(part.column("text").to_pylist())
                 ends = np.cumsum(counts)
                 found = []
                 for start, end in zip(ends - counts, ends, strict=True):
                     rng = np.random.default_rng(int(end - start))
-                    found.append(bucket[start:end][rng.integers(0, end - start, drawn)].tolist() if end > start else [])
-                yield pa.RecordBatch.from_arrays([part.column(lang), pa.array(found, pa.list_(pa.int32()))], [lang, "buckets"])
+                    found.append(bucket[start:end][rng.integers(0, end - start, drawn)].astype(np.int32) if end > start else [])
+                buckets = pa.array(found, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("draw"), buckets], ["lang", "draw", "buckets"])
 
-    return map_batches(chosen.select(lang, text), run, f"`{lang}` string, buckets array<int>").filter(F.size("buckets") > 0)
+    return map_batches(chosen, run, "lang string, draw bigint, buckets array<int>").filter(F.size("buckets") > 0)
 
 
 def train(
@@ -189,10 +212,11 @@ def train(
     per_language: int = ROWS_PER_LANGUAGE,
     drawn: int = SUBWORDS_PER_ROW,
 ) -> LanguageModel:
-    """Fit on a sample of at most ``2 * per_language`` rows a language, ``4 * drawn`` bytes each on the driver."""
-    sample = training_sample(labelled, id_col, text, lang, per_language, drawn).collect()
-    sample.sort(key=lambda r: (r[lang], r["buckets"]))
-    return fit([r["buckets"] for r in sample], [r[lang] for r in sample])
+    """Fit on a sample of about ``per_language`` rows a language and ``SAMPLE_ROWS`` in all, ``4 * drawn`` bytes each on the driver."""
+    sample = training_sample(labelled, id_col, text, lang, per_language, drawn).toArrow().combine_chunks()
+    sample = sample.sort_by([("lang", "ascending"), ("draw", "ascending")])
+    rows = [row.values.to_numpy(zero_copy_only=False) for row in sample.column("buckets")]
+    return fit(rows, sample.column("lang").to_pylist())
 
 
 def identify(
@@ -202,7 +226,7 @@ def identify(
 
     Null texts and texts without a letter are ``und`` with score 0, not accepted; so is every text if
     nothing could be learned. Equal scores go to the first language by name. Columns of these names
-    are replaced. The model is broadcast: ``4 * BUCKETS`` bytes a language.
+    are replaced. The model is broadcast: ``4 * BUCKETS * DIM`` bytes at most and ``4 * DIM`` a language.
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)

@@ -75,6 +75,30 @@ def test_training_is_repeatable(labelled):
     assert np.array_equal(a.logits, b.logits) and a.threshold == b.threshold
 
 
+def test_any_number_of_languages(spark):
+    rng = random.Random(8)
+    own = {f"l{k:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéüñøß", k=5)) for _ in range(4)] for k in range(300)}
+    rows = [(k, " ".join(rng.choices(own[lang], k=8)), lang) for k, lang in enumerate([*own] * 12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.train(df)
+    assert len(model.languages) == 300 and model.table.shape[0] == language_id.DIM
+    bucket, counts = language_id.subwords(["kalo"])
+    _, score = model.scores(["kalo"])
+    assert score[0] == pytest.approx(language_id.softmax((model.logits[bucket].mean(axis=0) + model.bias)[None] / model.temperature).max(), rel=1e-4)
+    out = language_id.identify(df, model).collect()
+    assert len({r["lang_pred"] for r in out}) > 256
+    # Ten rows of eight words teach each of them.
+    assert np.mean([r["lang_pred"] == r["lang"] for r in out]) > 0.75
+
+
+def test_repeated_rows_are_one_in_the_sample(spark):
+    rows = [(1, "kalo mirat", "xx")] * 3000 + [(None, "verpfel grotz", "yy")] * 2000 + [(k, f"oiseau n{k}", "zz") for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample = language_id.training_sample(df, "doc_id", "text", "lang", 300, 10).groupBy("lang").count().collect()
+    found = {r["lang"]: r["count"] for r in sample}
+    assert found.get("xx", 0) <= 1 and found.get("yy", 0) <= 1 and 200 < found["zz"] < 400
+
+
 def test_strange_texts_are_rejected_more_often(spark, model):
     rng = random.Random(3)
     rows = [(k, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(2))) for k in range(200)]
