@@ -15,8 +15,8 @@ from logtally.session import shared_folder
 #: A word, as a Java regular expression: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 _BATCH_ROWS, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
-#: Keys that are dealt out over several tasks at most, rows of a key from which on it may be, and tasks of such a key.
-HOT_KEYS, HOT_ROWS, SALTS = 4096, 10_000, 64
+#: Keys that are dealt out over several tasks at most, and rows of a key from which on it may be.
+HOT_KEYS, HOT_ROWS = 4096, 10_000
 #: Characters of text that one step of a Python worker holds at a time (a single longer text is one step).
 SLICE_CHARS = 8_000_000
 
@@ -102,14 +102,16 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFra
     """:func:`join_on` where some keys may hold a large part of the left side, and the right has a row per key.
 
     ``counts`` has the keys and, as ``n``, the rows that the left side has of each. At most ``HOT_KEYS``
-    keys can have over a ``HOT_KEYS``-th of all rows, so these are few enough to broadcast. Their rows are
-    dealt out over ``SALTS`` tasks, by a hash of the ``spread`` columns, and their right row is repeated.
+    keys can have over a ``HOT_KEYS``-th of all rows, so these are few enough to broadcast. Their rows are dealt out in
+    parts of about that many, by a hash of the ``spread`` columns, and their right row is repeated for each part.
+    All parts together are twice ``HOT_KEYS`` at most, whatever the sizes of the keys.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = counts.filter(F.col("n") > max(HOT_ROWS, total // HOT_KEYS)).select(*keys, F.lit(True).alias("_hot"))
-    hot = F.broadcast(hot.checkpoint())
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted = join_on(left, hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    repeated = join_on(right, hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    parts = F.ceil(F.col("n") / most).cast("int")
+    hot = F.broadcast(counts.filter(F.col("n") > most).select(*keys, parts.alias("_parts")).checkpoint())
+    salt = F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int")
+    salted = join_on(left, hot, keys, "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_parts")
+    every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = join_on(right, hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_parts")
     return join_on(salted, repeated, [*keys, "_salt"], how).drop("_salt")
