@@ -103,9 +103,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    encoded = sentencepiece_bpe.encode(table(spark, sf_dir).select("doc_id", "text"), path).drop("text")
-    return sentencepiece_bpe.decode(encoded, path).select(
+    docs = table(spark, sf_dir).select("doc_id", "text")
+    return sentencepiece_bpe.round_trip(docs, tokenizer_path()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

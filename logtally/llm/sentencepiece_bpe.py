@@ -24,9 +24,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtally.llm.common import map_batches, slices
+from logtally.llm.common import map_batches, of_column, slices
 
 SPACE = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
@@ -380,6 +381,11 @@ def encoder_of(model: bytes) -> Encoder:
     return _encoders[model]
 
 
+def _lists(encoded: Sequence[bytes]) -> pa.ListArray:
+    offsets = np.cumsum([0, *(len(found) // 4 for found in encoded)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+
+
 def _broadcast(df: DataFrame, model_path: str):
     with open(model_path, "rb") as file:
         return df.sparkSession.sparkContext.broadcast(file.read())
@@ -402,9 +408,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
         tail = np.array([encoder.model.end] if end else [], np.int32).tobytes()
         for batch in batches:
             for part in slices(batch, text, _SLICE):
-                encoded = [found + tail for found in encoder(part.column(text).to_pylist())]
-                offsets = np.cumsum([0, *(len(found) // 4 for found in encoded)], dtype=np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+                column = _lists([found + tail for found in encoder(part.column(text).to_pylist())])
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, ids])
 
     return map_batches(df, run, schema)
@@ -429,3 +433,30 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decode
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], [*names, text])
 
     return map_batches(df, run, schema)
+
+
+def round_trip(
+    df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", end: bool = True
+) -> DataFrame:
+    """Add the ids of each text and the text that these decode to; columns of these names are replaced.
+
+    The same as :func:`encode` and then :func:`decode`, by one worker a task instead of two, and only the texts go to it.
+    """
+    model = _broadcast(df, model_path)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = encoder_of(model.value)
+        tail = np.array([encoder.model.end] if end else [], np.int32).tobytes()
+        kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+        for batch in batches:
+            parts = []
+            for part in slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text", _SLICE):
+                encoded = [found + tail for found in encoder(part.column("text").to_pylist())]
+                texts = [encoder.model.decode(np.frombuffer(found, np.int32)) for found in encoded]
+                parts.append(pa.StructArray.from_arrays([_lists(encoded), pa.array(texts, pa.string())], fields=list(kind)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    both = of_column(df.sparkSession, run, "struct<ids: array<int>, decoded: string>")(F.col(text).cast("string"))
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (ids, decoded)]
+    coded = df.select(*kept, both.alias("_logtally_coded"))
+    return coded.select(*kept, F.col("_logtally_coded.ids").alias(ids), F.col("_logtally_coded.decoded").alias(decoded))

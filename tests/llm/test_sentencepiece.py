@@ -106,6 +106,21 @@ def test_tables(spark, library):
     assert empty.count() == 0
 
 
+def test_both_ways_in_one_worker(spark, library):
+    rows = [(1, None, "x", 1), (2, "", "y", 2), (2, "two  spaces\n", None, 3), (None, "again again", "z", 4)]
+    rows += [(None, "again again", "z", 4), (3, "long " * 500_000, "", 5), (4, "日本語한😀\x00", "", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string, both int").repartition(3)
+    out = sentencepiece_bpe.round_trip(df, PATH)
+    assert out.columns == ["doc_id", "text", "both", "ids", "decoded"]
+    apart = sentencepiece_bpe.decode(sentencepiece_bpe.encode(df, PATH), PATH).select(out.columns)
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    assert sorted(out.collect(), key=key) == sorted(apart.collect(), key=key)
+    replaced = sentencepiece_bpe.round_trip(df.drop("ids"), PATH, ids="doc_id", decoded="text", end=False)
+    assert replaced.columns == ["both", "doc_id", "text"]
+    assert sorted(len(r["doc_id"]) for r in replaced.collect()) == sorted(len(library.encode(r[1] or "")) for r in rows)
+    assert sentencepiece_bpe.round_trip(df.limit(0), PATH).count() == 0
+
+
 def test_the_query(spark, library):
     folder = "/root/testdata/sf0.001"
     texts_of = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
