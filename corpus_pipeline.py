@@ -54,10 +54,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with an end id, and a digest of the text that they decode to."""
-    path = queries.tokenizer_path()
-    encoded = sentencepiece_bpe.encode(docs.drop("ids"), path).drop("text", "n_chars")
-    decoded = sentencepiece_bpe.decode(encoded, path, text="_decoded")
-    return decoded.select(
+    coded = sentencepiece_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), queries.tokenizer_path(), decoded="_decoded")
+    return coded.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("_decoded", 256).alias("decoded_sha256")
     )
 
