@@ -371,6 +371,7 @@ def queries() -> dict[str, Query]:
         "level_distribution": _on_entries(lambda e: lt.level_distribution(lt.level_counts(e))),
         "hourly_profile": _on_entries(lambda e: lt.hourly_profile(lt.hourly_activity(e))),
         "chronological": _on_entries(lambda e: lt.chronological(e).select(*ID, "ts", "level")),
+        "chronological_once": _on_entries(lambda e: lt.chronological_once(e).select(*ID, "ts", "level")),
         "dedupe_entries": dedupe,
         "all_metrics": _on_entries(lambda e: lt.all_metrics(e, keywords=KEYWORDS)),
         "report_lines": report,

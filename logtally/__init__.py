@@ -15,6 +15,7 @@ from logtally.operators.counts import (
 )
 from logtally.operators.heavy import heavy_error_patterns
 from logtally.operators.parse import entry_display, parse_logs
+from logtally.operators.ranges import chronological_once
 from logtally.operators.select import (
     chronological,
     dedupe_entries,

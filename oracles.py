@@ -324,6 +324,8 @@ ORACLES = {
     " count(*) * 100.0::DOUBLE / max(count(*)) OVER () AS pct FROM entries WHERE ts IS NOT NULL GROUP BY hour)",
     "chronological": ENTRIES
     + " SELECT source_file, line_number, ts, level FROM entries ORDER BY ts NULLS LAST, source_file, line_number",
+    "chronological_once": ENTRIES
+    + " SELECT source_file, line_number, ts, level FROM entries ORDER BY ts NULLS LAST, source_file, line_number",
     "dedupe_entries": ENTRIES + f" SELECT {_ENTRY_COLUMNS} FROM entries",
     "all_metrics": _ALL_METRICS,
     "report_lines": REPORT,
