@@ -47,7 +47,7 @@ def near(rng, vector, cosine):
     return cosine * unit + math.sqrt(1 - cosine**2) * other
 
 
-@pytest.mark.parametrize("block", [8192, 16])
+@pytest.mark.parametrize("block", [8192, 16, 4])
 def test_against_brute_force(spark, block):
     rng = np.random.default_rng(1)
     rows = []
@@ -93,13 +93,40 @@ def test_the_query(spark, folder):
     assert found == slow(rows)
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_every_near_pair_meets_once_in_each_list(spark, depth):
+    """Cells by several projections: a pair is met where its lower member is at home, if its cells touch."""
+    rng = np.random.default_rng(depth)
+    cells = [[int(c) for c in rng.integers(-2, 3, depth)] for _ in range(150)]
+    rows = [(0, 2, 0, cell, k, 1, [1.0, 0.0]) for k, cell in enumerate(cells)]
+    placed = spark.createDataFrame(rows, "label int, dim int, list int, cell array<int>, node bigint, copies bigint, vector array<double>")
+    tasks = {}
+    for r in embedding_dedup.dealt_blocks(placed, 4).collect():
+        homes, others = tasks.setdefault((tuple(r["cell"]), r["home_part"], r["other_part"]), ([], []))
+        (homes if r["home"] else others).append(r["node"])
+    met = [(a, b) for homes, others in tasks.values() for a in homes for b in others]
+    touch = lambda a, b: b[0] - a[0] in (0, 1) and all(abs(x - y) <= 1 for x, y in zip(a, b, strict=True))
+    assert sorted(met) == [(a, b) for a in range(150) for b in range(150) if touch(cells[a], cells[b])]
+
+
+def test_rows_dealt_grow_with_the_vectors(spark):
+    """One label of spread vectors, 128 a block: twice as many give about twice as many rows up to the last depth."""
+    rng, dealt = np.random.default_rng(3), {}
+    for n in (8000, 16_000):
+        rows = [(0, 64, k, 1, v.tolist()) for k, v in enumerate(rng.normal(size=(n, 64)))]
+        vectors = spark.createDataFrame(rows, "label int, dim int, node bigint, copies bigint, vector array<double>").repartition(4)
+        cells = embedding_dedup.cells_of(vectors, calibrate().window).checkpoint()
+        dealt[n] = embedding_dedup.dealt_blocks(embedding_dedup.placed_on_lists(cells, 128), 128).count()
+    assert dealt[16_000] < 2.4 * dealt[8000] and dealt[16_000] < 60 * 16_000, dealt
+
+
 def test_a_large_cell_above_a_small_one_is_dealt_out(spark):
     sizes, block = {0: 3, 1: 2000, 2: 40, 5: 1}, 100
-    rows = [(0, 2, 0, cell, 10_000 * cell + k, 1, [1.0, 0.0]) for cell, n in sizes.items() for k in range(n)]
-    placed = spark.createDataFrame(rows, "label int, dim int, list int, cell int, node bigint, copies bigint, vector array<double>")
+    rows = [(0, 2, 0, [cell], 10_000 * cell + k, 1, [1.0, 0.0]) for cell, n in sizes.items() for k in range(n)]
+    placed = spark.createDataFrame(rows, "label int, dim int, list int, cell array<int>, node bigint, copies bigint, vector array<double>")
     tasks, met = {}, {}
     for r in embedding_dedup.dealt_blocks(placed, block).collect():
-        homes, others = tasks.setdefault((r["cell"], r["home_part"], r["other_part"]), ([], []))
+        homes, others = tasks.setdefault((r["cell"][0], r["home_part"], r["other_part"]), ([], []))
         (homes if r["home"] else others).append(r["node"])
     assert max(max(len(homes), len(others)) for homes, others in tasks.values()) <= 3 * block
     for homes, others in tasks.values():
