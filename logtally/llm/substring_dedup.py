@@ -154,6 +154,7 @@ def extended(runs: DataFrame, texts: DataFrame, exact_words: int = EXACT_WORDS)
     compared with those before ``head``, the bytes after it with those after ``tail``.
     """
     run, target = ["id", "row", "start", "end"], ["text_id", "text_row", "place", "after"]
+    told, wanted = ["n_words", "first_id"], ["place", "after", "n", "which", "start", "end", "n_words", "first_id"]
     ask = lambda which, doc, place, after: F.struct(
         F.lit(which).alias("which"),
         F.col(f"{doc}id").alias("text_id"),
@@ -161,27 +162,34 @@ def extended(runs: DataFrame, texts: DataFrame, exact_words: int = EXACT_WORDS)
         F.col(f"{doc}{place}").alias("place"),
         F.lit(after).alias("after"),
     )
-    four = F.array(ask(0, "", "start", False), ask(1, "head.", "start", False), ask(2, "", "end", True), ask(3, "tail.", "end", True))
-    asked = stored(runs.select(*run, "n_words", "first_id", F.inline(four)), "asked-places")
+    firsts = F.array(ask(1, "head.", "start", False), ask(3, "tail.", "end", True))
+    asked = stored(runs.select(*run, *told, F.inline(firsts)), "asked-places")
     counts = asked.groupBy(*target).agg(F.count("*").alias("n")).checkpoint()
-    places = counts.groupBy("text_id", "text_row").agg(F.collect_list(F.struct("place", "after")).alias("places"))
+    # What is beside a run itself is read with its text; only the places of first occurrences are joined to those who ask.
+    beside = F.array(ask(0, "", "start", False), ask(2, "", "end", True))
+    own = runs.select("start", "end", *told, F.inline(beside)).unionByName(counts, allowMissingColumns=True)
+    places = own.groupBy("text_id", "text_row").agg(F.collect_list(F.struct(*wanted)).alias("wanted"))
     met = join_on(texts.select(F.col("id").alias("text_id"), F.col("row").alias("text_row"), "text"), places, ["text_id", "text_row"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 one = batch.slice(k, 1)
-                raw, wanted = one.column("text")[0].as_py().encode(), one.column("places")[0].as_py()
-                at = pa.array(np.zeros(len(wanted), np.int64))
-                columns = [one.column("text_id").take(at), one.column("text_row").take(at)]
-                columns += [pa.array([w["place"] for w in wanted], pa.int32()), pa.array([w["after"] for w in wanted])]
-                columns.append(pa.array([_beside(raw, w["place"], w["after"]) for w in wanted], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, [*target, "bytes"])
+                raw, asks = one.column("text")[0].as_py().encode(), one.column("wanted").flatten()
+                at = pa.array(np.zeros(len(asks), np.int64))
+                columns = [one.column("text_id").take(at), one.column("text_row").take(at), *asks.flatten()]
+                sides = zip(asks.field("place").to_pylist(), asks.field("after").to_pylist(), strict=True)
+                columns.append(pa.array([_beside(raw, place, after) for place, after in sides], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["text_id", "text_row", *wanted, "bytes"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    found = map_batches(met, read, f"text_id {kind}, text_row bigint, place int, after boolean, bytes binary")
-    found = stored(found.dropDuplicates(target), "beside-runs")
-    sides = join_hot(asked, found, target, counts, [*run, "which"]).groupBy(*run, "n_words", "first_id")
+    numbers = f"n bigint, which int, start int, end int, n_words bigint, first_id {kind}"
+    found = map_batches(met, read, f"text_id {kind}, text_row bigint, place int, after boolean, {numbers}, bytes binary")
+    found = stored(found.dropDuplicates([*target, "which", "start", "end"]), "beside-runs")
+    sides = join_hot(asked, found.filter("which IS NULL").select(*target, "n", "bytes"), target, counts, [*run, "which"], counted=True)
+    own = found.filter("which IS NOT NULL").withColumnsRenamed({"text_id": "id", "text_row": "row"})
+    columns = [*run, *told, "which", "bytes"]
+    sides = sides.select(*columns).unionByName(own.select(*columns)).groupBy(*run, *told)
     sides = sides.agg(*(F.max(F.when(F.col("which") == k, F.col("bytes"))).alias(f"side{k}") for k in range(4)))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

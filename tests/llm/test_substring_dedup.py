@@ -6,8 +6,9 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from logtally.llm import queries, substring_dedup
+from logtally.llm import common, queries, substring_dedup
 from logtally.llm.substring_dedup import GEAR, LEAST, MEAN, MOST, WINDOW, cuts, repeated_passages, rolling
 
 
@@ -140,6 +141,35 @@ def test_no_shared_passage_of_51_words_is_missed_for_its_cuts(spark):
         assert len(piece.split()) - 1 <= r["n_words"] <= len(piece.split())
 
 
+def test_places_beside_a_run_itself_are_not_joined(spark, monkeypatch):
+    rng = random.Random(11)
+    passages = [prose(rng, 51) for _ in range(30)]
+    rows = [(100 * k + n, f"{prose(rng, 40)} {p} {prose(rng, 40)}") for k, p in enumerate(passages) for n in range(6)]
+    rows += [rows[0], rows[1], (None, rows[2][1]), (None, rows[2][1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = sorted(map(tuple, repeated_passages(df, min_words=45).collect()), key=str)
+    seen, seeds = [], []
+
+    def join_hot(left, right, keys, *others, **named):
+        if "place" in keys:
+            hot = others[0].filter(F.col("n") > common.HOT_ROWS).count()
+            seen.append((left.count(), right.count(), others[0].count(), hot))
+        return common.join_hot(left, right, keys, *others, **named)
+
+    def extended(runs, *others):
+        seeds.append(runs.count())
+        return plain(runs, *others)
+
+    plain = substring_dedup.extended
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(substring_dedup, "join_hot", join_hot)
+    monkeypatch.setattr(substring_dedup, "extended", extended)
+    assert sorted(map(tuple, repeated_passages(df, min_words=45).collect()), key=str) == expected
+    [(asked, found, places, hot)] = seen
+    # Two places of first occurrences for each seed, and each of these places once, some of them asked for often.
+    assert asked == 2 * seeds[0] > 0 and found == places < asked and hot > 0
+
+
 def test_overlapping_passages_are_cut_once(spark, monkeypatch):
     spans = [(1, 0, 0, 10, 9, 0), (1, 0, 2, 5, 9, 0)]
     schema = "doc_id bigint, row bigint, start int, end int, n_words bigint, first_id bigint"
