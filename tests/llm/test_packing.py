@@ -47,6 +47,51 @@ def test_ids_of_special_tokens_long_runs_and_long_texts(encoder, exact, monkeypa
     assert encoder(None).tolist() == encoder("").tolist() == [0]
 
 
+def test_texts_without_look_ahead(encoder, exact, monkeypatch):
+    for least in (0, 3, 256):
+        monkeypatch.setattr(packing, "_RUN_CHARS", least)
+        rng, cut = random.Random(least), 0
+        for _ in range(400):
+            kinds = rng.choice((["a", "B c", "é", " ", "12", "!"], ["a", " ", "\n", "\u3000", "\x85", "\x1c", "'s", "日", "7"]))
+            text = "".join(rng.choice(kinds) for _ in range(rng.choice((3, 30, 300))))
+            cut += len(encoder._parts(text)) > 1
+            assert encoder(text).tolist() == [*exact.encode(text, add_special_tokens=False).ids, 0]
+        assert cut > 0 or least == 256
+    # Most texts have few runs of white space or none; those with many are matched with the whole pattern.
+    assert encoder._parts("one two\nthree ") == ["one two\nthree "] and encoder._parts("a  b  c") == []
+    assert encoder._parts("x" * 600 + " \n y") == ["x" * 600 + " \n", " y"] and encoder._parts("") == [""]
+
+
+def test_white_space_is_that_of_the_pattern():
+    import regex
+
+    white = regex.compile(r"\s")
+    assert {chr(k) for k in range(0x110000) if white.fullmatch(chr(k))} - set("\x1c\x1d\x1e\x1f") == set(packing._WHITE)
+
+
+def test_another_pattern_is_left_alone(exact):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = Encoder(file.read(), PATTERN + "|x")
+    assert encoder.plain is None and encoder._parts("a b") == []
+    assert encoder("a b  c").tolist() == [*exact.encode("a b  c", add_special_tokens=False).ids, 0]
+
+
+def test_leads_are_computed_once(spark, monkeypatch, tmp_path):
+    rows = [(k, f"word{k % 5} and {'more ' * (k % 9)}") for k in range(200)]
+    df = spark.createDataFrame([(*r, "", 1, "", "") for r in rows], SCHEMA).repartition(2)
+    plain = packing.leading_tokens
+
+    def leading(texts, idf, common):
+        with open(tmp_path / "calls", "a") as file:
+            file.write(f"{len(texts)}\n")
+        return plain(texts, idf, common)
+
+    monkeypatch.setattr(packing, "leading_tokens", leading)
+    # With several ranges the sort's sampling reads the rows a second time.
+    assert pack(df, PATH, PATTERN, task_docs=50).count() >= 200
+    assert sum(map(int, (tmp_path / "calls").read_text().split())) == 200
+
+
 def scores(texts, idf, average, document, terms):
     """BM25 of every document against the heaviest terms of one, in plain Python."""
 
